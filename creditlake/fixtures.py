@@ -184,6 +184,11 @@ class Tables:
     def raw(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 
+    def __getattr__(self, name: str) -> DataFrame:
+        if name in RAW:
+            return self.raw(name)
+        raise AttributeError(name)
+
     def f(self, name: str) -> DataFrame:
         """The fixture ``f_<name>``."""
         sql = FIXTURES[f"f_{name}"]
