@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from importlib import import_module
 
-from .base import ORACLES, QUERIES
+from . import base
 
 for _module in ("sources", "scalars", "relational", "products", "quality", "security", "graph",
                 "geo", "learning", "telemetry", "streams"):
     if __import__("importlib.util").util.find_spec(f"{__name__}.{_module}"):
         import_module(f"{__name__}.{_module}")
 
-__all__ = ["QUERIES", "ORACLES"]
+QUERIES = base.QUERIES
+ORACLES = {name: base.compose(sql) for name, sql in base.ORACLES.items()}

@@ -34,7 +34,11 @@ def compose(sql: str) -> str:
     visit(sql)
     if not order:
         return sql.strip()
-    return "WITH " + ",\n".join(f"{n} AS ({PARTS[n]})" for n in order) + "\n" + sql.strip()
+    head = "WITH " + ",\n".join(f"{n} AS ({PARTS[n]})" for n in order)
+    body = sql.strip()
+    if body.upper().startswith("WITH "):
+        return f"{head},\n{body[5:]}"
+    return f"{head}\n{body}"
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -56,7 +60,7 @@ def query(name: str, oracle: str | None = None):
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = run
         if oracle is not None:
-            ORACLES[name] = compose(oracle)
+            ORACLES[name] = oracle
         return fn
 
     return register
