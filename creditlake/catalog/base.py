@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,12 +11,28 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..fixtures import FIXTURES, Tables, duckdb_sql
+from ..session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 PARTS: dict[str, str] = {name: duckdb_sql(name) for name in FIXTURES}
 
 
+_STORED: dict[tuple[str, str, str], str] = {}
+_LOCK = threading.RLock()  # building one mart may store another
+
+
+def stored(t: Tables, name: str, build: Callable[[Tables], DataFrame]) -> DataFrame:
+    """A mart that later queries read as a table: built and written on first use in a session."""
+    key = (t.spark.sparkContext.applicationId, t.root, name)
+    with _LOCK:
+        if key not in _STORED:
+            path = scratch_path(t.spark, name)
+            build(t).write.parquet(path)
+            _STORED[key] = path
+    return t.spark.read.parquet(_STORED[key])
+
+
 def part(name: str, sql: str) -> None:
     """A named relation that check SQL may refer to."""
     PARTS[name] = sql.strip()

@@ -11,9 +11,8 @@ from ..operators import search
 from ..operators.topk import top_k
 from ..plans import profile
 from ..session import scratch_path
-from ..sources.tables import snapshot
 from .base import part, query
-from .products import build_features, build_profile
+from .products import gold_features, gold_profile
 
 CROSS_CAT = ["state", "occupation"]
 CROSS_NUM = ["age", "net_income", "annual_income", "loan_app_count", "total_loan_financed", "avg_loan_dsr",
@@ -21,21 +20,15 @@ CROSS_NUM = ["age", "net_income", "annual_income", "loan_app_count", "total_loan
 RISK_CAT, RISK_NUM = ["state", "region", "occupation"], ["age", "net_income", "annual_income"]
 
 
-def stored_features(t):
-    """The features written once: a fit reads them several times."""
-    return snapshot(build_features(t), scratch_path(t.spark, "features"))
-
-
 def cross_sell_model(t):
-    rows = stored_features(t)
+    rows = gold_features(t)
     return ml.fit_propensity(rows, "label_has_card", CROSS_CAT, CROSS_NUM), rows
 
 
 @query("ml_01_logistic_fit")
 def ml_01(t):
     """Fit of the delinquency model; class balance of the fit's own predictions."""
-    rows = snapshot(build_profile(t).withColumn("delinquency_risk", F.when(F.col("combined_unpaid") > 0, 1).otherwise(0)),
-                    scratch_path(t.spark, "profile"))
+    rows = gold_profile(t).withColumn("delinquency_risk", F.when(F.col("combined_unpaid") > 0, 1).otherwise(0))
     p = ml.fit_propensity(rows, "delinquency_risk", RISK_CAT, RISK_NUM)
     return ml.predict(p, rows).groupBy("delinquency_risk", "predicted_delinquency_risk").agg(F.count(F.lit(1)).alias("n"))
 
@@ -64,7 +57,7 @@ FROM (SELECT count(*) AS n, count(*) FILTER (label = 1 AND prob >= 0.5) AS tp, c
   FROM scored_rows)""")
 def ml_03(t):
     risky = F.col("combined_unpaid") > 0
-    scored = build_profile(t).select(
+    scored = gold_profile(t).select(
         F.when(risky, 1).otherwise(0).alias("label"),
         (((F.col("cif_id").cast("bigint") * 37) % 101 + F.when(risky, 20).otherwise(0)).cast("double") / 128.0).alias("prob"))
     return ml.evaluate(scored, "label", "prob")
@@ -73,7 +66,7 @@ def ml_03(t):
 @query("ml_03b_model_metrics")
 def ml_03b(t):
     """Metrics of a fit on the train part, measured on the test part."""
-    rows = stored_features(t)
+    rows = gold_features(t)
     train, test = ml.split(rows, "cif_id")
     p = ml.fit_propensity(train, "label_has_card", CROSS_CAT, CROSS_NUM)
     probs = F.get("predicted_label_has_card_probs", F.lit(0))["prob"]
@@ -103,7 +96,7 @@ SELECT count(*) AS customers, count(*) FILTER (label_has_card = 1) AS with_card,
   round(avg(latest_bureau_score::decimal(18,2))::decimal(22,6), 1)::double AS avg_score FROM feature_rows""")
 def ml_06(t):
     label = F.col("label_has_card")
-    return build_features(t).agg(
+    return gold_features(t).agg(
         F.count(F.lit(1)).alias("customers"), F.count_if(label == 1).alias("with_card"),
         F.count_if(label == 0).alias("without_card"),
         F.count_if((label == 0) & (F.col("loan_app_count") > 0) & (F.col("recv_promo") == "Y")).alias("eligible_pool"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..fixtures import Tables
 from ..operators.topk import top_k
 from ..plans import marts, profile, silver
-from .base import part, query
+from .base import part, query, stored
 
 
 # --- builders shared with other modules -------------------------------------------------------
@@ -19,8 +19,16 @@ def build_profile(t: Tables):
         silver.collections_summary(t.f("loan_coll"), t.f("card_coll")), t.f("card"))
 
 
+def gold_profile(t: Tables):
+    return stored(t, "gold_profile", build_profile)
+
+
 def build_features(t: Tables):
-    return profile.feature_store(build_profile(t))
+    return profile.feature_store(gold_profile(t))
+
+
+def gold_features(t: Tables):
+    return stored(t, "gold_features", build_features)
 
 
 def build_sales(t: Tables):
@@ -36,6 +44,10 @@ def build_wide(t: Tables):
                              build_sales(t), build_collections(t))
 
 
+def gold_wide(t: Tables):
+    return stored(t, "gold_wide", build_wide)
+
+
 # Test rules: digits of the merchant name stand for the keywords of a category.
 CATEGORY_RULES = {"department_store": ["#00000000"], "supermarket": ["#00000001", "#00000002"],
                   "electronics_store": ["#00000003"], "pharmacy": ["#00000004", "#00000005"],
@@ -342,7 +354,7 @@ SELECT wallet_tier, count(DISTINCT cif_id) AS customer_count, count(*) FILTER (a
     AS avg_utilization_pct
 FROM gold_wide GROUP BY 1""")
 def dp_13(t):
-    return profile.tier_portfolio(build_wide(t))
+    return profile.tier_portfolio(gold_wide(t))
 
 
 @query("dp_14_geo_targets", "SELECT * FROM geo_target_rows")
@@ -448,4 +460,4 @@ FROM gold_profile p LEFT JOIN (
     SELECT cif_no, days_past_due FROM f_loan_coll UNION ALL SELECT cif_no, days_past_due FROM f_card_coll)
   GROUP BY 1) d ON d.cif_id = p.cif_id""")
 def dp_23(t):
-    return profile.business_bands(build_profile(t), max_days(t))
+    return profile.business_bands(gold_profile(t), max_days(t))

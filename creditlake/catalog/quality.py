@@ -13,7 +13,7 @@ from ..plans import registry, silver
 from ..plans import profile as profile_plans
 from ..sources.tables import declare, literal_rows
 from .base import part, query
-from .products import build_profile
+from .products import gold_profile
 
 RULES = [
     Rule("cif_id_not_null", "cif_id", "COMPLETENESS", "not_null"),
@@ -40,7 +40,7 @@ FROM gold_profile"""
               "count(*) FILTER (coalesce(avg_loan_dsr, 0) BETWEEN 0 AND 100)", 95),
     _rule_sql("state_not_null", "COMPLETENESS", "state", "count(state)", 100)]))
 def dq_01(t):
-    return dq.scan_rules(build_profile(t), RULES)
+    return dq.scan_rules(gold_profile(t), RULES)
 
 
 def now():
@@ -139,7 +139,7 @@ def dq_06(t):
 SELECT (SELECT sum(fin_amt::decimal(18,2)) FROM f_loan_app) - (SELECT sum(fin_amt) FROM silver_loan_app) = 0
   AND (SELECT count(*) FROM gold_profile) > 0 AND (SELECT count(*) FROM feature_rows) > 0 AS passed""")
 def dq_07(t):
-    gold = build_profile(t)
+    gold = gold_profile(t)
     return dq.zero_variance_gate(t.f("loan_app"), silver.loan_applications(t.f("loan_app")), "fin_amt",
                                  [gold, profile_plans.feature_store(gold)])
 
@@ -165,7 +165,7 @@ def dq_08(t):
 
 @query("dq_09_first_present", "SELECT round(avg(avg_loan_dsr)::decimal(22,6), 2)::double AS avg_dsr FROM gold_profile")
 def dq_09(t):
-    gold = build_profile(t)
+    gold = gold_profile(t)
     column = dq.first_present(gold, ["avg_dsr", "AVG_LOAN_DSR", "avg_card_dsr"])
     return gold.agg(F.round(F.avg(column), 2).alias("avg_dsr"))
 
@@ -230,13 +230,13 @@ CATALOG = [("cif_nm", "HIGH_PII", "SHA256 mask", True), ("cif_id", "MODERATE_IDE
 @query("dq_13_sensitivity_tags")
 def dq_13(t):
     catalog = literal_rows(t.spark, CATALOG, "column_name string, level string, advice string, is_pii boolean")
-    return dq.sensitivity_tags({"customer": t.f("customer"), "card": t.f("card"), "profile": build_profile(t)},
+    return dq.sensitivity_tags({"customer": t.f("customer"), "card": t.f("card"), "profile": gold_profile(t)},
                                catalog, {"profile": "gold"})
 
 
 @query("dq_14_lineage")
 def dq_14(t):
-    gold = build_profile(t)
+    gold = gold_profile(t)
     schemas = {n: t.f(n) for n in ("customer", "loan_app", "card_app", "loan_coll", "card_coll", "card")}
     schemas |= {"silver_customer": silver.customers(schemas["customer"]),
                 "silver_loan_app": silver.loan_applications(schemas["loan_app"]),

@@ -9,8 +9,9 @@ from ..functions.scalars import key, money
 from ..operators import joins, sets, topk, windows
 from ..operators.lists import top_list
 from ..plans import silver
+from ..sources.tables import column_listing
 from .base import query
-from .products import build_collections, build_profile, build_sales, build_trends
+from .products import build_collections, gold_profile, build_sales, build_trends
 
 # --- joins ------------------------------------------------------------------------------------
 
@@ -176,11 +177,14 @@ def ag_06(t):
 
 
 @query("ag_07_ordinal_list", """
-SELECT conv_id, string_agg(role, ', ' ORDER BY turn) AS roles FROM conversations GROUP BY 1""")
+SELECT 'customer' AS table_name, 'cif_id=' || count(cif_id)::varchar || ', state=' || count(state)::varchar || ', citizen='
+  || count(citizen)::varchar || ', recv_promo=' || count(recv_promo)::varchar AS columns FROM f_customer""")
 def ag_07(t):
-    ordered = F.array_sort(F.collect_list(F.struct("turn", "role")))
-    return t.conversations.groupBy("conv_id").agg(
-        F.array_join(F.transform(ordered, lambda s: s["role"]), ", ").alias("roles"))
+    """Column definitions in ordinal order: a list as long as the table is wide."""
+    cols = column_listing(t.f("customer").select("cif_id", "state", "citizen", "recv_promo"))
+    item = cols.withColumn("item", F.concat("column_name", F.lit("="), F.col("values").cast("string")))
+    return item.groupBy(F.lit("customer").alias("table_name")).agg(
+        F.expr("listagg(item, ', ') within group (order by ordinal)").alias("columns"))
 
 
 @query("ag_08_any_value", "SELECT ldesc, min(grp) AS grp FROM f_card_sales GROUP BY 1")
@@ -208,7 +212,7 @@ def ag_10(t):
 SELECT count(*) AS customers, count(DISTINCT state) AS states, count(*) FILTER (combined_unpaid > 0) AS delinquent,
   round(avg(net_income)::decimal(22,6), 2)::double AS avg_income FROM gold_profile""")
 def ag_11(t):
-    return build_profile(t).agg(
+    return gold_profile(t).agg(
         F.count(F.lit(1)).alias("customers"), F.count_distinct("state").alias("states"),
         F.count_if(F.col("combined_unpaid") > 0).alias("delinquent"), agg.avg_money("net_income").alias("avg_income"))
 
@@ -243,7 +247,7 @@ SELECT (SELECT sum(fin_amt::decimal(18,2)) FROM f_loan_app) - (SELECT sum(fin_am
 def ag_15(t):
     from ..operators.quality import zero_variance_gate
     return zero_variance_gate(t.f("loan_app"), silver.loan_applications(t.f("loan_app")), "fin_amt",
-                              [build_profile(t)])
+                              [gold_profile(t)])
 
 
 # --- windows ----------------------------------------------------------------------------------
@@ -260,19 +264,19 @@ def wn_02(t):
 
 @query("wn_03_total_on_rows", "SELECT cif_id, count(*) OVER () AS total_customers FROM gold_profile")
 def wn_03(t):
-    return windows.with_totals(build_profile(t).select("cif_id"), total_customers=F.count(F.lit(1)))
+    return windows.with_totals(gold_profile(t).select("cif_id"), total_customers=F.count(F.lit(1)))
 
 
 @query("wn_04_distinct_total_on_rows", "SELECT cif_id, (SELECT count(DISTINCT state) FROM gold_profile) AS total_states FROM gold_profile")
 def wn_04(t):
-    return windows.with_totals(build_profile(t).select("cif_id", "state"),
+    return windows.with_totals(gold_profile(t).select("cif_id", "state"),
                                total_states=F.count_distinct("state")).drop("state")
 
 
 @query("wn_05_total_over_groups", """
 SELECT state, count(*) AS customers, (sum(count(*)) OVER ())::bigint AS total FROM gold_profile GROUP BY 1""")
 def wn_05(t):
-    groups = build_profile(t).groupBy("state").agg(F.count(F.lit(1)).alias("customers"))
+    groups = gold_profile(t).groupBy("state").agg(F.count(F.lit(1)).alias("customers"))
     return windows.with_totals(groups, total=F.sum("customers"))
 
 
@@ -281,7 +285,7 @@ def wn_05(t):
 @query("sl_01_top_k", "SELECT cif_id, net_income::double AS net_income FROM gold_profile "
                       "ORDER BY net_income DESC, cif_id LIMIT 15")
 def sl_01(t):
-    return topk.top_k(build_profile(t).select("cif_id", "net_income"),
+    return topk.top_k(gold_profile(t).select("cif_id", "net_income"),
                       [F.col("net_income").desc(), F.col("cif_id").asc()], 15)
 
 
@@ -289,7 +293,7 @@ def sl_01(t):
 SELECT cif_id FROM gold_profile ORDER BY CASE WHEN recv_promo = 'Y' THEN 1 ELSE 2 END,
   total_loan_financed + total_card_limit DESC, cif_id LIMIT 10""")
 def sl_02(t):
-    return topk.top_k(build_profile(t), [
+    return topk.top_k(gold_profile(t), [
         F.when(F.col("recv_promo") == "Y", 1).otherwise(2).asc(),
         (F.col("total_loan_financed") + F.col("total_card_limit")).desc(), F.col("cif_id").asc()], 10).select("cif_id")
 

@@ -10,7 +10,7 @@ from ..functions import scalars as s
 from ..operators.lookup import lookup_row
 from ..plans import profile
 from .base import query
-from .products import CATEGORY_RULES, build_features, build_profile, build_wide
+from .products import CATEGORY_RULES, gold_features, gold_profile, gold_wide
 
 
 @query("prj_01_key", "SELECT o_orderkey, trim(' ' || o_custkey::varchar || ' ') AS cif_id, "
@@ -65,7 +65,7 @@ def prj_07(t):
 @query("prj_08_flag", "SELECT cif_id, CASE WHEN combined_unpaid > 0 THEN 1 ELSE 0 END AS delinquency_risk_flag "
                       "FROM gold_profile")
 def prj_08(t):
-    return build_profile(t).select(
+    return gold_profile(t).select(
         "cif_id", F.when(F.col("combined_unpaid") > 0, 1).otherwise(0).alias("delinquency_risk_flag"))
 
 
@@ -81,7 +81,7 @@ SELECT cif_id, CASE WHEN net_income >= 8000 AND latest_bureau_score >= 700 THEN
   WHEN net_income >= 4000 AND latest_bureau_score >= 660 THEN 'Gold (Fast-Track)' ELSE 'Classic' END AS offer
 FROM feature_rows""")
 def prj_10(t):
-    return build_features(t).select("cif_id", profile.offer().alias("offer"))
+    return gold_features(t).select("cif_id", profile.offer().alias("offer"))
 
 
 @query("prj_11_keyword_category", """
@@ -132,7 +132,7 @@ def prj_16(t):
 
 @query("prj_17_boolean", "SELECT cif_id, total_unpaid > 0 OR akpk_status = 'Y' AS is_delinquent FROM gold_wide")
 def prj_17(t):
-    return build_wide(t).select("cif_id", ((F.col("total_unpaid") > 0) | (F.col("akpk_status") == "Y"))
+    return gold_wide(t).select("cif_id", ((F.col("total_unpaid") > 0) | (F.col("akpk_status") == "Y"))
                                 .alias("is_delinquent"))
 
 
@@ -206,10 +206,10 @@ LOOKUP_COLS = ["cif_id", "state", "occupation", "wallet_tier", "total_cards_held
 
 @query("flt_02_point_lookup", f"SELECT {', '.join(LOOKUP_COLS)}, 'FOUND' AS status FROM gold_wide WHERE cif_id = '7'")
 def flt_02(t):
-    return lookup_row(build_wide(t).select(*LOOKUP_COLS), "cif_id", "'7';")
+    return lookup_row(gold_wide(t).select(*LOOKUP_COLS), "cif_id", "'7';")
 
 
 @query("flt_03_eligible", "SELECT * FROM feature_rows WHERE active_card_count = 0 AND loan_app_count > 0 "
                           "AND recv_promo = 'Y'")
 def flt_03(t):
-    return profile.prequalified(build_features(t))
+    return profile.prequalified(gold_features(t))

@@ -11,7 +11,7 @@ from ..operators.topk import top_k
 from ..operators.windows import with_totals
 from ..plans import marts
 from .base import query
-from .products import build_partner, build_profile
+from .products import build_partner, gold_profile
 
 BRANCH, AUDITOR = "user:branch", "user:auditor"
 POLICIES = [
@@ -22,12 +22,12 @@ POLICIES = [
 
 @query("sec_01_row_policy", "SELECT cif_id, state FROM gold_profile WHERE state IN ('NATION_1', 'NATION_2', 'NATION_3', 'NATION_4')")
 def sec_01(t):
-    return sec.secure_rows(build_profile(t), POLICIES, BRANCH).select("cif_id", "state")
+    return sec.secure_rows(gold_profile(t), POLICIES, BRANCH).select("cif_id", "state")
 
 
 @query("sec_02_mask_sha256", "SELECT cif_id, sha256(cif_nm) AS cif_nm FROM gold_profile")
 def sec_02(t):
-    df = sec.tag_columns(build_profile(t), {"cif_nm": "customer_name"})
+    df = sec.tag_columns(gold_profile(t), {"cif_nm": "customer_name"})
     policy = {"customer_name": sec.MaskPolicy(s.mask_sha256, raw=frozenset({AUDITOR}), masked=frozenset({BRANCH}))}
     return sec.select_governed(df, ["cif_id", "cif_nm"], policy, BRANCH)
 
@@ -40,7 +40,7 @@ def sec_03(t):
 @query("sec_04_restricted_column_left_out", "SELECT cif_id, net_income::double AS net_income FROM gold_profile")
 def sec_04(t):
     """The restricted column is left out, so an ungranted principal passes; naming it raises (tests)."""
-    df = sec.tag_columns(build_profile(t), {"cif_nm": "customer_name"})
+    df = sec.tag_columns(gold_profile(t), {"cif_nm": "customer_name"})
     return sec.select_governed(df, ["cif_id", "net_income"], {}, "user:guest")
 
 
@@ -49,7 +49,7 @@ SELECT 'customer_profile' AS table_name, 'cif_nm' AS column_name, 'string' AS da
   count(cif_nm) AS values FROM gold_profile
 UNION ALL SELECT 'customer_profile', 'net_income', 'decimal(18,2)', 'financial_amount', count(net_income) FROM gold_profile""")
 def sec_05(t):
-    df = sec.tag_columns(build_profile(t), {"cif_nm": "customer_name", "net_income": "financial_amount",
+    df = sec.tag_columns(gold_profile(t), {"cif_nm": "customer_name", "net_income": "financial_amount",
                                             "state": "location"})
     return sec.tag_audit(sec.tag_columns(df, {"state": None}), "customer_profile")
 
@@ -70,7 +70,7 @@ FROM gold_profile WHERE {cond} GROUP BY state"""
     who=BRANCH, cond="state IN ('NATION_1', 'NATION_2', 'NATION_3', 'NATION_4')") + " UNION ALL " + _SEC06.format(
     who=AUDITOR, cond="true"))
 def sec_06(t):
-    return sec.as_principals(build_profile(t), POLICIES, [BRANCH, AUDITOR], _by_state)
+    return sec.as_principals(gold_profile(t), POLICIES, [BRANCH, AUDITOR], _by_state)
 
 
 @query("sec_07_role_view", """
@@ -78,7 +78,7 @@ SELECT cif_id, left(cif_nm, 2) || '****' || right(cif_nm, 2) AS customer_name, '
   CASE WHEN net_income < 3000 THEN 'B40' WHEN net_income <= 7000 THEN 'M40' ELSE 'T20' END AS income_band,
   NULL::double AS net_income FROM gold_profile""")
 def sec_07(t):
-    return build_profile(t).select(
+    return gold_profile(t).select(
         "cif_id", s.mask_middle("cif_nm").alias("customer_name"), s.redact("REDACTED").alias("home_address"),
         s.income_band("net_income").alias("income_band"), F.lit(None).cast("double").alias("net_income"))
 

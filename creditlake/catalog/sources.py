@@ -144,10 +144,10 @@ def src_12(t):
 @query("src_13_glossary")
 def src_13(t):
     """Glossary terms with the number of values in each linked profile column."""
-    from .products import build_profile
+    from .products import gold_profile
     text = (Path(files.__file__).parent / "glossary.yaml").read_text()
     terms = files.glossary(t.spark, text).withColumn("column_name", F.explode(F.split("linked_columns", ", ")))
-    return terms.join(tables.column_listing(build_profile(t)).select("column_name", "values"), "column_name", "left")
+    return terms.join(tables.column_listing(gold_profile(t)).select("column_name", "values"), "column_name", "left")
 
 
 def declared(t, name: str):

@@ -180,9 +180,12 @@ class Tables:
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
+        self._read: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        if name not in self._read:
+            self._read[name] = self.spark.read.parquet(f"{self.root}/{name}.parquet")
+        return self._read[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in RAW:
@@ -191,8 +194,11 @@ class Tables:
 
     def f(self, name: str) -> DataFrame:
         """The fixture ``f_<name>``."""
-        sql = FIXTURES[f"f_{name}"]
-        return self.spark.sql(sql, **{t: self.raw(t) for t in placeholders(sql)})
+        name = f"f_{name}"
+        if name not in self._read:
+            sql = FIXTURES[name]
+            self._read[name] = self.spark.sql(sql, **{t: self.raw(t) for t in placeholders(sql)})
+        return self._read[name]
 
 
 def duckdb_sql(name: str) -> str:

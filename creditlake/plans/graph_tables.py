@@ -14,6 +14,15 @@ from ..operators.windows import latest_per
 from .silver import newest_customers
 
 
+NODE_KEYS = {"Customer": "cif_id", "CreditFacility": "facility_id", "Merchant": "merchant_id",
+             "EmployerSegment": "segment_id"}
+EDGE_ENDS = {
+    "HOLDS_FACILITY": (("Customer", "cif_id"), ("CreditFacility", "facility_id")),
+    "TRANSACTED_AT": (("Customer", "cif_id"), ("Merchant", "merchant_id")),
+    "WORKS_IN_SEGMENT": (("Customer", "cif_id"), ("EmployerSegment", "segment_id")),
+}
+
+
 def _zero(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(0)).cast(MONEY).alias(c)
 
@@ -109,12 +118,8 @@ def credit_graph(customers: DataFrame, cards: DataFrame, loan: DataFrame, card:
     """All seven tables. On a cluster write them once (``PropertyGraph.save``) and query the copies."""
     cust = customer_nodes(customers, cards, collections)
     fac, mer, seg = facility_nodes(loan, card), merchant_nodes(sales), segment_nodes(customers)
-    return PropertyGraph(
-        [Node("Customer", cust, "cif_id"), Node("CreditFacility", fac, "facility_id"),
-         Node("Merchant", mer, "merchant_id"), Node("EmployerSegment", seg, "segment_id")],
-        [Edge("HOLDS_FACILITY", holds_edges(fac, cust), "edge_id", ("Customer", "cif_id"),
-              ("CreditFacility", "facility_id")),
-         Edge("TRANSACTED_AT", transacted_edges(sales, cust, mer), "edge_id", ("Customer", "cif_id"),
-              ("Merchant", "merchant_id")),
-         Edge("WORKS_IN_SEGMENT", works_edges(customers, cust, seg), "edge_id", ("Customer", "cif_id"),
-              ("EmployerSegment", "segment_id"))])
+    nodes = {"Customer": cust, "CreditFacility": fac, "Merchant": mer, "EmployerSegment": seg}
+    edges = {"HOLDS_FACILITY": holds_edges(fac, cust), "TRANSACTED_AT": transacted_edges(sales, cust, mer),
+             "WORKS_IN_SEGMENT": works_edges(customers, cust, seg)}
+    return PropertyGraph([Node(label, nodes[label], key) for label, key in NODE_KEYS.items()],
+                         [Edge(label, edges[label], "edge_id", *ends) for label, ends in EDGE_ENDS.items()])
