@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"',
+# Nothing between two commas is null, two quotes are the empty text: the reader's own null mark is a control
+# character that no extract holds.
+_CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "nullValue": "\u0001",
         "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
