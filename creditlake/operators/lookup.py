@@ -19,8 +19,8 @@ def lookup_row(df: DataFrame, key: str, raw_id: str) -> DataFrame:
     The id is a literal of the plan, never part of SQL text, and the filter reaches the scan.
     """
     ident = clean_id(raw_id)
-    wanted = df.sparkSession.range(1).select(F.lit(ident).alias("__id"))
     hit = df.where(F.col(key) == ident).limit(1)
-    joined = wanted.join(hit, F.col("__id") == F.col(key), "left")
-    status = F.when(F.col(key).isNull(), "NOT_FOUND").otherwise("FOUND").alias("status")
-    return joined.select(F.col("__id").alias(key), *[c for c in df.columns if c != key], status)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    missing = df.sparkSession.range(1).where(~hit.select(F.lit(1)).exists()).select(*[
+        F.lit(ident if c == key else None).cast(types[c]).alias(c) for c in df.columns])
+    return hit.withColumn("status", F.lit("FOUND")).unionByName(missing.withColumn("status", F.lit("NOT_FOUND")))
