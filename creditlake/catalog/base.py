@@ -33,6 +33,10 @@ def stored(t: Tables, name: str, build: Callable[[Tables], DataFrame]) -> DataFr
     return t.spark.read.parquet(_STORED[key])
 
 
+def is_stored(t: Tables, name: str) -> bool:
+    return (t.spark.sparkContext.applicationId, t.root, name) in _STORED
+
+
 def part(name: str, sql: str) -> None:
     """A named relation that check SQL may refer to."""
     PARTS[name] = sql.strip()

@@ -8,29 +8,22 @@ from ..operators.graph import Edge, Hop, Node, PropertyGraph
 from ..operators.topk import top_k
 from ..plans import graph_queries as q
 from ..plans.graph_tables import EDGE_ENDS, NODE_KEYS, credit_graph
-from .base import part, query, stored
+from .base import is_stored, part, query, stored
 from .products import build_collections, build_sales, doubles
 
 
-def built_graph(t):
+def built_graph(t, **kwargs):
     return credit_graph(t.f("customer"), t.f("card"), t.f("loan_app"), t.f("card_app"), build_sales(t),
-                        build_collections(t))
+                        build_collections(t), **kwargs)
 
 
 def graph(t):
     """The graph over its written tables, as questions are asked of it."""
-    made: list[PropertyGraph] = []
-
-    def table(kind: str, label: str):
-        def build(tables):
-            if not made:
-                made.append(built_graph(tables))
-            return getattr(made[0], kind)(label)
-        return stored(t, f"graph_{label}", build)
-
-    return PropertyGraph(
-        [Node(label, table("node", label), key) for label, key in NODE_KEYS.items()],
-        [Edge(label, table("edge", label), "edge_id", *ends) for label, ends in EDGE_ENDS.items()])
+    keep = lambda label, build: stored(t, f"graph_{label}", lambda _: build())
+    if not all(is_stored(t, f"graph_{label}") for label in [*NODE_KEYS, *EDGE_ENDS]):
+        return built_graph(t, store=keep)
+    return PropertyGraph([Node(label, keep(label, None), k) for label, k in NODE_KEYS.items()],
+                         [Edge(label, keep(label, None), "edge_id", *ends) for label, ends in EDGE_ENDS.items()])
 
 
 part("node_customer", """

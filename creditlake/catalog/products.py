@@ -40,7 +40,7 @@ def build_collections(t: Tables):
 
 
 def build_wide(t: Tables):
-    return profile.wide_mart(silver.newest_customers(t.f("customer")), t.f("card"), t.f("loan_app"),
+    return profile.wide_mart(silver.newest_by_text_key(t.f("customer")), t.f("card"), t.f("loan_app"),
                              build_sales(t), build_collections(t))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -11,7 +13,7 @@ from ..operators.graph import Edge, Node, PropertyGraph
 from ..operators.joins import keep_known, star
 from ..operators.sets import tagged_union
 from ..operators.windows import latest_per
-from .silver import newest_customers
+from .silver import newest_by_text_key
 
 
 NODE_KEYS = {"Customer": "cif_id", "CreditFacility": "facility_id", "Merchant": "merchant_id",
@@ -36,8 +38,8 @@ def customer_nodes(customers: DataFrame, cards: DataFrame, collections: DataFram
         sum_money("cp_cl").alias("total_cp_limit"), sum_money("cp_usage").alias("total_cp_usage"))
     col = collections.groupBy("cif_id").agg(sum_money("unpaid").alias("combined_unpaid"),
                                             F.max("grade").alias("grade"))
-    base = newest_customers(customers.where(F.col("cif_id").isNotNull())).select(
-        key("cif_id").alias("cif_id"), key("cif_nm").alias("customer_name"),
+    base = newest_by_text_key(customers.where(F.col("cif_id").isNotNull())).select(
+        "cif_id", key("cif_nm").alias("customer_name"),
         *[F.coalesce(key(c), F.lit("Unknown")).alias(c) for c in ("state", "region", "occupation")],
         F.col("age").cast("bigint").alias("age"), money("net_income").alias("net_income"),
         F.coalesce(key("recv_promo"), F.lit("N")).alias("marketing_consent"))
@@ -105,8 +107,8 @@ def transacted_edges(sales: DataFrame, customers: DataFrame, merchants: DataFram
 
 
 def works_edges(customers: DataFrame, nodes: DataFrame, segments: DataFrame) -> DataFrame:
-    rows = newest_customers(customers.where(F.col("cif_id").isNotNull())).select(
-        key("cif_id").alias("cif_id"), _segment()[0],
+    rows = newest_by_text_key(customers.where(F.col("cif_id").isNotNull())).select(
+        "cif_id", _segment()[0],
         F.coalesce(F.col("yr_job").cast("bigint"), F.lit(0)).alias("years_in_job"),
         F.coalesce(money("net_income"), F.lit(0)).cast(MONEY).alias("net_income"))
     known = keep_known(keep_known(rows, nodes, "cif_id", "cif_id"), segments, "segment_id", "segment_id")
@@ -114,12 +116,18 @@ def works_edges(customers: DataFrame, nodes: DataFrame, segments: DataFrame) ->
 
 
 def credit_graph(customers: DataFrame, cards: DataFrame, loan: DataFrame, card: DataFrame, sales: DataFrame,
-                 collections: DataFrame) -> PropertyGraph:
-    """All seven tables. On a cluster write them once (``PropertyGraph.save``) and query the copies."""
-    cust = customer_nodes(customers, cards, collections)
-    fac, mer, seg = facility_nodes(loan, card), merchant_nodes(sales), segment_nodes(customers)
-    nodes = {"Customer": cust, "CreditFacility": fac, "Merchant": mer, "EmployerSegment": seg}
-    edges = {"HOLDS_FACILITY": holds_edges(fac, cust), "TRANSACTED_AT": transacted_edges(sales, cust, mer),
-             "WORKS_IN_SEGMENT": works_edges(customers, cust, seg)}
-    return PropertyGraph([Node(label, nodes[label], key) for label, key in NODE_KEYS.items()],
+                 collections: DataFrame,
+                 store: Callable[[str, Callable[[], DataFrame]], DataFrame] = lambda label, build: build()) -> PropertyGraph:
+    """All seven tables. ``store`` may write each table as it is built and return the copy, so that edges are
+    checked against stored nodes and nothing is computed twice."""
+    nodes = {"Customer": store("Customer", lambda: customer_nodes(customers, cards, collections)),
+             "CreditFacility": store("CreditFacility", lambda: facility_nodes(loan, card)),
+             "Merchant": store("Merchant", lambda: merchant_nodes(sales)),
+             "EmployerSegment": store("EmployerSegment", lambda: segment_nodes(customers))}
+    cust = nodes["Customer"]
+    edges = {"HOLDS_FACILITY": store("HOLDS_FACILITY", lambda: holds_edges(nodes["CreditFacility"], cust)),
+             "TRANSACTED_AT": store("TRANSACTED_AT", lambda: transacted_edges(sales, cust, nodes["Merchant"])),
+             "WORKS_IN_SEGMENT": store("WORKS_IN_SEGMENT",
+                                       lambda: works_edges(customers, cust, nodes["EmployerSegment"]))}
+    return PropertyGraph([Node(label, nodes[label], k) for label, k in NODE_KEYS.items()],
                          [Edge(label, edges[label], "edge_id", *ends) for label, ends in EDGE_ENDS.items()])

@@ -71,7 +71,7 @@ def feature_store(profile: DataFrame) -> DataFrame:
 
 def wide_mart(newest: DataFrame, cards: DataFrame, loan_bronze: DataFrame, sales: DataFrame,
               collections: DataFrame) -> DataFrame:
-    """34 columns per customer: demographics, cards, loans, spend split, collections, flags."""
+    """34 columns per customer, ``newest`` having the id as text: demographics, cards, loans, spend split, collections, flags."""
     card = cards.groupBy(key("cif_id").alias("cif_id")).agg(
         F.count_distinct("account_no").alias("total_cards_held"),
         F.count_if(key("card_status") == "Active").alias("active_cards_count"),
@@ -92,7 +92,7 @@ def wide_mart(newest: DataFrame, cards: DataFrame, loan_bronze: DataFrame, sales
         sum_money("unpaid").alias("total_unpaid"), F.max("finplus_tier").alias("finplus_tier"),
         F.max("grade").alias("collection_grade"))
     base = newest.select(
-        key("cif_id").alias("cif_id"), key("cif_nm").alias("customer_name"), "age",
+        "cif_id", key("cif_nm").alias("customer_name"), "age",
         *[key(c).alias(c) for c in ("gender", "marital_sts", "state", "region", "occupation")],
         key("nob").alias("nature_of_business"), F.col("net_income").cast(MONEY).alias("net_income"),
         F.col("gross_income").cast(MONEY).alias("gross_income"), key("race").alias("program_flag"),
