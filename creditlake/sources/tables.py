@@ -34,9 +34,9 @@ def create_table(spark: SparkSession, name: str, columns: Mapping[str, tuple[str
     spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet LOCATION '{quote(path)}' COMMENT '{quote(comment)}'")
 
 
-def land_table(df: DataFrame, name: str, path: str) -> None:
-    """Create or replace an open (Parquet) table at ``path``."""
-    df.write.mode("overwrite").format("parquet").option("path", path).saveAsTable(name)
+def land_table(df: DataFrame, name: str, path: str, fmt: str = "parquet") -> None:
+    """Create or replace an open table at ``path``; other formats need their jar."""
+    df.write.mode("overwrite").format(fmt).option("path", path).saveAsTable(name)
 
 
 def describe(df: DataFrame, dictionary: Mapping[str, str], default: str = "Attribute: ") -> DataFrame:

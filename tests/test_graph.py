@@ -61,3 +61,12 @@ def test_match_refuses_bad_patterns(spark):
         g.match({"x": "B", "y": "A"}, [Hop("x", "e", "E", "y")], {"id": ("x", "id")})
     with pytest.raises(ValueError):
         PropertyGraph([Node("A", n, "id")], [Edge("E", e, "eid", ("A", "s"), ("B", "d"))])
+
+
+def test_hot_group_stays_linear(spark):
+    """One group with 200,000 members: 20 thousand million pairs, counted and listed without building them."""
+    from creditlake.operators.rings import first_pairs, pair_counts
+    hot = spark.range(200000).select(F.lit("m").alias("g"), F.format_string("c%06d", "id").alias("c"), F.col("id").alias("v"))
+    assert pair_counts(hot.select("g", "c"), ["g"], "n", "pairs").first().pairs == 200000 * 199999 // 2
+    got = first_pairs(hot, ["g"], "c", ["v"], 30).collect()
+    assert [(r.c_1, r.c_2) for r in got] == [("c000000", f"c{i:06d}") for i in range(1, 31)]
