@@ -126,7 +126,23 @@ def gr_07(t):
     return built_graph(t).edge("WORKS_IN_SEGMENT")
 
 
-@query("gr_08_graph_validation")
+_TABLES = {"Customer": ("node_customer", "cif_id"), "CreditFacility": ("node_facility", "facility_id"),
+           "Merchant": ("node_merchant", "merchant_id"), "EmployerSegment": ("node_segment", "segment_id"),
+           "HOLDS_FACILITY": ("edge_holds", "edge_id"), "TRANSACTED_AT": ("edge_transacted", "edge_id"),
+           "WORKS_IN_SEGMENT": ("edge_works", "edge_id")}
+
+
+def _validation_sql():
+    out = [f"""SELECT '{label}' AS label, 'unique({k})' AS "check", count(*) - count(DISTINCT {k}) AS violations FROM {table}"""
+           for label, (table, k) in _TABLES.items()]
+    for label, ends in EDGE_ENDS.items():
+        for node, column in ends:
+            out.append(f"""SELECT '{label}', 'references({node}.{column})', count(*) FROM {_TABLES[label][0]} e
+  WHERE NOT EXISTS (SELECT 1 FROM {_TABLES[node][0]} n WHERE n.{column} = e.{column})""")
+    return " UNION ALL ".join(out)
+
+
+@query("gr_08_graph_validation", _validation_sql())
 def gr_08(t):
     return graph(t).validate()
 
@@ -266,7 +282,14 @@ def gr_18(t):
     return q.cross_sell_paths(graph(t))
 
 
-@query("gr_18b_cross_sell_path_json")
+@query("gr_18b_cross_sell_path_json", """
+SELECT '[{"label":"CreditFacility","facility_id":"' || facility_id || '","loan_exposure":'
+  || exposure_amount::decimal(18,2)::varchar || ',"loan_dsr":' || new_dsr::decimal(18,2)::varchar
+  || '},{"label":"Customer","cif_id":"' || cif_id || '","state":"' || state
+  || '"},{"label":"TRANSACTED_AT","merchant_spend":' || total_spend::decimal(28,2)::varchar
+  || '},{"label":"Merchant","merchant_name":"' || merchant_name || '","merchant_group":"' || merchant_group || '"}]' AS path
+FROM cross_paths WHERE new_dsr <= 50
+ORDER BY total_spend DESC, cross_paths.net_income DESC, cif_id, merchant_id, facility_id LIMIT 40""")
 def gr_18b(t):
     return q.cross_sell_path_json(graph(t))
 

@@ -132,7 +132,9 @@ def ml_07(t):
     return fc.forecast(daily, ["sales_type"])
 
 
-@query("ml_07b_forecast_hook")
+@query("ml_07b_forecast_hook", """
+SELECT sales_type, ds + 7 AS ds, y AS value FROM (
+  SELECT *, row_number() OVER (PARTITION BY sales_type ORDER BY ds DESC) AS rn FROM daily_rows WHERE ds IS NOT NULL) WHERE rn <= 7""")
 def ml_07b(t):
     """The pandas hook with a last-week repeat per series."""
     daily = fc.daily_series(t.f("card_sales"), ymd_date("tx_dt"), ["sales_type"], "amount").withColumn(

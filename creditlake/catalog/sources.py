@@ -141,13 +141,21 @@ def src_12(t):
     return tables.snapshot(latest, scratch_path(t.spark, "snapshot"))
 
 
-@query("src_13_glossary")
+LINKS = [("customer-id", "cif_id"), ("income-band", "net_income"), ("income-band", "annual_income"),
+         ("marketing-consent", "recv_promo"), ("debt-service-ratio", "avg_loan_dsr"), ("bureau-score", "latest_bureau_score"),
+         ("unpaid-principal", "combined_unpaid"), ("unpaid-principal", "total_loan_unpaid"),
+         ("unpaid-principal", "total_card_unpaid"), ("utilisation", "total_cp_usage"), ("utilisation", "total_card_limit")]
+
+
+@query("src_13_glossary", " UNION ALL ".join(
+    f"SELECT '{term}' AS term_id, '{c}' AS column_name, count({c}) AS values FROM gold_profile" for term, c in LINKS))
 def src_13(t):
     """Glossary terms with the number of values in each linked profile column."""
     from .products import gold_profile
     text = (Path(files.__file__).parent / "glossary.yaml").read_text()
     terms = files.glossary(t.spark, text).withColumn("column_name", F.explode(F.split("linked_columns", ", ")))
-    return terms.join(tables.column_listing(gold_profile(t)).select("column_name", "values"), "column_name", "left")
+    return terms.join(tables.column_listing(gold_profile(t)).select("column_name", "values"), "column_name", "left").select(
+        "term_id", "column_name", "values")
 
 
 def declared(t, name: str):

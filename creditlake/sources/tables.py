@@ -77,10 +77,17 @@ def write_clustered(df: DataFrame, path: str, cluster: Sequence[str], partitions
     ranged.sortWithinPartitions(*cluster).write.mode("overwrite").parquet(path)
 
 
-def append_log(df: DataFrame, path: str, timestamp: str, cluster: Sequence[str] = ()) -> None:
-    """Append rows to a log partitioned by day, sorted by the cluster columns within files."""
+def append_log(df: DataFrame, path: str, timestamp: str, cluster: Sequence[str] = (), files_per_day: int = 8) -> None:
+    """Append rows to a log partitioned by day, sorted by the cluster columns within files.
+
+    A day is spread over ``files_per_day`` tasks by a row hash, so one busy day neither fills one task nor
+    leaves a file per task.
+    """
     out = df.withColumn("log_date", F.to_date(timestamp))
-    out.sortWithinPartitions("log_date", *cluster).write.mode("append").partitionBy("log_date").parquet(path)
+    plain = [c for c, t in df.dtypes if not t.startswith(("map", "variant"))]
+    slot = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(files_per_day))
+    (out.repartition(F.col("log_date"), slot).sortWithinPartitions("log_date", *cluster)
+     .write.mode("append").partitionBy("log_date").parquet(path))
 
 
 def snapshot(df: DataFrame, path: str) -> DataFrame:
