@@ -29,6 +29,15 @@ def each_batch(stream: DataFrame, checkpoint: str, fn: Callable[[DataFrame, int]
             .foreachBatch(fn).trigger(**(trigger or {"availableNow": True})).start())
 
 
+def _upsert_batch(batch: DataFrame, path: str, key: Sequence[str], newest: str, ties: Sequence[str], buckets: int) -> None:
+    """The upsert reads a batch twice; keep it, so that sources and state are run through once."""
+    batch.persist()
+    try:
+        upsert(batch.sparkSession, path, batch, key, newest, ties, buckets)
+    finally:
+        batch.unpersist()
+
+
 def ingest(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
     """Exactly-once append: a batch overwrites the folder of its own number, so a repeated batch replaces
     itself."""
@@ -40,11 +49,11 @@ def ingest(stream: DataFrame, path: str, checkpoint: str, **trigger) -> Streamin
 
 
 def apply_changes(stream: DataFrame, path: str, checkpoint: str, key: Sequence[str], newest: str,
-                  ties: Sequence[str] = (), **trigger) -> StreamingQuery:
+                  ties: Sequence[str] = (), buckets: int = 64, **trigger) -> StreamingQuery:
     """Change rows kept current per key."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch.sparkSession, path, batch, key, newest, ties)
+        _upsert_batch(batch, path, key, newest, ties, buckets)
 
     return each_batch(stream, checkpoint, write, **trigger)
 
@@ -70,7 +79,6 @@ def daily_series(stream: DataFrame, path: str, checkpoint: str, timestamp: str,
             .select(F.to_date("w.start").alias("day"), kind, "total"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        upsert(batch.sparkSession, path, batch.withColumn("batch_id", F.lit(batch_id)), ["day", kind], "batch_id",
-               ["total"], buckets=8)
+        _upsert_batch(batch.withColumn("batch_id", F.lit(batch_id)), path, ["day", kind], "batch_id", ["total"], 8)
 
     return each_batch(sums, checkpoint, write, mode="update", **trigger)
