@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..fixtures import Tables
-from ..operators.topk import top_k
 from ..plans import marts, profile, silver
 from .base import part, query, stored
 

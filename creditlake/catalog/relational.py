@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import aggregates as agg
-from ..functions.scalars import key, money
+from ..functions.scalars import key
 from ..operators import joins, sets, topk, windows
 from ..operators.lists import top_list
 from ..plans import silver

@@ -10,7 +10,7 @@ from ..functions import scalars as s
 from ..operators.lookup import lookup_row
 from ..plans import profile
 from .base import query
-from .products import CATEGORY_RULES, gold_features, gold_profile, gold_wide
+from .products import gold_features, gold_profile, gold_wide
 
 
 @query("prj_01_key", "SELECT o_orderkey, trim(' ' || o_custkey::varchar || ' ') AS cif_id, "

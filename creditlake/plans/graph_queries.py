@@ -12,7 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.aggregates import sum_money
 from ..operators.graph import Hop, PropertyGraph, path_json
 from ..operators.rings import first_pairs
 from ..operators.topk import top_k

@@ -13,6 +13,7 @@ from ..operators.joins import at_latest, join_any_of, join_folded
 from ..operators.lists import top_list
 from ..operators.sets import tagged_union
 from ..operators.windows import latest_per, top_per
+from .silver import CUSTOMER_TIES
 
 
 def underwriting_funnel(loan: DataFrame, card: DataFrame) -> DataFrame:
@@ -42,7 +43,7 @@ def collections_risk(collections: DataFrame, customers: DataFrame, cards: DataFr
     """
     cust, card = customers, cards
     if dedup_dims:
-        cust = latest_per(cust, ["cif_id"], "rcd_dt", ("net_income", "cif_nm", "state", "nob"))
+        cust = latest_per(cust, ["cif_id"], "rcd_dt", CUSTOMER_TIES)
         card = latest_per(card, ["account_no"], "expiry_dt", ("akpk", "cif_id"))
     cust = cust.select(key("cif_id").alias("cif_id"), *[key(c).alias(c) for c in
                                                         ("state", "region", "occupation")])
@@ -99,7 +100,7 @@ def joint_spend_per_customer(customers: DataFrame, card_sales: DataFrame, partne
     spend = card_sales.groupBy(key("cif_no").alias("cif_id")).agg(sum_money("amount").alias("card_spend"))
     members = partner.select(key("match_key").alias("cif_id"), F.col("retail_spend").alias("partner_spend"),
                              "preferred_store", "loyalty_tier").dropDuplicates(["cif_id"])
-    cust = latest_per(customers, ["cif_id"], "rcd_dt", ("net_income", "cif_nm", "state", "nob")).select(
+    cust = latest_per(customers, ["cif_id"], "rcd_dt", CUSTOMER_TIES).select(
         key("cif_id").alias("cif_id"), "state", "marital_sts", money("gross_income").alias("monthly_income"))
     return cust.join(members, "cif_id").join(spend, "cif_id")
 
