@@ -6,9 +6,10 @@ from .bpe import op10_bpe
 from .decontaminate import op9_decontaminate
 from .langid import op3_language
 from .neardup import op6_superminhash
+from .passages import op1_passages
 from .quality import op7_quality
 from .token_files import op5_token_files
 
-QUERIES = {f.__name__: f for f in (op3_language, op5_token_files, op6_superminhash, op7_quality, op9_decontaminate, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_passages, op3_language, op5_token_files, op6_superminhash, op7_quality, op9_decontaminate, op10_bpe)}
 #: Check SQL, where DuckDB can express the operator.
 ORACLES: dict[str, str] = {}
