@@ -8,10 +8,11 @@ from .langid import op3_language
 from .neardup import op6_superminhash
 from .passages import op1_passages
 from .quality import op7_quality
+from .secrets import op2_secrets
 from .topk import ORACLE as TOPK_SQL
 from .topk import op8_topk
 from .token_files import op5_token_files
 
-QUERIES = {f.__name__: f for f in (op1_passages, op3_language, op5_token_files, op6_superminhash, op7_quality, op8_topk, op9_decontaminate, op10_bpe)}
+QUERIES = {f.__name__: f for f in (op1_passages, op2_secrets, op3_language, op5_token_files, op6_superminhash, op7_quality, op8_topk, op9_decontaminate, op10_bpe)}
 #: Check SQL, where DuckDB can express the operator.
 ORACLES: dict[str, str] = {"op8_topk": TOPK_SQL}
