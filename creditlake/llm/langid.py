@@ -178,14 +178,17 @@ def fit(texts: list[str], labels: list[str], epochs: int = 3, batch: int = 400,
 
 
 def training_rows(docs: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    ids = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out() & (F.octet_length("text") <= max_bytes)) \
-        .orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "text")
-    return ids.limit(max_rows).select("text", "lang")
+    """text and lang of at most ``max_rows`` rows. They are drawn by their ids; only theirs are the texts that move."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")) \
+        .filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out() & (F.octet_length("text") <= max_bytes))
+    marked = rows.withColumn("mark", F.xxhash64("text"))
+    drawn = marked.select("doc_id", "lang", "mark").orderBy(F.xxhash64("doc_id"), "doc_id", "lang", "mark").limit(max_rows)
+    return marked.join(F.broadcast(drawn.distinct()), ["doc_id", "lang", "mark"]).groupBy("doc_id", "lang", "mark").agg(F.min("text").alias("text")).select("text", "lang")
 
 
 def train(docs: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> LanguageModel:
     rows = training_rows(docs, max_rows, max_bytes).collect()  # at most max_rows
+    rows.sort()
     return fit([r.text for r in rows], [r.lang for r in rows])
 
 

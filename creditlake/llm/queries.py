@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from .bpe import op10_bpe
 from .decontaminate import op9_decontaminate
 from .langid import op3_language
@@ -14,6 +16,6 @@ from .topk import ORACLE as TOPK_SQL
 from .topk import op8_topk
 from .token_files import op5_token_files
 
-QUERIES = {f.__name__: f for f in (op1_passages, op2_secrets, op3_language, op4_licenses, op5_token_files, op6_superminhash, op7_quality, op8_topk, op9_decontaminate, op10_bpe)}
+QUERIES = {"pipeline": corpus_pipeline.run} | {f.__name__: f for f in (op1_passages, op2_secrets, op3_language, op4_licenses, op5_token_files, op6_superminhash, op7_quality, op8_topk, op9_decontaminate, op10_bpe)}
 #: Check SQL, where DuckDB can express the operator.
 ORACLES: dict[str, str] = {"op8_topk": TOPK_SQL}
