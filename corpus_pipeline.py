@@ -22,11 +22,12 @@ from creditlake.llm import bpe, decontaminate, neardup, quality, secrets
 from creditlake.llm.common import stored, table
 
 LEAST_QUALITY = 0.3
+MARK = "__mark"
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return quality.score(docs, model, docs.columns).filter(F.col("score") >= LEAST_QUALITY).select(*docs.columns)
+    return quality.score(docs, model, docs.columns, MARK).filter(F.col(MARK) >= LEAST_QUALITY).select(*docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,16 +35,22 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return docs.join(groups.filter(~F.col("kept")).select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
 
 
+def marked(docs: DataFrame) -> DataFrame:
+    """With a hash of the text, which alone decides on passages and secrets; so rows without doc_id are treated too."""
+    return docs.withColumn(MARK, F.xxhash64(F.col("text").cast("string")))
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"))
-    return docs.join(stored(found.select("doc_id").distinct(), "contaminated"), "doc_id", "left_anti").select(*docs.columns)
+    rows = marked(docs)
+    found = decontaminate.contaminated(rows.select(F.col(MARK).alias("doc_id"), "text"), table(spark, sf_dir, "benchmark"))
+    return rows.join(stored(found.select(F.col("doc_id").alias(MARK)).distinct(), "contaminated"), MARK, "left_anti").select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    rows = secrets.numbered(docs)
-    found = secrets.find_secrets(rows, keep=["doc_id", "text_mark"])
-    return secrets.redacted(rows, found.filter("is_secret"), ["doc_id", "text_mark"]).drop("text_mark") \
-        .withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    rows = marked(docs)
+    found = secrets.find_secrets(rows, keep=[MARK])
+    clean = secrets.redacted(rows, MARK, found.filter("is_secret")).drop(MARK)
+    return clean.withColumn("n_chars", F.coalesce(F.char_length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ linear hinge-loss model is fitted by dual coordinate descent. Margins become pro
 fitted on margins of held-apart folds of the training rows.
 
 The fit uses at most ``max_rows`` labelled rows, those with the smallest hash of doc_id, of texts up to ``max_bytes`` bytes;
-everything is scored on its whole text. Labels of one doc_id that disagree count as their majority (tie: 0).
+everything is scored on its whole text. Of rows with one doc_id the first text in order is learned from. Labels of one doc_id that disagree count as their majority (tie: 0).
 
 Defined results: null and empty texts have no n-gram, only the indicators of an empty text, and get a score like any
 other. Without labelled rows of both classes every score is the share of label 1 (no labels at all: 1). Repeated rows
@@ -213,7 +213,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)  # so at most max_rows rows are broadcast
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
         .filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= max_bytes).join(F.broadcast(drawn), "doc_id")
-    return rows.orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_rows).select("text", "label")
+    return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).orderBy("doc_id").select("text", "label")
 
 
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> QualityModel:
@@ -224,17 +224,17 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_byte
     return fit([flat[at[i]:at[i + 1]].astype(np.int64) for i in range(len(labels_seen))], labels_seen)
 
 
-def score(docs: DataFrame, model: QualityModel, keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (default: doc_id) of each document with its score."""
+def score(docs: DataFrame, model: QualityModel, keep: list[str] | None = None, name: str = "score") -> DataFrame:
+    """The columns ``keep`` (default: doc_id) of each document with its score, in a column of that ``name``."""
     keep = ["doc_id"] if keep is None else keep
     rows = docs.select(F.col("text").cast("string").alias("__text"), *keep)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         scores = model.scores(*utf8(batch.column(0)))
-        return pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores, pa.float64())], [*batch.schema.names[1:], "score"])
+        return pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores, pa.float64())], [*batch.schema.names[1:], name])
 
-    return map_arrow(rows, run, f"{fields}, score double")
+    return map_arrow(rows, run, f"{fields}, `{name}` double")
 
 
 def op7_quality(spark: SparkSession, root: str) -> DataFrame:

@@ -156,25 +156,15 @@ def masked(candidate: Column) -> Column:
     return F.concat(F.left(candidate, F.lit(2)), F.lit("..."), F.right(candidate, F.lit(2)), F.lit(" ("), F.char_length(candidate).cast("string"), F.lit(")"))
 
 
-def numbered(docs: DataFrame) -> DataFrame:
-    """The documents with ``text_mark``, a hash of the text: rows that agree in it and in doc_id have the same findings."""
-    return docs.withColumn("text_mark", F.xxhash64(F.col("text").cast("string")))
-
-
-def redacted(docs: DataFrame, secrets: DataFrame, keys: list[str], mark: str = "[SECRET]") -> DataFrame:
-    """The documents with secret spans replaced. ``keys`` name the columns (of both, nulls are equal) that determine a text;
-    ``secrets`` holds them with start and end."""
-    listed = secrets.groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("__spans"))
-    renamed = listed.select(*[F.col(k).alias(f"__{k}") for k in keys], "__spans")
-    same = None
-    for k in keys:
-        equal = docs[k].eqNullSafe(renamed[f"__{k}"])
-        same = equal if same is None else same & equal
+def redacted(docs: DataFrame, key: str, secrets: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+    """The documents with secret spans replaced. ``key`` names a column that determines the text (as a hash of it does);
+    ``secrets`` holds it with start and end."""
+    listed = secrets.groupBy(F.col(key).alias("__key")).agg(F.array_sort(F.collect_set(F.struct("start", "end"))).alias("__spans"))
     before = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.try_element_at("__spans", i)["end"])
     pieces = F.transform("__spans", lambda s, i: F.concat(F.substring("text", before(i) + 1, s["start"] - before(i)), F.lit(mark)))
     tail = F.expr("substring(text, element_at(__spans, -1).end + 1)")
     new = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(F.concat(F.array_join(pieces, ""), tail))
-    return docs.join(renamed, same, "left").withColumn("text", new).select(*docs.columns)
+    return docs.join(listed, F.col(key) == F.col("__key"), "left").withColumn("text", new).select(*docs.columns)
 
 
 def op2_secrets(spark: SparkSession, root: str) -> DataFrame:
