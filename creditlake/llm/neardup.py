@@ -8,9 +8,12 @@ than with independent minima. All documents of a chunk go through a round at onc
 1. Equal sets (128-bit digest) collapse to their smallest doc_id; only these representatives go on.
 2. Bands of the signature are buckets. Each member of a bucket is paired with the smallest doc_id of the bucket, so a bucket
    gives as many pairs as members, whatever its size. Pairs are confirmed on the full sets and grouped by union-find.
-3. A bucket that still holds two or more groups may hide a link between members other than its smallest. Its members of
-   different groups meet in a self-join that only passes pairs that can reach the threshold: by sizes, and by how
-   many shingles of a member occur in no other open member (those can't be shared). What passes is confirmed too.
+3. The buckets with one smallest doc_id make a family. A family whose members are still of two or more groups may hide a link
+   between members other than its smallest. In families of up to ``FEW`` members, those outside the largest group meet
+   the others in a join that only passes pairs that can reach the threshold: by sizes, and by how many shingles of a
+   member occur in no other member of such families (those can't be shared); what passes is confirmed too. In larger
+   families they are dealt to blocks, and each block of them meets each block of members in one task, where a product of
+   incidence matrices gives all intersections; one link for each two groups is returned.
 
 With 32 bands of 5 slots a link at similarity 0.8 shares no bucket with probability 3e-6, one at 0.9 with 1e-12.
 
@@ -32,6 +35,7 @@ from pyspark.sql import functions as F
 from .common import LOWER, Words, distinct_by, map_arrow, mix, stored, table, utf8
 
 BANDS, ROWS = 32, 5
+FEW, BLOCK = 16, 256
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -145,21 +149,19 @@ def local_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(edges: DataFrame) -> DataFrame:
     """id and component (smallest id reachable) of every node of the edges (u, v), by rounds of union-find within tasks and
     of pointing each node and its neighbours to the smallest of them. Every round is written to the shared folder."""
-    now = stored(edges.mapInArrow(local_roots, "u long, v long"), "edges")
-    seen = None
+    now, seen = stored(edges.mapInArrow(local_roots, "u long, v long"), "edges"), None
     while True:
-        # large star: the neighbours above a node, and small star: those below it, go to the smallest one
-        for above in (True, False):
-            both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v"))) if above else \
-                now.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-            least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-            joined = both.join(least, "u")
-            kept = joined.filter(F.col("v") > F.col("u")).select(F.col("m").alias("u"), "v") if above else \
-                joined.select(F.col("m").alias("u"), "v").unionByName(least.select(F.col("m").alias("u"), F.col("u").alias("v")))
-            now = stored(kept.filter("u <> v").distinct(), "edges")
+        # large star: the neighbours above a node go to the smallest of all; then small star: those below it do
+        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        large = both.join(least, "u").filter("v > u").select(F.col("m").alias("u"), "v").distinct()
+        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        least = down.groupBy("u").agg(F.min("v").alias("m"))
+        small = down.join(least, "u").select(F.col("m").alias("u"), "v").unionByName(least.select(F.col("m").alias("u"), F.col("u").alias("v"))).filter("u <> v").distinct()
+        now = stored(small, "edges")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if state == seen:
-            return now.select(F.col("v").alias("id"), F.col("u").alias("component")).groupBy("id").agg(F.min("component").alias("component"))
+            return now.groupBy(F.col("v").alias("id")).agg(F.min("u").alias("component"))
         seen = state
 
 
@@ -183,20 +185,22 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     same = nodes.filter("doc_id <> set_id").select(F.col("set_id").alias("u"), F.col("doc_id").alias("v"))
     first = stored(components(links), "components")
 
-    grouped = shared.join(first, shared.v == first.id, "left").select("key", "v", "n", F.coalesce("component", "v").alias("c"))
-    mixed = stored(grouped.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).filter("lo < hi").select("key"), "mixed")
-    rest = stored(grouped.join(mixed, "key"), "rest")
-    members = rest.select(F.col("v").alias("doc_id")).distinct()
-    bodies_rest = bodies.join(members, "doc_id", "left_semi")
-    own = map_arrow(bodies_rest, lambda b: own_shingles(b, k), "doc_id long, shingles array<long>")
+    members = shared.select("u", "v", "n").distinct().join(first, F.col("v") == first.id, "left").select("u", "v", "n", F.coalesce("component", "v").alias("c"))
+    counts = members.groupBy("u", "c").agg(F.count("*").alias("m")).groupBy("u").agg(F.max_by("c", F.struct("m", "c")).alias("main"), F.sum("m").alias("total"), F.max("m").alias("most"))
+    families = stored(counts.filter("most < total").select("u", "main", "total", (F.col("total") - F.col("most")).alias("outside")), "families")
+    rest = stored(members.join(families, "u"), "rest")
+    few, many = rest.filter(F.col("total") <= FEW), rest.filter(F.col("total") > FEW)
+
+    open_docs = few.select(F.col("v").alias("doc_id")).distinct()
+    own = map_arrow(bodies.join(open_docs, "doc_id", "left_semi"), lambda b: own_shingles(b, k), "doc_id long, shingles array<long>")
     single = own.select("doc_id", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("w")) \
         .filter("v = w").groupBy("v").agg(F.count("*").alias("alone"))
-    capped = stored(rest.join(single, "v", "left").select("key", "v", "n", "c", (F.col("n") - F.coalesce("alone", F.lit(0))).alias("most")), "capped")
-    a, b = capped.alias("a"), capped.alias("b")
+    capped = stored(few.join(single, "v", "left").withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0))), "capped")
+    a, b = capped.filter("c <> main").alias("a"), capped.alias("b")
     able = (100 + percent) * F.least("a.most", "b.most") >= percent * (F.col("a.n") + F.col("b.n"))
-    hidden = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.v") < F.col("b.v")) & (F.col("a.c") != F.col("b.c")) & able) \
-        .select(F.col("a.v").alias("u"), F.col("b.v").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti")
-    more = confirmed(stored(hidden, "hidden"), bodies, k, percent)
+    hidden = a.join(b, (F.col("a.u") == F.col("b.u")) & (F.col("a.c") != F.col("b.c")) & able) \
+        .select(F.least("a.v", "b.v").alias("u"), F.greatest("a.v", "b.v").alias("v")).distinct().join(pairs, ["u", "v"], "left_anti")
+    more = confirmed(stored(hidden, "hidden"), bodies, k, percent).unionByName(block_links(many, bodies, k, percent))
 
     linked = stored(components(links.unionByName(more).unionByName(same)), "linked")
     known = nodes.groupBy("doc_id").agg(F.lit(1).alias("has_set"))
@@ -205,6 +209,44 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
         .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def block_links(many: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (u, v) between members of different groups in large families, one for each two groups of a pair of blocks."""
+    left_blocks, right_blocks = F.ceil(F.col("outside") / BLOCK), F.ceil(F.col("total") / BLOCK)
+    rows = many.join(texts.withColumnRenamed("doc_id", "v"), "v") \
+        .withColumn("lb", F.pmod(F.xxhash64("v"), left_blocks)).withColumn("rb", F.pmod(F.xxhash64("v", F.lit(1)), right_blocks))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), n - 1))
+    left = rows.filter("c <> main").withColumn("rb", every(right_blocks)).select("u", "lb", "rb", "v", "c", "text")
+    right = rows.withColumn("lb", every(left_blocks)).select(*[F.col(x).alias(x) for x in ("u", "lb", "rb", "v", "c", "text")])
+    keys = ["u", "lb", "rb"]
+
+    def meet(mine: pa.Table, others: pa.Table) -> pa.Table:
+        none = pa.table({"u": pa.array([], pa.int64()), "v": pa.array([], pa.int64())})
+        if not mine.num_rows or not others.num_rows:
+            return none
+        sides = [(t, shingle_sets(*utf8(t.column("text").combine_chunks()), k)) for t in (mine, others)]
+        common = np.intersect1d(sides[0][1][1], sides[1][1][1])
+        sizes = [np.bincount(doc, minlength=t.num_rows) for t, (doc, _) in sides]
+        both = np.zeros((mine.num_rows, others.num_rows))
+        for lo in range(0, len(common), 8192):
+            part = common[lo:lo + 8192]
+            flags = []
+            for t, (doc, element) in sides:
+                at = np.minimum(np.searchsorted(part, element), len(part) - 1)
+                hit = part[at] == element
+                flag = np.zeros((t.num_rows, len(part)), np.float32)
+                flag[doc[hit], at[hit]] = 1
+                flags.append(flag)
+            both += flags[0] @ flags[1].T
+        (c0, v0), (c1, v1) = ((t.column("c").to_numpy(), t.column("v").to_numpy()) for t in (mine, others))
+        union = sizes[0][:, None] + sizes[1] - both
+        x, y = np.nonzero((100 * both >= percent * union) & (both > 0) & (c0[:, None] != c1))
+        _, one = np.unique(np.stack([c0[x], c1[y]], 1), axis=0, return_index=True)
+        x, y = x[one], y[one]
+        return pa.table({"u": np.minimum(v0[x], v1[y]), "v": np.maximum(v0[x], v1[y])}) if len(one) else none
+
+    return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(meet, "u long, v long")
+
+
 def own_shingles(batch: pa.RecordBatch, k: int) -> pa.RecordBatch:
     doc, element = shingle_sets(*utf8(batch.column(1)), k)
     ends = np.searchsorted(doc, np.arange(batch.num_rows + 1))
