@@ -284,7 +284,7 @@ def gr_18(t):
 
 @query("gr_18b_cross_sell_path_json", """
 SELECT '[{"label":"CreditFacility","facility_id":"' || facility_id || '","loan_exposure":'
-  || exposure_amount::decimal(18,2)::varchar || ',"loan_dsr":' || new_dsr::decimal(18,2)::varchar
+  || exposure_amount::decimal(28,9)::varchar || ',"loan_dsr":' || new_dsr::decimal(28,9)::varchar
   || '},{"label":"Customer","cif_id":"' || cif_id || '","state":"' || state
   || '"},{"label":"TRANSACTED_AT","merchant_spend":' || total_spend::decimal(28,2)::varchar
   || '},{"label":"Merchant","merchant_name":"' || merchant_name || '","merchant_group":"' || merchant_group || '"}]' AS path

@@ -88,18 +88,18 @@ def _d(col: str) -> str:
 
 part("silver_loan_app", f"""
 SELECT appl_no::varchar AS appl_no, agree_no::varchar AS agree_no, cif_no::varchar AS cif_id,
-  {_d('appl_dt')} AS application_date, trim(status) AS status, score::decimal(18,2) AS score, rank, decision,
-  loan_grp::varchar AS loan_grp, fin_amt::decimal(18,2) AS fin_amt, inst_amt::decimal(18,2) AS inst_amt,
-  interest::decimal(18,2) AS interest, total_inst, net_income::decimal(18,2) AS net_income,
-  ndi::decimal(18,2) AS ndi, cur_dsr::decimal(18,2) AS cur_dsr, new_dsr::decimal(18,2) AS new_dsr,
-  total_osb::decimal(18,2) AS total_osb
+  {_d('appl_dt')} AS application_date, trim(status) AS status, score::decimal(28,9) AS score, rank, decision,
+  loan_grp::varchar AS loan_grp, fin_amt::decimal(28,9) AS fin_amt, inst_amt::decimal(28,9) AS inst_amt,
+  interest::decimal(28,9) AS interest, total_inst, net_income::decimal(28,9) AS net_income,
+  ndi::decimal(28,9) AS ndi, cur_dsr::decimal(28,9) AS cur_dsr, new_dsr::decimal(28,9) AS new_dsr,
+  total_osb::decimal(28,9) AS total_osb
 FROM f_loan_app""")
 part("silver_card_app", f"""
 SELECT appl_id::varchar AS appl_id, account_no::varchar AS account_no, cif_id::varchar AS cif_id,
   {_d('appl_dt')} AS application_date, trim(status) AS status, card_type, card_brand, decision, rank,
-  net_income::decimal(18,2) AS net_income, ndi::decimal(18,2) AS ndi, cur_dsr::decimal(18,2) AS cur_dsr,
-  new_dsr::decimal(18,2) AS new_dsr, cr_limit::decimal(18,2) AS cr_limit,
-  final_score::decimal(18,2) AS final_score, final_score_desc
+  net_income::decimal(28,9) AS net_income, ndi::decimal(28,9) AS ndi, cur_dsr::decimal(28,9) AS cur_dsr,
+  new_dsr::decimal(28,9) AS new_dsr, cr_limit::decimal(28,9) AS cr_limit,
+  final_score::decimal(28,9) AS final_score, final_score_desc
 FROM f_card_app""")
 part("silver_coll_summary", """
 SELECT coalesce(l.k, c.k)::varchar AS cif_id, coalesce(l.u, 0) AS total_loan_unpaid,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import amount_text
 from ..operators import quality as dq
 from ..operators.quality import InfoType, RowRule, Rule
+from ..operators.sets import union_all
 from ..plans import registry, silver
 from ..plans import profile as profile_plans
 from ..sources.tables import declare, literal_rows
@@ -123,14 +124,14 @@ def dq_05(t):
                    "unpaid", "combined_unpaid", F.count_distinct("cif_no"))])
 
 
-@query("dq_06_readiness", """
-SELECT 'bronze_customer' AS table_name, true AS present, count(*) AS row_count FROM f_customer
-UNION ALL SELECT 'bronze_card', true, count(*) FROM f_card UNION ALL SELECT 'bronze_loan_app', true, count(*) FROM f_loan_app
-UNION ALL SELECT 'bronze_card_app', true, count(*) FROM f_card_app
+INPUTS = ("customer", "card", "loan_app", "card_app", "loan_coll", "card_coll", "card_sales")
+
+
+@query("dq_06_readiness", " UNION ALL ".join(f"SELECT 'bronze_{n}' AS table_name, true AS present, count(*) AS row_count FROM f_{n}" for n in INPUTS) + """
 UNION ALL SELECT 'bronze_absent', count(*) < 0, CASE WHEN count(*) < 0 THEN 1 END FROM f_card""")
 def dq_06(t):
     """Which bronze relations are registered, with their rows."""
-    names = ["customer", "card", "loan_app", "card_app"]
+    names = list(INPUTS)
     for n in names:
         t.f(n).createOrReplaceTempView(f"bronze_{n}")
     ready = dq.tables_ready(t.spark, [f"bronze_{n}" for n in [*names, "absent"]])
@@ -148,23 +149,28 @@ def dq_07(t):
                                  [gold, profile_plans.feature_store(gold)])
 
 
-PROFILED = [("cif_id", 0), ("state", 0), ("recv_promo", 0), ("citizen", 0), ("age", 1), ("net_income", 1)]
+# Every column of the customer table, and an id beyond sixteen digits.
+TEXTS = ["cif_nm", "gender", "marital_sts", "citizen", "state", "region", "race", "occupation", "nob", "recv_promo"]
+NUMBERS = ["cif_id", "emp_sts", "age", "yr_stay", "yr_job", "net_income", "gross_income", "annual_income"]
 
 
-def _profile_sql(c, numeric):
-    lo, av, hi = (f"min({c}::decimal(18,2))::double", f"round(avg({c}::decimal(18,2))::decimal(22,6), 2)::double",
-                  f"max({c}::decimal(18,2))::double") if numeric else ("NULL::double",) * 3
+def _profile_sql(c):
+    lo, av, hi = (f"min({c})::double", f"round(avg({c}::decimal(28,9))::double, 4)", f"max({c})::double") if c in NUMBERS else (
+        (f"min({c})::double", "NULL::double", f"max({c})::double") if c == "long_id" else ("NULL::double",) * 3)
     return f"""SELECT '{c}' AS column_name, count(*) AS row_count,
   round((count(*) - count({c}))::decimal(20,0) * 100 / count(*), 2)::double AS null_pct,
   round(count(DISTINCT {c})::decimal(20,0) * 100 / count(*), 2)::double AS uniqueness_pct,
   count(DISTINCT {c}) AS distinct_count, {lo} AS min_value, {av} AS avg_value, {hi} AS max_value
-FROM (SELECT cif_id::varchar AS cif_id, state, recv_promo, citizen, age, net_income FROM f_customer)"""
+FROM (SELECT *, cif_id + 100000000000000000 AS long_id FROM f_customer)"""
 
 
-@query("dq_08_profile", " UNION ALL ".join(_profile_sql(c, n) for c, n in PROFILED))
+@query("dq_08_profile", " UNION ALL ".join(_profile_sql(c) for c in [*TEXTS, *NUMBERS, "rcd_dt", "long_id"]))
 def dq_08(t):
-    return dq.profile(t.f("customer").select(F.col("cif_id").cast("string").alias("cif_id"),
-                                             *[c for c, _ in PROFILED[1:]]))
+    rows = t.f("customer").withColumn("long_id", F.col("cif_id") + F.lit(100000000000000000))
+    number = lambda c: F.when(F.col("column_name").isin(*NUMBERS, "long_id"), F.col(c).try_cast("double"))
+    return dq.profile(rows, exact=rows.columns).withColumns({
+        "min_value": number("min_value"), "max_value": number("max_value"),
+        "avg_value": F.when(F.col("column_name") != "long_id", F.round("avg_value", 4))})
 
 
 @query("dq_09_first_present", "SELECT round(avg(avg_loan_dsr)::decimal(22,6), 2)::double AS avg_dsr FROM gold_profile")
@@ -175,20 +181,27 @@ def dq_09(t):
 
 
 COMMENTS = {"cif_id": ("bigint", "Customer id"), "state": ("string", "State of residence"), "age": ("bigint", "")}
+ALL_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark",
+              "labels", "conversations")
 
 
 @query("dq_10_metadata_coverage", """
 SELECT 'cards' AS table_name, count(*) AS row_count, 11::bigint AS total_columns, 0::bigint AS described_columns,
   0.0::double AS coverage_pct FROM f_card
-UNION ALL SELECT 'customers', count(*), 3, 2, 66.7 FROM f_customer
-UNION ALL SELECT 'TOTAL', (SELECT count(*) FROM f_card) + (SELECT count(*) FROM f_customer), 14, 2, 14.3""")
+UNION ALL SELECT 'customers', count(*), 19, 2, 10.5 FROM f_customer
+UNION ALL SELECT 'TOTAL', (SELECT count(*) FROM f_card) + (SELECT count(*) FROM f_customer), 30, 2, 6.7""")
 def dq_10(t):
-    return dq.metadata_coverage({"cards": t.f("card"), "customers": declare(t.f("customer"), COMMENTS)})
+    return dq.metadata_coverage({"cards": t.f("card"), "customers": declare(t.f("customer"), COMMENTS, keep_others=True)})
 
 
 @query("dq_11_storage_audit")
 def dq_11(t):
-    return dq.storage_audit({n: t.raw(n) for n in ("customer", "orders", "lineitem", "events")})
+    return dq.storage_audit({n: t.raw(n) for n in ALL_TABLES})
+
+
+@query("dq_11b_stored_rows", " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in ALL_TABLES))
+def dq_11b(t):
+    return dq.storage_audit({n: t.raw(n) for n in ALL_TABLES}).select("table_name", F.col("row_count").cast("bigint").alias("row_count"))
 
 
 # Test dictionary: kinds of values present in the derived customer table.
@@ -211,18 +224,29 @@ def _pii_sql(col, kind, hit, level, action):
     _pii_sql("cif_id", "CUSTOMER_ID", "regexp_full_match(cif_id::varchar, '[0-9]{3,10}')", "MODERATE_IDENTIFIER", "PSEUDONYMISE"),
     _pii_sql("state", "STATE", "state LIKE 'NATION_%'", "QUASI_IDENTIFIER", "ROW_POLICY")]))
 def dq_12(t):
-    return dq.pii_scan(t.f("customer").select("cif_id", "cif_nm", "state", "region", "age"), INFO_TYPES)
+    return dq.pii_scan(t.f("customer"), INFO_TYPES)
+
+
+_MAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
+TEXT_COLUMNS = [("documents", "text"), ("documents", "lang"), ("documents", "source"), ("pages", "url"), ("pages", "html"),
+                ("conversations", "role"), ("conversations", "text")]
 
 
-@query("dq_12b_sensitive_text", """
-SELECT 'text' AS column_name, 'EMAIL' AS infotype, count(text) AS values,
-  count(*) FILTER (regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}')) AS hits,
-  'HIGH_PII' AS sensitivity_level, 'REDACT' AS governance_action,
-  round((count(*) FILTER (regexp_matches(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}')))::decimal(20,0)
-    / count(text), 4)::double AS hit_ratio, 'POSSIBLE' AS likelihood FROM documents""")
+def _mail_sql(table, col):
+    hits = f"count(*) FILTER (regexp_matches({col}, '{_MAIL}'))"
+    return f"""SELECT '{table}' AS table_name, '{col}' AS column_name, 'EMAIL' AS infotype, count({col}) AS values, {hits} AS hits,
+  'HIGH_PII' AS sensitivity_level, 'REDACT' AS governance_action, round(({hits})::decimal(20,0) / count({col}), 4)::double AS hit_ratio,
+  CASE WHEN round(({hits})::decimal(20,0) / count({col}), 4) >= 0.95 THEN 'VERY_LIKELY'
+    WHEN round(({hits})::decimal(20,0) / count({col}), 4) >= 0.5 THEN 'LIKELY' ELSE 'POSSIBLE' END AS likelihood
+FROM {table} HAVING {hits} > 0"""
+
+
+@query("dq_12b_sensitive_text", " UNION ALL ".join(_mail_sql(*c) for c in TEXT_COLUMNS))
 def dq_12b(t):
-    email = InfoType("EMAIL", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", level="HIGH_PII", action="REDACT")
-    return dq.pii_scan(t.documents.select("text"), [email])
+    """Every text column of the three text tables."""
+    mail = InfoType("EMAIL", _MAIL, level="HIGH_PII", action="REDACT")
+    return union_all([dq.pii_scan(t.raw(n).select(*[c for m, c in TEXT_COLUMNS if m == n]), [mail]).withColumn("table_name", F.lit(n))
+                      for n in dict.fromkeys(m for m, _ in TEXT_COLUMNS)])
 
 
 CATALOG = [("cif_nm", "HIGH_PII", "SHA256 mask", True), ("cif_id", "MODERATE_IDENTIFIER", "Pseudonymise in clean rooms", True),
@@ -269,3 +293,15 @@ CANDIDATES = [("orders", "o_custkey", "customer", "c_custkey"), ("lineitem", "l_
 def dq_15(t):
     names = {n for c in CANDIDATES for n in (c[0], c[2])}
     return dq.relationships({n: t.raw(n) for n in names}, CANDIDATES)
+
+
+FOUND = [("orders", "o_custkey", "customer", "c_custkey"), ("customer", "c_nationkey", "nation", "n_nationkey"),
+         ("supplier", "s_nationkey", "nation", "n_nationkey"), ("lineitem", "l_orderkey", "orders", "o_orderkey"),
+         ("lineitem", "l_partkey", "part", "p_partkey"), ("nation", "n_regionkey", "region", "r_regionkey")]
+
+
+@query("dq_15b_discovered_relationships", " UNION ALL ".join(f"SELECT * FROM ({_contain_sql(*c)}) WHERE confidence >= 0.5" for c in
+       [*FOUND, ("lineitem", "l_suppkey", "supplier", "s_suppkey")]))
+def dq_15b(t):
+    """The keys of the star schema, found without being told."""
+    return dq.discover_relationships({n: t.raw(n) for n in ALL_TABLES if n not in ("events", "embeddings")})

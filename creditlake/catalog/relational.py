@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import aggregates as agg
-from ..functions.scalars import key
+from ..functions.scalars import key, money
 from ..operators import joins, sets, topk, windows
 from ..operators.lists import top_list
 from ..plans import silver
@@ -43,10 +43,10 @@ JOIN (SELECT DISTINCT * FROM partner_rows) p ON p.match_key = c.cif_id::varchar
 def jn_03(t):
     from .products import build_partner
     cust = silver.newest_customers(t.f("customer")).select(key("cif_id").alias("cif_id"))
-    sales = t.f("card_sales").select(key("cif_no").alias("cif_id"), "amount")
+    sales = t.f("card_sales").groupBy(key("cif_no").alias("cif_id")).agg(F.count(F.lit(1)).alias("sales"), F.sum(money("amount")).alias("amount"))
     members = build_partner(t).distinct().select(F.col("match_key").alias("cif_id"), "loyalty_tier")
     return cust.join(members, "cif_id").join(sales, "cif_id").groupBy("loyalty_tier").agg(
-        F.count(F.lit(1)).alias("n"), agg.sum_money("amount").alias("spend"))
+        F.sum("sales").alias("n"), F.round(F.sum("amount"), 2).alias("spend"))
 
 
 @query("jn_04_folded_text", """

@@ -7,6 +7,7 @@ import datetime
 from pyspark.sql import functions as F
 
 from ..functions import scalars as s
+from ..functions.aggregates import sum_money
 from ..operators.lookup import lookup_row
 from ..plans import profile
 from .base import query
@@ -206,7 +207,23 @@ LOOKUP_COLS = ["cif_id", "state", "occupation", "wallet_tier", "total_cards_held
 
 @query("flt_02_point_lookup", f"SELECT {', '.join(LOOKUP_COLS)}, 'FOUND' AS status FROM gold_wide WHERE cif_id = '7'")
 def flt_02(t):
-    return lookup_row(gold_wide(t).select(*LOOKUP_COLS), "cif_id", "'7';")
+    return lookup_row(gold_wide(t).select(*LOOKUP_COLS), "cif_id", "7")
+
+
+@query("flt_02b_refused_id", f"""SELECT '7;' AS cif_id, {', '.join(f'any_value({c}) FILTER (false) AS {c}' for c in LOOKUP_COLS[1:])}, 'NOT_FOUND' AS status
+FROM gold_wide""")
+def flt_02b(t):
+    """An id that holds other signs is not cut to one that exists."""
+    return lookup_row(gold_wide(t).select(*LOOKUP_COLS), "cif_id", "7;")
+
+
+@query("prj_05b_small_amounts", """
+SELECT l_returnflag, round(sum((l_discount::decimal(18,4) * l_tax::decimal(18,4))::decimal(28,9)), 2)::double AS total,
+  round(max((l_discount::decimal(18,4) * l_tax::decimal(18,4))::decimal(28,9)), 4)::double AS top FROM lineitem GROUP BY 1""")
+def prj_05b(t):
+    """Amounts far below a hundredth add up; only the sum is rounded."""
+    small = F.col("l_discount").cast("decimal(18,4)") * F.col("l_tax").cast("decimal(18,4)")
+    return t.lineitem.groupBy("l_returnflag").agg(sum_money(small).alias("total"), F.round(F.max(s.money(small)), 4).alias("top"))
 
 
 @query("flt_03_eligible", "SELECT * FROM feature_rows WHERE active_card_count = 0 AND loan_app_count > 0 "

@@ -47,7 +47,7 @@ def sec_04(t):
 @query("sec_05_tag_audit", """
 SELECT 'customer_profile' AS table_name, 'cif_nm' AS column_name, 'string' AS data_type, 'customer_name' AS tag,
   count(cif_nm) AS values FROM gold_profile
-UNION ALL SELECT 'customer_profile', 'net_income', 'decimal(18,2)', 'financial_amount', count(net_income) FROM gold_profile""")
+UNION ALL SELECT 'customer_profile', 'net_income', 'decimal(28,9)', 'financial_amount', count(net_income) FROM gold_profile""")
 def sec_05(t):
     df = sec.tag_columns(gold_profile(t), {"cif_nm": "customer_name", "net_income": "financial_amount",
                                             "state": "location"})
@@ -88,21 +88,21 @@ SELECT state, marital_sts, count(DISTINCT cif_id) AS joint_customers,
   sum(card_spend)::double AS total_card_spend, sum(partner_spend)::double AS total_partner_spend
 FROM joint_rows GROUP BY 1, 2 HAVING count(DISTINCT cif_id) >= 20""")
 def sec_08(t):
-    rows = marts.joint_spend(t.f("customer"), t.f("card_sales"), build_partner(t))
+    rows = marts.joint_totals(t.f("customer"), t.f("card_sales"), build_partner(t))
     room = sec.CleanRoom(rows, "cif_id", 20, ["cif_id", "state"])
     return room.aggregate(["state", "marital_sts"], joint_customers=("count_distinct", "cif_id"),
                           total_card_spend=("sum", "card_spend"), total_partner_spend=("sum", "partner_spend"))
 
 
 @query("sec_09_results_only", """
-SELECT r.subcontinent, count(*) AS transactions FROM joint_rows j JOIN f_geo_region r ON r.target_region = j.state
+SELECT r.subcontinent, count(*)::bigint AS transactions FROM joint_rows j JOIN f_geo_region r ON r.target_region = j.state
 GROUP BY 1 HAVING count(DISTINCT cif_id) >= 20""")
 def sec_09(t):
     """A partner joins own data on an allowed column and takes results out, never rows."""
-    rows = marts.joint_spend(t.f("customer"), t.f("card_sales"), build_partner(t))
+    rows = marts.joint_totals(t.f("customer"), t.f("card_sales"), build_partner(t))
     room = sec.CleanRoom(rows, "cif_id", 20, ["cif_id", "state"])
     own = t.f("geo_region").select(F.col("target_region").alias("state"), "subcontinent")
-    return room.join(own, ["state"]).aggregate(["subcontinent"], transactions=("count", "card_spend"))
+    return room.join(own, ["state"]).aggregate(["subcontinent"], transactions=("sum", "transactions"))
 
 
 @query("sec_10_shared_view", """

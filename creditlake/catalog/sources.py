@@ -14,13 +14,13 @@ from ..sources import files, tables
 from .base import query
 
 
-@query("src_01_csv_gzip", "SELECT doc_id, text, lang, n_chars FROM documents")
+@query("src_01_csv_gzip", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def src_01(t):
     """Whole texts with quotes and newlines through gzip CSV and back."""
     path = scratch_path(t.spark, "csv")
-    rows = t.documents.select("doc_id", "text", "lang", "n_chars")
+    rows = t.documents.select("doc_id", "text", "lang", "source", "n_chars")
     files.write_csv(rows, path)
-    return files.load_csv(t.spark, path, rows.schema)
+    return files.load_csv(t.spark, path, rows.schema, multi_line=True)
 
 
 @query("src_02_described_table", "SELECT appl_no, cif_no, appl_dt, status, fin_amt FROM f_loan_app")
@@ -135,6 +135,22 @@ def src_11(t):
     return rows.join(audit.select("table_name"), "table_name", "left_semi")
 
 
+@query("src_11b_discovery_of_like_names", """
+SELECT 'east/2024' AS table_name, sum(CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END)::bigint AS row_count, true AS has_objects FROM customer
+UNION ALL SELECT 'west/2024', count(*), true FROM nation
+UNION ALL SELECT 'west/parts', count(*), true FROM region""")
+def src_11b(t):
+    """Folders of one name below different parents, and one with partition folders, are three tables; the audit names objects."""
+    root = scratch_path(t.spark, "discover")
+    files.write_csv(t.customer.where("c_custkey % 2 = 0"), f"{root}/east/2024", compression="none")
+    files.write_csv(t.nation, f"{root}/west/2024", compression="none")
+    t.region.write.partitionBy("r_regionkey").option("header", "true").csv(f"{root}/west/parts")
+    found, audit = files.discover(t.spark, root)
+    from ..operators.sets import labelled_counts
+    objects = audit.groupBy("table_name").agg((F.count_if(F.col("object_name").endswith(".csv") & (F.col("size_bytes") > 0)) > 0).alias("has_objects"))
+    return labelled_counts(found, "table_name").join(objects, "table_name", "left")
+
+
 @query("src_12_snapshot", "SELECT week, region_no, term, score FROM f_trend WHERE refresh_date = (SELECT max(refresh_date) FROM f_trend)")
 def src_12(t):
     latest = at_latest(t.f("trend"), "refresh_date").select("week", "region_no", "term", "score")

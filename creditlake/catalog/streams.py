@@ -25,9 +25,20 @@ def _drain(q):
 def st_01(t):
     path = scratch_path(t.spark, "increment")
     rows = t.orders.select("o_orderkey", "o_orderdate")
-    inc.load_increment(t.spark, rows.where(F.year("o_orderdate") < 1998), path, "o_orderdate")
-    inc.load_increment(t.spark, rows, path, "o_orderdate")
-    inc.load_increment(t.spark, rows, path, "o_orderdate")
+    for part in (rows.where(F.year("o_orderdate") < 1998), rows, rows):
+        inc.load_increment(t.spark, part, path, "o_orderdate", ["o_orderkey"])
+    return t.spark.read.parquet(path)
+
+
+@query("st_01c_late_rows", "SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN o_orderdate END AS o_orderdate FROM orders")
+def st_01c(t):
+    """Rows that come later with the newest date, an older date within the lookback, or no date, equal one full load."""
+    path = scratch_path(t.spark, "increment")
+    rows = t.orders.select("o_orderkey", F.when(F.col("o_orderkey") % 5 != 0, F.col("o_orderdate")).alias("o_orderdate"))
+    newest = rows.select(F.date_sub(F.max("o_orderdate"), 30)).scalar()
+    late = (F.col("o_orderkey") % 3 == 0) & (F.col("o_orderdate").isNull() | (F.col("o_orderdate") >= newest))
+    for part in (rows.where(~late), rows, rows):
+        inc.load_increment(t.spark, part, path, "o_orderdate", ["o_orderkey"], lookback_days=30)
     return t.spark.read.parquet(path)
 
 
@@ -81,4 +92,18 @@ def st_05(t):
     out, cp = scratch_path(t.spark, "daily"), scratch_path(t.spark, "cp")
     stream = jobs.file_stream(t.spark, src, t.events.schema, per_batch=2)
     _drain(jobs.daily_series(stream, out, cp, "ts", "event_type", "value"))
-    return inc.read_upserted(t.spark, out).select("day", "event_type", "total")
+    return jobs.read_daily_series(t.spark, out, "event_type")
+
+
+@query("st_05b_daily_series_out_of_order", """
+SELECT ts::date AS day, event_type, sum(value::decimal(18,2))::double AS total FROM events GROUP BY 1, 2""")
+def st_05b(t):
+    """Newest files first: every other row is late by days, and none is lost."""
+    src, out, cp = scratch_path(t.spark, "events"), scratch_path(t.spark, "daily"), scratch_path(t.spark, "cp")
+    rows = t.events.select("ts", "event_type", "value")
+    middle = rows.select(F.percentile_approx(F.col("ts").cast("timestamp").cast("double"), 0.5)).scalar()
+    newer = F.col("ts").cast("timestamp").cast("double") >= middle
+    for part in (rows.where(newer), rows.where(~newer)):
+        part.write.mode("append").parquet(src)
+        _drain(jobs.daily_series(jobs.file_stream(t.spark, src, rows.schema), out, cp, "ts", "event_type", "value"))
+    return jobs.read_daily_series(t.spark, out, "event_type")

@@ -23,7 +23,7 @@ def now():
 
 
 part("log_rows", """
-SELECT invocation_id, agent_name, substr(user_query, 1, 500) AS user_query, prompt_tokens, completion_tokens, subject_id,
+SELECT invocation_id, agent_name, user_query, prompt_tokens, completion_tokens, subject_id,
   latency_ms::decimal(18,2)::double AS latency_ms, prompt_tokens + completion_tokens AS total_tokens,
   round((prompt_tokens + completion_tokens)::decimal(12,0) * 2.67::decimal(6,4) / 1000000::bigint, 6)::double AS estimated_cost
 FROM f_agent_log""")

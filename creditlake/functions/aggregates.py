@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .scalars import col, money
+from .scalars import MONEY, col, money
 
 
 def sum_money(c: str | Column) -> Column:
-    """Exact sum of amounts."""
-    return F.sum(money(c))
+    """Exact sum of amounts, rounded to two decimals after the sum."""
+    return F.round(F.sum(money(c)), 2)
 
 
 def sum_money_or_zero(c: str | Column) -> Column:
-    return F.sum(F.coalesce(money(c), F.lit(0).cast("decimal(18,2)")))
+    return F.round(F.sum(F.coalesce(money(c), F.lit(0).cast(MONEY))), 2)
 
 
 def avg_money(c: str | Column, digits: int = 2) -> Column:
@@ -23,7 +23,7 @@ def avg_money(c: str | Column, digits: int = 2) -> Column:
 
 def sum_if(cond: Column, c: str | Column) -> Column:
     """Sum over the rows that satisfy the condition, zero for the others."""
-    return F.sum(F.when(cond, money(c)).otherwise(F.lit(0).cast("decimal(18,2)")))
+    return F.round(F.sum(F.when(cond, money(c)).otherwise(F.lit(0).cast(MONEY))), 2)
 
 
 def count_or_one(c: str | Column) -> Column:

@@ -7,7 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+# Amounts, rates and ratios keep nine decimals; only results are rounded.
+MONEY = "decimal(28,9)"
 RATIO = "decimal(18,4)"
 
 
@@ -102,7 +103,7 @@ def fold(c: str | Column) -> Column:
 
 def amount_text(c: str | Column) -> Column:
     """Amount with two decimals, without exponent."""
-    return money(c).cast("string")
+    return col(c).cast("decimal(38,2)").cast("string")
 
 
 def mask_sha256(c: str | Column) -> Column:

@@ -3,19 +3,17 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from statistics import NormalDist
 
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Two-sided normal quantiles.
-QUANTILES = {0.8: 1.281552, 0.9: 1.644854, 0.95: 1.959964, 0.99: 2.575829}
-
 
 def daily_series(df: DataFrame, date, ids: list[str], amount: str, value: str = "value") -> DataFrame:
     """Exact daily sums per series; rows without a date are left out."""
     rows = df.withColumn("ds", date).where(F.col("ds").isNotNull())
-    return rows.groupBy(*ids, "ds").agg(F.sum(F.col(amount).cast("decimal(18,2)")).alias(value))
+    return rows.groupBy(*ids, "ds").agg(F.round(F.sum(F.col(amount).cast("decimal(28,9)")), 2).alias(value))
 
 
 def forecast(daily: DataFrame, ids: list[str], horizon: int = 30, level: float = 0.95, date: str = "ds",
@@ -25,7 +23,7 @@ def forecast(daily: DataFrame, ids: list[str], horizon: int = 30, level: float =
     Everything is one shuffle on the series id: after daily aggregation a series has one row per calendar
     day, however many transactions it holds.
     """
-    z = QUANTILES[level]
+    z = round(NormalDist().inv_cdf((1 + level) / 2), 6)
     w, by_dow = Window.partitionBy(*ids), Window.partitionBy(*ids, "dow")
     y, x = F.col("y"), F.col("x")
     rows = (daily.select(*ids, F.col(date).alias("ds"), F.col(value).cast("double").alias("y"))

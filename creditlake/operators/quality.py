@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
@@ -165,31 +166,29 @@ def tables_ready(spark, names: Sequence[str]) -> DataFrame:
 def zero_variance_gate(bronze: DataFrame, silver: DataFrame, amount: str,
                        non_empty: Sequence[DataFrame]) -> DataFrame:
     """One row: are the control totals equal and all the given products non-empty?"""
-    total = F.coalesce(F.sum(F.col(amount).cast("decimal(18,2)")), F.lit(0).cast("decimal(28,2)"))
+    total = F.coalesce(F.sum(F.col(amount).cast("decimal(28,9)")), F.lit(0).cast("decimal(38,9)"))
     diff = union_all([bronze.agg(total.alias("v")), silver.agg((-total).alias("v"))]).agg(F.sum("v").alias("v"))
     checks = [diff.select((F.col("v") == 0).alias("ok"))]
     checks += [df.limit(1).agg((F.count(F.lit(1)) > 0).alias("ok")) for df in non_empty]
     return union_all(checks).agg(F.min("ok").alias("passed"))
 
 
-def profile(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Null share, uniqueness, minimum, average, maximum and distinct count of every column.
+def profile(df: DataFrame, exact: Sequence[str] = ()) -> DataFrame:
+    """Null share, uniqueness, minimum, average, maximum and distinct count of every column, in one pass.
 
-    One aggregation over the table. Exact distinct counts expand the rows once per column;
-    ``approximate`` swaps them for sketches of fixed size, the choice for very wide tables.
+    Minimum and maximum are of the column's own type, as text; the average is a double. Distinct counts are sketches of
+    fixed size, but for the columns named in ``exact``, for each of which the rows are expanded once.
     """
     fields = [f for f in df.schema.fields if isinstance(f.dataType, (
         T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))]
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, f in enumerate(fields):
         c = F.col(f"`{f.name}`")
-        numeric = isinstance(f.dataType, T.NumericType)
-        v = c.cast("decimal(18,2)")
         aggs += [F.count(c).alias(f"__c{i}"),
-                 (F.approx_count_distinct(c) if approximate else F.count_distinct(c)).alias(f"__d{i}"),
-                 (F.min(v) if numeric else F.lit(None).cast("decimal(18,2)")).alias(f"__lo{i}"),
-                 (F.round(F.avg(v), 2) if numeric else F.lit(None).cast("decimal(22,2)")).alias(f"__av{i}"),
-                 (F.max(v) if numeric else F.lit(None).cast("decimal(18,2)")).alias(f"__hi{i}")]
+                 (F.count_distinct(c) if f.name in exact else F.approx_count_distinct(c)).alias(f"__d{i}"),
+                 F.min(c).cast("string").alias(f"__lo{i}"),
+                 (F.avg(c).cast("double") if isinstance(f.dataType, T.NumericType) else F.lit(None).cast("double")).alias(f"__av{i}"),
+                 F.max(c).cast("string").alias(f"__hi{i}")]
     n = F.col("__n")
     pct = lambda x: F.round(x.cast("decimal(20,0)") * 100 / F.nullif(n, F.lit(0)), 2)
     return _struct_rows(df.agg(*aggs), [
@@ -283,8 +282,8 @@ def sensitivity_tags(tables: Mapping[str, DataFrame], catalog: DataFrame, layers
 
 def containment(left: DataFrame, left_col: str, right: DataFrame, right_col: str) -> DataFrame:
     """Share of the distinct left keys that exist on the right, as a one-row DataFrame."""
-    lk = left.select(F.col(left_col).cast("string").alias("k")).where("k is not null").distinct()
-    rk = right.select(F.col(right_col).cast("string").alias("k")).where("k is not null").distinct()
+    lk = left.select(F.col(left_col).cast("string").alias("k")).where("k is not null")
+    rk = right.select(F.col(right_col).cast("string").alias("k")).where("k is not null")
     both = lk.withColumn("l", F.lit(1)).unionByName(rk.withColumn("r", F.lit(1)), allowMissingColumns=True)
     return both.groupBy("k").agg(F.max("l").alias("l"), F.max("r").alias("r")).agg(
         F.count("l").alias("left_keys"), F.count(F.col("l") + F.col("r")).alias("shared_keys"))
@@ -300,6 +299,21 @@ def relationships(tables: Mapping[str, DataFrame], candidates: Sequence[tuple[st
     return union_all(rows).withColumn("confidence", conf).where(F.col("confidence") >= min_confidence)
 
 
+def discover_relationships(tables: Mapping[str, DataFrame], min_confidence: float = 0.5) -> DataFrame:
+    """Join relationships found from names and types: a column that is called, but for its prefix, like the key of another
+    table (``x_name`` with ``namekey`` or ``name_id`` after the start of the table's name) and has its type; each with its
+    containment."""
+    bare = lambda c: c.lower().split("_", 1)[-1]
+    stem = lambda c: re.sub(r"_?(key|id|no)$", "", bare(c))
+    found = []
+    for right, rdf in tables.items():
+        for rc, kind in rdf.dtypes:
+            if stem(rc) and stem(rc) != bare(rc) and right.lower().startswith(stem(rc)):
+                found += [(left, lc, right, rc) for left, ldf in tables.items() if left != right
+                          for lc, lkind in ldf.dtypes if bare(lc) == bare(rc) and lkind == kind]
+    return relationships(tables, sorted(found), min_confidence)
+
+
 def same_answer(left: DataFrame, right: DataFrame) -> DataFrame:
     """One row: rows only on the left, rows only on the right, and whether both are none."""
     only_l = left.exceptAll(right.select(*left.columns)).agg(F.count(F.lit(1)).alias("n"))

@@ -24,10 +24,12 @@ def first_pairs(members: DataFrame, group: Sequence[str], ident: str, values: Se
                 k: int) -> DataFrame:
     """The first ``k`` pairs ``left < right`` in the order (group, left, right), exactly.
 
-    Within a group those pairs only involve its ``k + 1`` smallest ids, so just these are kept before
-    the self-join; the rest of the group never meets.
+    Every group of two or more gives a pair at least, so the first ``k`` such groups hold them all; and within a group
+    those pairs only involve its ``k + 1`` smallest ids. Just these are kept before the self-join.
     """
-    few = top_per(members.select(*group, ident, *values), list(group), [F.col(ident).asc()], k + 1)
+    groups = members.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").orderBy(*group).limit(k).select(*group)
+    rows = members.select(*group, ident, *values).join(groups, list(group), "left_semi")
+    few = top_per(rows, list(group), [F.col(ident).asc()], k + 1)
 
     def side(n: int) -> DataFrame:
         return few.select(*group, *[F.col(c).alias(f"{c}_{n}") for c in [ident, *values]])

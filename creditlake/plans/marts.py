@@ -95,6 +95,16 @@ def joint_spend(customers: DataFrame, card_sales: DataFrame, partner: DataFrame)
     return cust.join(members, "cif_id").join(sales, "cif_id")
 
 
+def joint_totals(customers: DataFrame, card_sales: DataFrame, partner: DataFrame) -> DataFrame:
+    """Sums of ``joint_spend`` per pair of customer row and member row: sales are summed per customer before the joins, so a
+    customer with very many sales meets them as one row, and partner spend is weighted by their number."""
+    spend = card_sales.groupBy(key("cif_no").alias("cif_id")).agg(
+        sum_money("amount").alias("card_spend"), F.count(F.lit(1)).alias("__n"), F.count("amount").alias("transactions"))
+    cust = customers.select(key("cif_id").alias("cif_id"), "state", "marital_sts")
+    members = partner.select(key("match_key").alias("cif_id"), "retail_spend", "preferred_store", "loyalty_tier")
+    return cust.join(members, "cif_id").join(spend, "cif_id").withColumn("partner_spend", F.col("retail_spend") * F.col("__n")).drop("__n", "retail_spend")
+
+
 def joint_spend_per_customer(customers: DataFrame, card_sales: DataFrame, partner: DataFrame) -> DataFrame:
     """One row per shared customer: card spend summed before the join, partner spend once."""
     spend = card_sales.groupBy(key("cif_no").alias("cif_id")).agg(sum_money("amount").alias("card_spend"))

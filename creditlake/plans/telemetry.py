@@ -14,13 +14,12 @@ HEAVY_SLOT_MS = 600000
 
 
 def inference_log(rows: DataFrame) -> DataFrame:
-    """Token total, cost, query cut to 500 characters and latency to 2 decimals."""
+    """Token total, cost and latency to 2 decimals; the query stays whole."""
     total = F.col("prompt_tokens") + F.col("completion_tokens")
     rate = F.lit(PRICE_PER_MILLION).cast("decimal(6,2)") * F.lit(EXCHANGE_RATE).cast("decimal(6,2)")
     return rows.withColumns({
         "total_tokens": total,
         "estimated_cost": F.round(total.cast("decimal(12,0)") * rate / 1000000, 6),
-        "user_query": F.substring("user_query", 1, 500),
         "latency_ms": F.col("latency_ms").cast("decimal(18,2)")})
 
 

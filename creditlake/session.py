@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,11 +32,15 @@ def build_session(app: str = "creditlake", master: str | None = None, **conf: st
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path below the shared folder named in ``spark.checkpoint.dir``.
 
-    Without that setting only a local session gets a (machine-local) folder; a cluster has to name one.
+    Without that setting it lies in a folder of the warehouse, the other store that all executors reach, which goes
+    when the session's JVM ends.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.gettempdir()
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch-{spark.sparkContext.applicationId}"
+        jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+        folder = jvm.org.apache.hadoop.fs.Path(root)
+        store = folder.getFileSystem(conf)
+        store.mkdirs(folder)
+        store.deleteOnExit(folder)
     return f"{root.rstrip('/')}/creditlake-{name}-{uuid.uuid4().hex}"

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
-from urllib.parse import unquote
+from urllib.parse import quote, unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,23 +12,25 @@ from pyspark.sql import types as T
 
 # Nothing between two commas is null, two quotes are the empty text: the reader's own null mark is a control
 # character that no extract holds.
-_CSV = {"header": "true", "multiLine": "true", "quote": '"', "escape": '"', "nullValue": "\u0001",
+_CSV = {"header": "true", "quote": '"', "escape": '"', "nullValue": "\u0001",
         "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 
-def load_csv(spark: SparkSession, path: str, schema: T.StructType | str, partitions: int | None = None) -> DataFrame:
-    """CSV (plain or gzip) with header, quoted newlines and a declared schema; bad values fail the load.
+def load_csv(spark: SparkSession, path: str, schema: T.StructType | str, partitions: int | None = None,
+             multi_line: bool = False) -> DataFrame:
+    """CSV (plain or gzip) with header and a declared schema; bad values fail the load.
 
-    A gzip file cannot be split and is read by one task: extracts should come as many files, and
-    ``partitions`` spreads the rows of a few large ones before further work.
+    Plain files are split among tasks. Extracts with newlines inside quotes need ``multi_line``, which reads a file
+    in one task, as gzip does anyway: they should come as many files, and ``partitions`` spreads the rows of a few
+    large ones before further work.
     """
-    df = spark.read.schema(schema).options(**_CSV, mode="FAILFAST").csv(path)
+    df = spark.read.schema(schema).options(**_CSV, multiLine=multi_line, mode="FAILFAST").csv(path)
     return df.repartition(partitions) if partitions else df
 
 
-def load_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
+def load_csv_inferred(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """CSV with a schema inferred from all rows."""
-    return spark.read.options(**_CSV, inferSchema="true").csv(path)
+    return spark.read.options(**_CSV, multiLine=multi_line, inferSchema="true").csv(path)
 
 
 def write_csv(df: DataFrame, path: str, compression: str = "gzip") -> None:
@@ -54,35 +57,46 @@ def try_type_staging(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
 
 
 def clean_header(names: Sequence[str]) -> list[str]:
-    """Column names with ``-`` as ``_`` and no leading ``_``; a repeated name gets its position."""
+    """Identifiers for header cells: letters, digits and ``_`` only, no ``_`` at either end, a letter first; a name that
+    is taken, whatever its case, gets the first free number."""
     out: list[str] = []
+    taken: set[str] = set()
     for i, n in enumerate(names):
-        c = n.strip().replace("-", "_").lstrip("_") or f"column_{i + 1}"
-        out.append(c if c.lower() not in {o.lower() for o in out} else f"{c}_{i + 1}")
+        base = "_".join(re.findall(r"[0-9A-Za-z]+", n)) or f"column_{i + 1}"
+        base = f"c_{base}" if base[0].isdigit() else base
+        name, number = base, 1
+        while name.lower() in taken:
+            number += 1
+            name = f"{base}_{number}"
+        taken.add(name.lower())
+        out.append(name)
     return out
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """Path, table folder, size and time of the files below ``root``; contents are not read."""
+    """Path, table, size and time of the files below ``root``; contents are not read. The table is the folder's path
+    below ``root``, without partition folders (``name=value``)."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern)
              .load(root).select("path", F.col("length").alias("size_bytes"), "modificationTime"))
-    return files.withColumn("table_name", F.element_at(F.split("path", "/"), -2))
+    below = quote(root.rstrip("/").split("://")[-1].removeprefix("file:"), safe="/:=+,;@&$!~*'()")
+    folder = F.regexp_extract("path", rf"\Q{below}\E/(?:(.*)/)?[^/]*$", 1)
+    return files.withColumn("table_name", F.regexp_replace(folder, r"(^|/)[^/=]+=[^/]*(/[^/=]+=[^/]*)*$", ""))
 
 
-def discover(spark: SparkSession, root: str, pattern: str = "*.csv",
-             schemas: Mapping[str, T.StructType] | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
-    """One table per folder of CSV files: cleaned header, inferred (or given) schema; and the audit of
-    files. Only folder names reach the driver."""
+def discover(spark: SparkSession, root: str, pattern: str = "*.csv", schemas: Mapping[str, T.StructType] | None = None,
+             multi_line: bool = False) -> tuple[dict[str, DataFrame], DataFrame]:
+    """One table per folder of CSV files, named by its path below ``root``: cleaned header, inferred (or given) schema; and
+    the audit, one row per file. Only the names of table folders reach the driver."""
     files = list_files(spark, root, pattern)
-    folders = files.select("table_name", F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("folder")).distinct()
+    base = root.rstrip("/")
     tables = {}
-    for row in folders.collect():
-        name, folder = row["table_name"], unquote(row["folder"])
-        schema = (schemas or {}).get(name)
-        df = load_csv(spark, folder, schema) if schema is not None else load_csv_inferred(spark, folder)
+    for row in files.select("table_name").distinct().collect():
+        name = unquote(row["table_name"])
+        folder, schema = f"{base}/{name}".rstrip("/"), (schemas or {}).get(name)
+        df = load_csv(spark, folder, schema, multi_line=multi_line) if schema is not None else load_csv_inferred(spark, folder, multi_line)
         tables[name] = df.toDF(*clean_header(df.columns))
-    audit = files.groupBy("table_name").agg(F.count(F.lit(1)).alias("files"), F.sum("size_bytes").alias("size_bytes"))
-    return tables, audit.withColumn("format", F.lit("CSV"))
+    return tables, files.select("table_name", F.element_at(F.split("path", "/"), -1).alias("object_name"), "path", "size_bytes",
+                                "modificationTime", F.lit("CSV").alias("format"))
 
 
 def glossary(spark: SparkSession, text: str) -> DataFrame:

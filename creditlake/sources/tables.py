@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def declare(df: DataFrame, columns: Mapping[str, tuple[str, str]], strict: bool = True) -> DataFrame:
-    """Cast to declared types and attach column comments: ``columns`` maps name to (type, comment)."""
+def declare(df: DataFrame, columns: Mapping[str, tuple[str, str]], keep_others: bool = False) -> DataFrame:
+    """Cast to declared types and attach column comments: ``columns`` maps name to (type, comment). Missing columns are
+    refused, and so are undeclared ones unless ``keep_others`` passes them on behind the declared."""
     missing = [c for c in columns if c not in df.columns]
-    if missing and strict:
-        raise ValueError(f"missing columns {missing}")
-    return df.select(*[F.col(f"`{c}`").cast(t).alias(c, metadata={"comment": note})
-                       for c, (t, note) in columns.items() if c in df.columns])
+    others = [c for c in df.columns if c not in columns]
+    if missing or (others and not keep_others):
+        raise ValueError(f"missing columns {missing}, undeclared columns {others}")
+    return df.select(*[F.col(f"`{c}`").cast(t).alias(c, metadata={"comment": note}) for c, (t, note) in columns.items()],
+                     *[F.col(f"`{c}`") for c in others])
 
 
 def struct_of(columns: Mapping[str, tuple[str, str]]) -> T.StructType:
@@ -77,16 +79,14 @@ def write_clustered(df: DataFrame, path: str, cluster: Sequence[str], partitions
     ranged.sortWithinPartitions(*cluster).write.mode("overwrite").parquet(path)
 
 
-def append_log(df: DataFrame, path: str, timestamp: str, cluster: Sequence[str] = (), files_per_day: int = 8) -> None:
+def append_log(df: DataFrame, path: str, timestamp: str, cluster: Sequence[str] = ()) -> None:
     """Append rows to a log partitioned by day, sorted by the cluster columns within files.
 
-    A day is spread over ``files_per_day`` tasks by a row hash, so one busy day neither fills one task nor
-    leaves a file per task.
+    Days are rebalanced by size: adaptive execution splits a busy day among as many tasks (and files) as its
+    bytes need and puts small days together.
     """
     out = df.withColumn("log_date", F.to_date(timestamp))
-    plain = [c for c, t in df.dtypes if not t.startswith(("map", "variant"))]
-    slot = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in plain]), F.lit(files_per_day))
-    (out.repartition(F.col("log_date"), slot).sortWithinPartitions("log_date", *cluster)
+    (out.hint("rebalance", "log_date").sortWithinPartitions("log_date", *cluster)
      .write.mode("append").partitionBy("log_date").parquet(path))
 
 

@@ -13,18 +13,26 @@ from ..operators.windows import latest_per
 BUCKET = "key_bucket"
 
 
-def incremental(source: DataFrame, target: DataFrame, date_col: str) -> DataFrame:
-    """Source rows newer than the target's newest date; all rows for an empty target. The limit is a
-    scalar subquery, so it prunes the source scan."""
-    newest = target.select(F.max(date_col)).scalar()
-    return source.where(newest.isNull() | (F.col(date_col) > newest))
+def incremental(source: DataFrame, target: DataFrame, date_col: str, key: Sequence[str], lookback_days: int = 0) -> DataFrame:
+    """Source rows that the target lacks, by ``key``, among those from the target's newest date on (less the lookback)
+    and those without a date; all rows for an empty target.
+
+    The limit is a scalar subquery, so it prunes both scans: only the target's rows from that date on, and its undated
+    ones, take part in the anti-join.
+    """
+    since = target.select(F.date_sub(F.max(date_col), lookback_days)).scalar()
+    late = lambda: since.isNull() | F.col(date_col).isNull() | (F.col(date_col) >= since)
+    have = target.where(late()).select(*key).distinct()
+    fresh = source.where(late()).alias("s")
+    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"h.{k}")) for k in key]
+    return fresh.join(have.alias("h"), same, "left_anti")
 
 
-def load_increment(spark: SparkSession, source: DataFrame, path: str, date_col: str) -> None:
+def load_increment(spark: SparkSession, source: DataFrame, path: str, date_col: str, key: Sequence[str], lookback_days: int = 0) -> None:
     """Append the increment to the table at ``path``; the first load takes everything."""
     try:
         target = spark.read.schema(source.schema).parquet(path)
-        rows = incremental(source, target, date_col)
+        rows = incremental(source, target, date_col, key, lookback_days)
     except AnalysisException as exc:
         if exc.getCondition() != "PATH_NOT_FOUND":
             raise

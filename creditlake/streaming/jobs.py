@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.scalars import MONEY
 from .incremental import upsert
 
 
@@ -29,6 +30,11 @@ def each_batch(stream: DataFrame, checkpoint: str, fn: Callable[[DataFrame, int]
             .foreachBatch(fn).trigger(**(trigger or {"availableNow": True})).start())
 
 
+def run_of(batch: DataFrame) -> str:
+    """The id of the stream that made this batch; it lasts as long as its checkpoint."""
+    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def _upsert_batch(batch: DataFrame, path: str, key: Sequence[str], newest: str, ties: Sequence[str], buckets: int) -> None:
     """The upsert reads a batch twice; keep it, so that sources and state are run through once."""
     batch.persist()
@@ -39,11 +45,11 @@ def _upsert_batch(batch: DataFrame, path: str, key: Sequence[str], newest: str,
 
 
 def ingest(stream: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Exactly-once append: a batch overwrites the folder of its own number, so a repeated batch replaces
-    itself."""
+    """Exactly-once append: a batch overwrites the folder of its own run and number, so a repeated batch replaces itself
+    and one of a new checkpoint never replaces another."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/run_id={run_of(batch)}/batch_id={batch_id}")
 
     return each_batch(stream, checkpoint, write, **trigger)
 
@@ -65,20 +71,22 @@ def append_telemetry(stream: DataFrame, path: str, checkpoint: str, timestamp: s
             .trigger(**(trigger or {"availableNow": True})).start())
 
 
-def daily_series(stream: DataFrame, path: str, checkpoint: str, timestamp: str, kind: str, amount: str,
-                 lateness: str = "2 days", **trigger) -> StreamingQuery:
-    """Daily sums per kind kept current.
+def daily_series(stream: DataFrame, path: str, checkpoint: str, timestamp: str, kind: str, amount: str, **trigger) -> StreamingQuery:
+    """Daily sums per kind, complete whenever a row arrives.
 
-    State holds one row per day and kind and is dropped once the day is later than the watermark. Update
-    mode sends a day's new sum whenever it changes; the upsert keeps the latest, so open days are in the
-    table too.
+    Every batch writes its own sums, a row per day and kind that it holds, into a folder of its run and number. Nothing is
+    kept as state, so no row is too late; ``read_daily_series`` adds the batches up.
     """
-    sums = (stream.withColumn("__ts", F.col(timestamp).cast("timestamp")).withWatermark("__ts", lateness)
-            .groupBy(F.window("__ts", "1 day").alias("w"), kind)
-            .agg(F.sum(F.col(amount).cast("decimal(18,2)")).alias("total"))
-            .select(F.to_date("w.start").alias("day"), kind, "total"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        _upsert_batch(batch.withColumn("batch_id", F.lit(batch_id)), path, ["day", kind], "batch_id", ["total"], 8)
+        sums = batch.groupBy(F.to_date(timestamp).alias("day"), kind).agg(F.sum(F.col(amount).cast(MONEY)).alias("part"))
+        sums.withColumn("written_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{path}/run_id={run_of(batch)}/batch_id={batch_id}")
+
+    return each_batch(stream, checkpoint, write, **trigger)
+
 
-    return each_batch(sums, checkpoint, write, mode="update", **trigger)
+def read_daily_series(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """Day, kind and total to two decimals, of the run written last: a run with a new checkpoint reads the source anew."""
+    parts = spark.read.parquet(path)
+    last = parts.select(F.max_by("run_id", "written_at")).scalar()
+    return parts.where(F.col("run_id") == last).groupBy("day", kind).agg(F.round(F.sum("part"), 2).alias("total"))

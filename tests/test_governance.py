@@ -65,7 +65,7 @@ def test_reconcile_and_profile(spark):
     df = spark.createDataFrame([(1, 1.10), (2, 2.20)], "k int, amount double")
     ok, bad = dq.Control("f", "amount", df, df), dq.Control("g", "amount", df, df.limit(1))
     assert {r.flow: r.audit_status for r in dq.reconcile([ok, bad]).collect()} == {"f": "PASS", "g": "INVESTIGATE"}
-    assert {r.column_name: r.distinct_count for r in dq.profile(df, approximate=True).collect()} == {"k": 2, "amount": 2}
+    assert {r.column_name: r.distinct_count for r in dq.profile(df).collect()} == {"k": 2, "amount": 2}
     assert dq.first_present(df, ["x", "AMOUNT"]) == "amount" and dq.first_present(df, ["x"]) is None
 
 

@@ -107,7 +107,8 @@ def test_unions(spark):
 def test_lookup(spark):
     df = spark.createDataFrame([("7", 1)], "id string, v int")
     assert tuple(lookup.lookup_row(df, "id", "7' or 1=1 --").first())[-1] == "NOT_FOUND"
-    assert tuple(lookup.lookup_row(df, "id", "'7'").first()) == ("7", 1, "FOUND")
+    assert tuple(lookup.lookup_row(df, "id", "'7'").first()) == ("'7'", None, "NOT_FOUND")
+    assert tuple(lookup.lookup_row(df, "id", "7").first()) == ("7", 1, "FOUND")
 
 
 def test_known_and_orphans(spark):
