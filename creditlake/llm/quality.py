@@ -219,7 +219,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS,
 def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> QualityModel:
     rows = map_arrow(training_rows(docs, labels, max_rows, max_bytes), row_features, "features array<int>, label int").toArrow()
     labels_seen = rows.column("label").to_numpy().astype(int)
-    features = rows.column("features").combine_chunks()
+    features = pa.chunked_array(rows.column("features").chunks, pa.list_(pa.int32())).combine_chunks() if len(rows) else pa.array([], pa.list_(pa.int32()))
     flat, at = features.values.to_numpy(), features.offsets.to_numpy()
     return fit([flat[at[i]:at[i + 1]].astype(np.int64) for i in range(len(labels_seen))], labels_seen)
 

@@ -98,12 +98,12 @@ def test_passages(frame):
     del changed[45]
     rows = [(1, text(source)), (2, text(sentence(draw, 50), source[100:160], sentence(draw, 30))), (3, text(sentence(draw, 20), changed, sentence(draw, 60))),
             (4, text(source).upper()), (5, text(sentence(draw, 60), source[10:50], sentence(draw, 60))), (6, text(sentence(draw, 300))), (7, None), (8, ""), (9, "few words"),
-            (10, text(source[:80], source[:80])), (None, text(source)), (4, text(source).upper()), (4, "another text of that id")]
+            (10, text(source[:80], source[:80])), (11, text(source[:60], source[110:170])), (None, text(source)), (4, text(source).upper()), (4, "another text of that id")]
     got = passages.repeated_passages(frame(rows)).collect()
-    texts = dict(rows[:10])
+    texts = dict(rows[:11])
     found = {(r.doc_id, r.source_id): texts[r.doc_id][r.start:r.end].lower().split() for r in got if r.doc_id in (2, 3, 4)}
     assert found[2, 1] == source[100:160] and found[4, 1] == source and found[3, 1] == changed
-    assert {r.doc_id for r in got} == {2, 3, 4, 10} and all(r.n_words >= 50 and r.similarity >= 0.8 for r in got)
+    assert {r.doc_id for r in got} == {2, 3, 4, 10, 11} and sum(r.doc_id == 11 for r in got) == 2 and all(r.n_words >= 50 and r.similarity >= 0.8 for r in got)
     assert {r.source_id for r in got} == {1}
     assert all(texts[r.source_id][r.source_start:r.source_end] for r in got)
     assert passages.repeated_passages(frame([])).count() == 0
