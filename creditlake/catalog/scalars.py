@@ -190,6 +190,11 @@ def prj_24(t):
     return t.customer.groupBy(F.current_user().alias("queried_by")).agg(F.count(F.lit(1)).alias("n"))
 
 
+@query("prj_24b_identity_check", "SELECT true AS is_session_user, count(*) AS n FROM customer")
+def prj_24b(t):
+    return t.customer.groupBy((F.current_user() == F.lit(t.spark.sparkContext.sparkUser())).alias("is_session_user")).agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("flt_01_predicates", """
 SELECT cif_id, state, age FROM f_customer
 WHERE state IN ('NATION_1', 'NATION_2', 'NATION_3') AND age BETWEEN 25 AND 60 AND citizen IS NOT NULL

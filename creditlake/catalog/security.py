@@ -83,6 +83,23 @@ def sec_07(t):
         s.income_band("net_income").alias("income_band"), F.lit(None).cast("double").alias("net_income"))
 
 
+@query("sec_07b_two_roles", """
+SELECT 'marketing' AS role, cif_id, left(cif_nm, 2) || '****' || right(cif_nm, 2) AS customer_name,
+  CASE WHEN net_income < 3000 THEN 'B40' WHEN net_income <= 7000 THEN 'M40' ELSE 'T20' END AS income_band, NULL::double AS net_income
+FROM gold_profile WHERE recv_promo = 'Y'
+UNION ALL SELECT 'underwriting', cif_id, cif_nm,
+  CASE WHEN net_income < 3000 THEN 'B40' WHEN net_income <= 7000 THEN 'M40' ELSE 'T20' END, net_income::double FROM gold_profile""")
+def sec_07b(t):
+    """Two roles side by side: masked names and bands of consenting customers, and exact figures of all."""
+    band, income = s.income_band("net_income"), F.col("net_income").cast("double")
+    rules = {
+        "marketing": sec.RoleRule({"cif_id": F.col("cif_id"), "customer_name": s.mask_middle("cif_nm"), "income_band": band,
+                                   "net_income": F.lit(None).cast("double")}, F.col("recv_promo") == "Y"),
+        "underwriting": sec.RoleRule({"cif_id": F.col("cif_id"), "customer_name": F.col("cif_nm"), "income_band": band, "net_income": income})}
+    views = [sec.role_view(gold_profile(t), role, rules).withColumn("role", F.lit(role)) for role in rules]
+    return views[0].unionByName(views[1])
+
+
 @query("sec_08_clean_room", """
 SELECT state, marital_sts, count(DISTINCT cif_id) AS joint_customers,
   sum(card_spend)::double AS total_card_spend, sum(partner_spend)::double AS total_partner_spend

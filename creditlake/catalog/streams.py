@@ -74,6 +74,18 @@ def st_03(t):
     return inc.read_upserted(t.spark, out).select("user_id", "event_id", "event_type")
 
 
+@query("st_03b_changes_with_deletes", """
+SELECT user_id, event_id, event_type FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events) WHERE rn = 1 AND event_id % 3 <> 0""")
+def st_03b(t):
+    """Files in no order; a user whose newest change is a deletion stays deleted when older changes come later."""
+    src, out, cp = (scratch_path(t.spark, n) for n in ("changes", "current", "cp"))
+    rows = t.events.select("user_id", "event_id", "event_type", "ts", (F.col("event_id") % 3 == 0).alias("gone"))
+    rows.repartition(4, "event_id").write.parquet(src)
+    _drain(jobs.apply_changes(jobs.file_stream(t.spark, src, rows.schema, per_batch=2), out, cp, ["user_id"], "ts", ["event_id"], buckets=16))
+    return inc.read_upserted(t.spark, out, deleted="gone").select("user_id", "event_id", "event_type")
+
+
 @query("st_04_telemetry_append", "SELECT conv_id, turn, role, DATE '2024-01-01' + (conv_id % 28)::int AS log_date FROM conversations")
 def st_04(t):
     src, out = scratch_path(t.spark, "telemetry-in"), scratch_path(t.spark, "telemetry")

@@ -97,6 +97,22 @@ def select_governed(df: DataFrame, columns: Sequence[str], policies: Mapping[str
     return df.select(*out)
 
 
+@dataclass(frozen=True)
+class RoleRule:
+    """What a role sees: output columns in order, and the rows it may see (all by default)."""
+
+    columns: Mapping[str, Column]
+    rows: Column | None = None
+
+
+def role_view(df: DataFrame, role: str, rules: Mapping[str, RoleRule]) -> DataFrame:
+    """The relation as a role sees it; a role without a rule sees nothing at all."""
+    if role not in rules:
+        raise PermissionError(f"{role} has no view")
+    rule = rules[role]
+    return (df if rule.rows is None else df.where(rule.rows)).select(*[c.alias(n) for n, c in rule.columns.items()])
+
+
 # --- clean room -------------------------------------------------------------------------------
 
 class CleanRoom:

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import assert_table
+from ..sources import versions
 from ..sources.tables import write_clustered
 from . import profile, silver
 
@@ -42,20 +43,31 @@ MEDALLION: tuple[Step, ...] = (
 
 def run(spark: SparkSession, sources: Mapping[str, DataFrame], root: str,
         steps: Sequence[Step] = MEDALLION) -> dict[str, DataFrame]:
-    """Build, write and assert every step in order; returns all tables by name."""
+    """Build, write, assert and then publish every step in order; returns all tables by name.
+
+    All inputs have to be there before the first step begins. A step is written aside; one that fails its assertions is
+    never published, so ``read`` keeps giving the version before.
+    """
+    built = {s.name for s in steps}
+    if missing := sorted({i for s in steps for i in s.inputs if i not in sources and i not in built}):
+        raise ValueError(f"no input {missing}")
     done = dict(sources)
     for step in steps:
-        missing = [i for i in step.inputs if i not in done]
-        if missing:
-            raise ValueError(f"{step.name}: no input {missing}")
-        path = f"{root}/{step.layer}/{step.name}"
-        write_clustered(step.build(*[done[i] for i in step.inputs]), path, list(step.cluster))
-        done[step.name] = spark.read.parquet(path)
+        path, folder = f"{root}/{step.layer}/{step.name}", versions.new_folder()
+        write_clustered(step.build(*[done[i] for i in step.inputs]), f"{path}/{folder}", list(step.cluster))
+        done[step.name] = spark.read.parquet(f"{path}/{folder}")
         if step.non_null or step.unique:
             assert_table(done[step.name], step.non_null, step.unique)
+        versions.publish(spark, path, {"all": folder})
     return done
 
 
+def read(spark: SparkSession, root: str, step: Step) -> DataFrame:
+    """A product as published last."""
+    path = f"{root}/{step.layer}/{step.name}"
+    return spark.read.parquet(f"{path}/{versions.current(spark, path)['all']}")
+
+
 def lineage(steps: Sequence[Step], schemas: Mapping[str, DataFrame]) -> DataFrame:
     """One row per input and product with the columns they share and the rows of the input."""
     built = {s.name for s in steps}

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.windows import latest_per
+from ..sources import versions
 
 BUCKET = "key_bucket"
 
@@ -48,25 +50,32 @@ def upsert(spark: SparkSession, path: str, batch: DataFrame, key: Sequence[str],
            ties: Sequence[str] = (), buckets: int = 64) -> None:
     """Keep the newest record per key after a batch.
 
-    The table is partitioned by a hash bucket of the key. Only buckets that the batch touches are read
-    and replaced (dynamic partition overwrite), so cost follows the batch, not the table. Applying a
-    batch twice changes nothing, which makes a repeated batch after a failure safe.
+    The table is dealt out by a hash bucket of the key. Only buckets that the batch touches are read and written anew, into
+    a folder of their own, so cost follows the batch, not the table. One manifest file then publishes the new buckets;
+    a writer that stops before leaves the table as it was. Applying a batch twice changes nothing.
     """
     rows = bucketed(batch, key, buckets)
     # At most ``buckets`` numbers.
     touched = [r[0] for r in rows.select(BUCKET).distinct().collect()]
     if not touched:
         return
-    try:
-        old = spark.read.parquet(path).where(F.col(BUCKET).isin(touched))
-        rows = old.select(*rows.columns).unionByName(rows)
-    except AnalysisException as exc:
-        if exc.getCondition() != "PATH_NOT_FOUND":
-            raise
+    parts = versions.current(spark, path)
+    if old := [parts[str(b)] for b in touched if str(b) in parts]:
+        rows = _read(spark, path, old).select(*rows.columns).unionByName(rows)
     kept = latest_per(rows, [*key, BUCKET], newest, ties)
-    (kept.repartition(BUCKET).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET).parquet(path))
+    folder = versions.new_folder()
+    kept.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{path}/{folder}")
+    versions.publish(spark, path, parts | {str(b): f"{folder}/{BUCKET}={b}" for b in touched})
+
+
+def _read(spark: SparkSession, path: str, folders: Sequence[str]) -> DataFrame:
+    names = sorted(folders)
+    parts = [spark.read.parquet(f"{path}/{f}").withColumn(BUCKET, F.lit(int(f.rpartition("=")[2]))) for f in names]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def read_upserted(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(BUCKET)
+def read_upserted(spark: SparkSession, path: str, deleted: str | None = None) -> DataFrame:
+    """The published records. ``deleted`` names a boolean column of tombstones: a key whose newest record is one is left out,
+    and an older record that comes later does not bring it back."""
+    rows = _read(spark, path, list(versions.current(spark, path).values())).drop(BUCKET)
+    return rows.where(~F.coalesce(F.col(deleted), F.lit(False))).drop(deleted) if deleted else rows

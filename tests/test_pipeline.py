@@ -12,7 +12,7 @@ from creditlake.operators.quality import same_answer
 from creditlake.plans import registry
 from creditlake.plans.telemetry import spark_event_log
 from creditlake.session import scratch_path
-from creditlake.sources import files
+from creditlake.sources import files, versions
 from creditlake.sources import tables as tb
 from creditlake.streaming import incremental as inc
 
@@ -66,14 +66,36 @@ def test_upsert_is_idempotent_and_touches_only_its_buckets(spark):
     df = lambda rows: spark.createDataFrame(rows, "k string, ver int, v string")
     first = df([(f"k{i}", 1, "old") for i in range(50)])
     inc.upsert(spark, path, first, ["k"], "ver", ["v"], buckets=16)
-    before = {r.p: r.t for r in spark.read.parquet(path).select(F.col("_metadata.file_path").alias("p"),
-                                                                F.col("_metadata.file_modification_time").alias("t")).collect()}
+    before = versions.current(spark, path)
     for _ in range(2):
         inc.upsert(spark, path, df([("k3", 2, "new"), ("k3", 0, "late")]), ["k"], "ver", ["v"], buckets=16)
     got = {r.k: r.v for r in inc.read_upserted(spark, path).collect()}
     assert len(got) == 50 and got["k3"] == "new" and sum(v == "new" for v in got.values()) == 1
-    after = {r.p for r in spark.read.parquet(path).select(F.col("_metadata.file_path").alias("p")).collect()}
-    assert 0 < len(set(before) - after) <= 2
+    after = versions.current(spark, path)
+    assert sum(after[k] != before.get(k) for k in after) == 1 and after.keys() == before.keys()
+
+
+def test_upsert_that_stops_before_publishing_changes_nothing(spark, monkeypatch):
+    path = scratch_path(spark, "up")
+    df = lambda rows: spark.createDataFrame(rows, "k string, ver int, v string")
+    inc.upsert(spark, path, df([("a", 1, "old"), ("b", 1, "old")]), ["k"], "ver", ["v"], buckets=2)
+    with monkeypatch.context() as m:
+        m.setattr(versions, "publish", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            inc.upsert(spark, path, df([("a", 2, "new")]), ["k"], "ver", ["v"], buckets=2)
+    assert {r.k: r.v for r in inc.read_upserted(spark, path).collect()} == {"a": "old", "b": "old"}
+    inc.upsert(spark, path, df([("a", 2, "new")]), ["k"], "ver", ["v"], buckets=2)
+    assert {r.k: r.v for r in inc.read_upserted(spark, path).collect()} == {"a": "new", "b": "old"}
+
+
+def test_failed_assertion_leaves_the_published_table(spark):
+    root = scratch_path(spark, "lake")
+    step = registry.Step("people", "silver", ("raw",), lambda df: df, (), ("k",), ("k",))
+    df = lambda rows: spark.createDataFrame(rows, "k int")
+    registry.run(spark, {"raw": df([(1,), (2,)])}, root, [step])
+    with pytest.raises(Exception, match="k"):
+        registry.run(spark, {"raw": df([(1,), (1,)])}, root, [step])
+    assert sorted(r.k for r in registry.read(spark, root, step).collect()) == [1, 2]
 
 
 def test_clustered_files_prune(spark):
