@@ -8,7 +8,7 @@ from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -30,26 +30,37 @@ class Propensity:
 
 
 def _numbers(df: DataFrame, numeric: Sequence[str]) -> DataFrame:
-    return df.withColumns({f"__num_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric})
+    return df.withColumns({f"__num_{c}": F.col(c).cast("double") for c in numeric})
 
 
 def fit_propensity(df: DataFrame, label: str, categorical: Sequence[str], numeric: Sequence[str],
-                   max_iter: int = 5) -> Propensity:
-    """Logistic regression on a 0/1 label with one-hot texts and balanced class weights n / (2 n_class).
+                   max_iter: int = 5, max_categories: int = 10_000) -> Propensity:
+    """Logistic regression on a 0/1 label with one-hot texts and balanced class weights n / (2 n_class); missing numbers
+    become the mean of their column, which the model keeps.
 
-    The weights come from one aggregation row; the fit itself aggregates gradients over the partitions.
+    Weights and checks come from one aggregation row; the fit itself aggregates gradients over the partitions. The
+    distinct texts of a column come to the driver, so a column of more than about ``max_categories`` is refused.
     """
-    n, pos = df.agg(F.count(label), F.sum(F.col(label).cast("bigint"))).first()
-    pos = pos or 0
+    row = df.agg(F.count(label).alias("n"), F.sum(F.col(label).cast("bigint")).alias("pos"),
+                 *[F.approx_count_distinct(c).alias(f"c{i}") for i, c in enumerate(categorical)],
+                 *[F.count(F.col(c).cast("double")).alias(f"v{i}") for i, c in enumerate(numeric)]).first()
+    n, pos = row["n"], row["pos"] or 0
     if pos in (0, n):
         raise ValueError("the label has one class only")
+    if wide := [c for i, c in enumerate(categorical) if row[f"c{i}"] > max_categories]:
+        raise ValueError(f"too many distinct texts in {wide}")
+    if bare := [c for i, c in enumerate(numeric) if not row[f"v{i}"]]:
+        raise ValueError(f"no value in {bare}")
     weight = F.when(F.col(label) == 1, n / (2 * pos)).otherwise(n / (2 * (n - pos)))
     rows = _numbers(df, numeric).withColumn("__weight", weight).withColumn("__label", F.col(label).cast("double"))
     idx, hot = [f"__idx_{c}" for c in categorical], [f"__hot_{c}" for c in categorical]
     stages = [StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep",
                             stringOrderType="alphabetAsc"),
               OneHotEncoder(inputCols=idx, outputCols=hot)] if categorical else []
-    stages += [VectorAssembler(inputCols=[f"__num_{c}" for c in numeric] + hot, outputCol="__features"),
+    filled = [f"__fill_{c}" for c in numeric]
+    if numeric:
+        stages.append(Imputer(strategy="mean", inputCols=[f"__num_{c}" for c in numeric], outputCols=filled))
+    stages += [VectorAssembler(inputCols=filled + hot, outputCol="__features"),
                LogisticRegression(featuresCol="__features", labelCol="__label", weightCol="__weight",
                                   predictionCol="__prediction", probabilityCol="__probability",
                                   rawPredictionCol="__raw", maxIter=max_iter)]

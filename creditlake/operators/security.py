@@ -118,22 +118,25 @@ def role_view(df: DataFrame, role: str, rules: Mapping[str, RoleRule]) -> DataFr
 class CleanRoom:
     """Aggregates only, over groups of at least ``k`` distinct privacy units.
 
-    The relation itself has no accessor: rows, schema-level selects and joins on other columns are refused.
+    Rows, schema-level selects and joins on other columns are refused, and single values leave only through columns listed
+    as ``extremes``. This is a convention between careful parties: code in the same process can always reach the rows.
     """
 
     _AGGS = {"sum": F.sum, "avg": F.avg, "count": F.count, "min": F.min, "max": F.max,
              "count_distinct": F.count_distinct, "count_if": F.count_if}
 
-    def __init__(self, df: DataFrame, unit: str, k: int = 20, join_columns: Sequence[str] = ()):
+    def __init__(self, df: DataFrame, unit: str, k: int = 20, join_columns: Sequence[str] = (),
+                 extremes: Sequence[str] = ()):
         if k < 1:
             raise ValueError("k must be positive")
         self.__df, self.__unit, self.__k, self.__joins = df, unit, k, tuple(join_columns)
+        self.__extremes = tuple(c for c in extremes if c != unit)
 
     def aggregate(self, by: Sequence[str], **aggs: tuple[str, str]) -> DataFrame:
         """Group by columns; ``aggs`` maps names to (function, column). Small groups vanish silently.
 
-        Neither may a group be the privacy unit itself, nor may single values leave through min and max
-        of the unit.
+        Neither may a group be the privacy unit itself, nor may single values leave through min and max, but
+        for the listed columns.
         """
         if self.__unit in by:
             raise PermissionError("the privacy unit cannot be a group")
@@ -141,8 +144,8 @@ class CleanRoom:
         for name, (fn, col) in aggs.items():
             if fn not in self._AGGS:
                 raise PermissionError(f"{fn} is not an allowed aggregate")
-            if col == self.__unit and fn in ("min", "max"):
-                raise PermissionError("values of the privacy unit cannot leave the room")
+            if fn in ("min", "max") and col not in self.__extremes:
+                raise PermissionError(f"single values of {col} cannot leave the room")
             cols.append(self._AGGS[fn](F.col(col)).alias(name))
         out = self.__df.groupBy(*by).agg(F.count_distinct(self.__unit).alias("__units"), *cols)
         return out.where(F.col("__units") >= self.__k).drop("__units")
@@ -152,7 +155,7 @@ class CleanRoom:
         refused = [c for c in on if c not in self.__joins]
         if refused or not on:
             raise PermissionError(f"join on {refused or 'nothing'} is not allowed")
-        return CleanRoom(self.__df.join(other, list(on)), self.__unit, self.__k, self.__joins)
+        return CleanRoom(self.__df.join(other, list(on)), self.__unit, self.__k, self.__joins, self.__extremes)
 
     def select(self, *columns: str) -> DataFrame:
         raise PermissionError("raw rows cannot leave the room; use aggregate")

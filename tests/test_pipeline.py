@@ -149,6 +149,14 @@ def test_attributions_add_up(spark):
         assert r.baseline + sum(a.attribution for a in r.top_feature_attributions) == pytest.approx(r.logit, abs=1e-6)
     with pytest.raises(ValueError):
         ml.fit_propensity(df.where("y = 1"), "y", ["s"], ["x"])
+    with pytest.raises(ValueError, match="too many"):
+        ml.fit_propensity(df, "y", ["s"], ["x"], max_categories=1)
+    gaps = df.withColumn("x", F.when(F.rand(3) > 0.3, F.col("x")))
+    mean = gaps.agg(F.avg("x")).first()[0]
+    filled = ml.predict(ml.fit_propensity(gaps, "y", ["s"], ["x"]), gaps.where("x is null").withColumn("x", F.lit(mean)))
+    missing = ml.predict(ml.fit_propensity(gaps, "y", ["s"], ["x"]), gaps.where("x is null"))
+    pick = lambda d: sorted(round(r[0][0].prob, 9) for r in d.select("predicted_y_probs").collect())
+    assert pick(filled) == pick(missing)
 
 
 def test_forecast_of_a_straight_line(spark):
