@@ -189,3 +189,51 @@ FROM embeddings, c ORDER BY similarity DESC, vec_id LIMIT 5""")
 def txt_02(t):
     query_vector = search.centroid(t.embeddings, "embedding").scalar()
     return search.nearest(t.embeddings, "embedding", "vec_id", [query_vector], 5)
+
+
+# A model with one text column has as many free logits as groups, so balanced weights give a closed form: the logit of a group
+# is ln((pos_g / pos) / (neg_g / neg)).
+part("group_logits", """
+SELECT g, n_g, ln((pos_g / pos) / (neg_g / neg)) AS logit, n_g / sum(n_g) OVER () AS share FROM (
+  SELECT g, count(*)::double AS n_g, sum(y)::double AS pos_g, sum(1 - y)::double AS neg_g,
+    sum(sum(y)) OVER ()::double AS pos, sum(sum(1 - y)) OVER ()::double AS neg
+  FROM (SELECT 'g' || (cif_id::bigint % 3)::varchar AS g, CASE WHEN combined_unpaid > 0 THEN 1 ELSE 0 END AS y FROM gold_profile) GROUP BY g)""")
+part("group_attributions", "SELECT g, n_g, logit, logit - sum(share * logit) OVER () AS attribution FROM group_logits")
+
+
+def grouped_risk(t):
+    return gold_profile(t).select(F.concat(F.lit("g"), (F.col("cif_id").cast("bigint") % 3).cast("string")).alias("g"),
+                                  F.when(F.col("combined_unpaid") > 0, 1).otherwise(0).alias("y"))
+
+
+def grouped_model(t):
+    return ml.fit_propensity(grouped_risk(t), "y", ["g"], [], max_iter=200)
+
+
+@query("ml_01c_closed_form_scores", "SELECT g, n_g::bigint AS n, round(1 / (1 + exp(-logit)), 4) AS prob FROM group_logits")
+def ml_01c(t):
+    """Fit and batch scores against the closed form."""
+    probs = F.col("predicted_y_probs")[0]["prob"]
+    return ml.predict(grouped_model(t), grouped_risk(t)).groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.round(F.max(probs), 4).alias("prob"))
+
+
+@query("ml_05c_closed_form_attributions", "SELECT g, round(logit, 3) AS logit, round(attribution, 3) AS attribution FROM group_attributions")
+def ml_05c(t):
+    rows = grouped_risk(t)
+    top = F.col("top_feature_attributions")[0]["attribution"]
+    return ml.explain(grouped_model(t), rows, rows).groupBy("g").agg(F.round(F.max("logit"), 3).alias("logit"), F.round(F.max(top), 3).alias("attribution"))
+
+
+@query("ml_04c_closed_form_importance", "SELECT 'g' AS feature, round(sum(n_g * abs(attribution)) / sum(n_g), 3) AS attribution FROM group_attributions")
+def ml_04c(t):
+    return ml.global_importance(grouped_model(t), grouped_risk(t)).withColumn("attribution", F.round("attribution", 3))
+
+
+@query("ml_08c_loaded_model_scores", "SELECT g, round(1 / (1 + exp(-logit)), 4) AS prob FROM group_logits")
+def ml_08c(t):
+    """Scores of a saved and loaded copy."""
+    root, rows = scratch_path(t.spark, "models"), grouped_risk(t)
+    metrics = t.spark.range(1).select(F.lit(1.0).alias("roc_auc"))
+    ml.save_model(grouped_model(t), root, "v1", metrics, t.spark)
+    probs = F.col("predicted_y_probs")[0]["prob"]
+    return ml.predict(ml.load_model(root, "v1", "y", ["g"], []), rows).groupBy("g").agg(F.round(F.max(probs), 4).alias("prob"))
