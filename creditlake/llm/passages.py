@@ -9,7 +9,8 @@
    predecessor of a fragment is a prefix maximum in a Fenwick tree over the places in the source.
 3. Chains long enough are aligned word by word: along diagonals within and between fragments and outwards from the ends as
    long as matches outweigh differences, and by dynamic programming where a gap changes the diagonal. What has at least
-   ``min_words`` words in the document and ``similarity`` equal words (of the longer side) is a passage.
+   ``min_words`` words in the document and ``similarity`` equal words (of the longer side) is a passage; a chain that falls
+   short is cut at its widest gap, and each part tried.
 
 Defined results: null and empty texts, and texts of fewer than k words, have no passages. Rows without doc_id take no part.
 Rows of equal doc_id are not compared with each other; each is compared with others on its own (equal rows count once). A
@@ -27,7 +28,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, Words, map_arrow, stored, table, utf8
 
-K, WINDOW, MIN_WORDS, SIMILARITY = 6, 10, 50, 0.8
+K, WINDOW, MIN_WORDS, SIMILARITY = 5, 8, 50, 0.8
 SKIP = 0.1  # price of a word skipped in either text
 EDGE = 8  # how far an extension may fall below its best
 MAX_GAP = 1000  # words of a gap that dynamic programming fills; chains pay SKIP for each, so longer ones don't occur below 10,000 words
@@ -169,7 +170,9 @@ def passages(b: np.ndarray, a: np.ndarray, x: np.ndarray, y: np.ndarray, k: int,
     """(start, end, source start, source end, similarity) in words, from matches (b, a) and word hashes of both texts."""
     parts = fragments(b, a, k, reach)
     out: list[tuple[int, int, int, int, float]] = []
-    for chain in chains(parts):
+    todo = chains(parts)
+    while todo:
+        chain = todo.pop()
         b0, a0 = parts[chain[0]][:2]
         equal, bp, ap = 0, b0, a0
         for i in chain:
@@ -186,6 +189,10 @@ def passages(b: np.ndarray, a: np.ndarray, x: np.ndarray, y: np.ndarray, k: int,
         b0, a0, equal = b0 - more, a0 - more, equal + same
         if bp - b0 >= min_words and equal >= similarity * max(bp - b0, ap - a0):
             out.append((b0, bp, a0, ap, equal / max(bp - b0, ap - a0)))
+        elif len(chain) > 1:  # two passages may have been joined: try both sides of the widest gap
+            gaps = [max(parts[j][0] - parts[i][0] - parts[i][2], parts[j][1] - parts[i][1] - parts[i][2]) for i, j in zip(chain, chain[1:], strict=False)]
+            cut = gaps.index(max(gaps)) + 1
+            todo += [chain[:cut], chain[cut:]]
     kept: list[tuple[int, int, int, int, float]] = []
     for p in sorted(out, key=lambda p: (p[0] - p[1], p)):  # of passages that overlap in the document, the longest
         if all(p[1] <= q[0] or p[0] >= q[1] for q in kept):
