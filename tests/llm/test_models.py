@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from creditlake.llm import langid, licenses, quality, secrets
 from creditlake.llm.common import held_out, stored, table
 
+from llm_frames import frame  # noqa: F401
+
 SF, SMALL = "/root/testdata/sf0.01", "/root/testdata/sf0.001"
 ODD = [(900001, None), (900002, ""), (900003, " \n"), (900004, "12 34 !!"), (900005, "word " * 30000), (None, "no id"), (900006, "same"), (900006, "same"), (900007, "漢字 ñandú")]
 KEY = "a8f5f167f44f4964e6c998dee827110c9f1b2c3d"

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from creditlake.llm import decontaminate, neardup, passages, topk
 from creditlake.llm.common import mix
 
+from llm_frames import frame  # noqa: F401
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 

@@ -13,6 +13,8 @@ from creditlake.llm import bpe, token_files
 from creditlake.llm.common import scratch
 from creditlake.llm.pieces import default_vocabulary, vocabulary
 
+from llm_frames import frame  # noqa: F401
+
 LIBRARY = Tokenizer.from_file(default_vocabulary())
 TEXTS = ["", "Hello world", "it's we'll I'm''s 's they've x'd'll'", "a" * 3000, " " * 2000 + "x", "\n\n  x \t ", "<|endoftext|>", "a <|endoftext|> b<|endoftext|><|endoftext|>",
          "漢字 و العربية ½²³ ǅ́", "don'T 'S x y\x85z", "=" * 200 + "word", "The house. " * 500]
