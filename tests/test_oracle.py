@@ -5,20 +5,20 @@ from collections import Counter
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from check import rows_of
+from creditlake.catalog import ORACLES, QUERIES
 from creditlake.fixtures import RAW
 
 from conftest import SF
 
-ORACLES = oracle_sql()
 # Rows-only queries that need a richer table than the smallest one.
 MAY_BE_EMPTY = {"dp_22_next_product_list", "gr_18b_cross_sell_path_json"}
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     got, cols = rows_of(df.columns, df.collect())
     if name not in ORACLES:
         assert got or name in MAY_BE_EMPTY
