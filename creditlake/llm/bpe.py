@@ -150,7 +150,7 @@ def encode_pieces(v: Vocabulary, pieces: Sequence[str]) -> tuple[np.ndarray, np.
 
 @lru_cache(2)
 def tree_coder(path: str) -> PieceCoder:
-    return PieceCoder(path, partial(encode_pieces, vocabulary(path)))
+    return PieceCoder(path, partial(encode_pieces, vocabulary(path)), max_entries=200_000)
 
 
 def decode_bytes(v: Vocabulary, ids: np.ndarray) -> np.ndarray:

@@ -49,9 +49,11 @@ def held_out(doc_id: Column | str = "doc_id") -> Column:
     return F.coalesce(F.crc32(col.cast("string")) % 5 == 0, F.lit(True))
 
 
-def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    """Apply ``fn`` to slices of the rows of about ``CHUNK_BYTES`` of text (the first string column), at least one row each."""
-    text = next((f.name for f in df.schema.fields if f.dataType.typeName() == "string"), None)
+def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str, text: int | None = None) -> DataFrame:
+    """Apply ``fn`` to slices of the rows of about ``CHUNK_BYTES`` of text (the column at ``text``, or the first of strings), at
+    least one row each."""
+    if text is None:
+        text = next((i for i, f in enumerate(df.schema.fields) if f.dataType.typeName() == "string"), None)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -63,7 +65,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | Non
     return df.mapInArrow(run, schema)
 
 
-def cuts(batch: pa.RecordBatch, text: str | None) -> Iterator[tuple[int, int]]:
+def cuts(batch: pa.RecordBatch, text: int | str | None) -> Iterator[tuple[int, int]]:
     if text is None or batch.num_rows == 0:
         if batch.num_rows:
             yield 0, batch.num_rows

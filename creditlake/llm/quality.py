@@ -136,7 +136,7 @@ def scaled(rows: list[np.ndarray], ratio: np.ndarray) -> list[tuple[np.ndarray,
     out = []
     for f in rows:
         v = ratio[f]
-        out.append((f, v / max(math.sqrt(float(v @ v)), 1e-9)))
+        out.append((f, (v / max(math.sqrt(float(v @ v)), 1e-9)).astype(np.float32)))
     return out
 
 
@@ -221,20 +221,22 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_byte
     labels_seen = rows.column("label").to_numpy().astype(int)
     features = pa.chunked_array(rows.column("features").chunks, pa.list_(pa.int32())).combine_chunks() if len(rows) else pa.array([], pa.list_(pa.int32()))
     flat, at = features.values.to_numpy(), features.offsets.to_numpy()
-    return fit([flat[at[i]:at[i + 1]].astype(np.int64) for i in range(len(labels_seen))], labels_seen)
+    return fit([flat[at[i]:at[i + 1]] for i in range(len(labels_seen))], labels_seen)
 
 
 def score(docs: DataFrame, model: QualityModel, keep: list[str] | None = None, name: str = "score") -> DataFrame:
     """The columns ``keep`` (default: doc_id) of each document with its score, in a column of that ``name``."""
     keep = ["doc_id"] if keep is None else keep
-    rows = docs.select(F.col("text").cast("string").alias("__text"), *keep)
+    once = "text" in keep and dict(docs.dtypes)["text"] == "string"  # a kept text goes through once
+    rows = docs.select(*keep) if once else docs.select(*keep, F.col("text").cast("string").alias("__text"))
+    place = keep.index("text") if once else len(keep)
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema.fields)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        scores = model.scores(*utf8(batch.column(0)))
-        return pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(scores, pa.float64())], [*batch.schema.names[1:], name])
+        scores = model.scores(*utf8(batch.column(place)))
+        return pa.RecordBatch.from_arrays([*batch.columns[:len(keep)], pa.array(scores, pa.float64())], [*batch.schema.names[:len(keep)], name])
 
-    return map_arrow(rows, run, f"{fields}, `{name}` double")
+    return map_arrow(rows, run, f"{fields}, `{name}` double", place)
 
 
 def op7_quality(spark: SparkSession, root: str) -> DataFrame:
