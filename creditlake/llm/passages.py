@@ -3,7 +3,7 @@
 1. Seeds are runs of ``k`` words (A-Z as a-z), one out of every ``window`` in a row: the one with the smallest hash, so equal
    stretches of window + k - 1 words give equal seeds. A seed that occurs in several rows is joined with its occurrence in
    the smallest doc_id only: as many rows as occurrences, however common it is. The smallest doc_id is thus the source that
-   later copies of a passage point to; all of them are found, and the source is named in their rows.
+   later copies of a passage point to.
 2. The matches of a document with one source are merged into fragments of equal diagonal, and the fragments chained in order
    of both texts. A chain gains the words of its fragments and pays for the words skipped in either text. The best
    predecessor of a fragment is a prefix maximum in a Fenwick tree over the places in the source.
@@ -11,6 +11,11 @@
    long as matches outweigh differences, and by dynamic programming where a gap changes the diagonal. What has at least
    ``min_words`` words in the document and ``similarity`` equal words (of the longer side) is a passage; a chain that falls
    short is cut at its widest gap, and each part tried.
+4. The seeds of one passage may have their smallest doc_ids in different documents, none of which has the whole passage.
+   Stretches of repeated seeds that no passage of step 3 covers are therefore joined a second time, by longer runs of words,
+   each again with its own smallest doc_id: every run of ``min_words`` words, so that an exact repeat meets a document that
+   has at least as much of it, and every run of a half and a quarter of that, for passages with changed words. What meets is
+   aligned by all runs of k words that both texts have.
 
 Defined results: null and empty texts, and texts of fewer than k words, have no passages. Rows without doc_id take no part.
 Rows of equal doc_id are not compared with each other; each is compared with others on its own (equal rows count once). A
@@ -23,10 +28,10 @@ from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, Words, map_arrow, stored, table, utf8
+from .common import LOWER, Words, map_arrow, span_hash, stored, table, utf8
 
 K, WINDOW, MIN_WORDS, SIMILARITY = 6, 10, 50, 0.8
 SKIP = 0.1  # price of a word skipped in either text
@@ -201,6 +206,7 @@ def passages(b: np.ndarray, a: np.ndarray, x: np.ndarray, y: np.ndarray, k: int,
 
 
 COLUMNS = "doc_id long, source_id long, start long, end long, source_start long, source_end long, n_words int, similarity double"
+PLACES = ", mark int, b0 int, b1 int"  # the row of the document, and the passage in words
 
 
 def repeated_passages(docs: DataFrame, k: int = K, window: int = WINDOW, min_words: int = MIN_WORDS, similarity: float = SIMILARITY) -> DataFrame:
@@ -210,25 +216,142 @@ def repeated_passages(docs: DataFrame, k: int = K, window: int = WINDOW, min_wor
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), (F.xxhash64(text).bitwiseAND(0x7FFFFFFF)).cast("int").alias("mark"), text.alias("text")) \
         .filter("doc is not null and text is not null")
     seeds = seed_rows(rows, k, window)
-    first = seeds.groupBy("h").agg(F.min("doc").alias("source"), F.max("doc").alias("last"), F.min_by("place", "doc").alias("source_place")) \
-        .filter("source < last").select("h", "source", "source_place")
-    anchors = stored(first, "anchors")
-    low, high = lambda c: F.col(c).bitwiseAND(0xFFFFFFFF).cast("int"), lambda c: F.shiftright(c, 32).cast("int")
-    hits = seeds.join(anchors, "h").filter("doc > source") \
-        .select("doc", "source", high("place").alias("mark"), high("source_place").alias("source_mark"), low("place").alias("b"), low("source_place").alias("a"))
+    linked = stored(seeds.join(first_places(seeds, "h"), "h").drop("h"), "linked")
     span = F.max("b") - F.min("b") + k >= (min_words - 2 * (window + k)) // 2 + k
-    pairs = stored(hits.groupBy("doc", "mark", "source", "source_mark").agg(F.collect_list(F.struct("b", "a")).alias("m"), span.alias("wide"), F.count("*").alias("n"))
-                   .filter("wide and n > 1").drop("wide", "n"), "pairs")
+    pairs = stored(by_pair(linked, span.alias("wide"), F.count("*").alias("n")).filter("wide and n > 1").drop("wide", "n"), "pairs")
+    # only shared k-mers within two windows of each other make one fragment
+    reach = 2 * window + k
+    found = stored(aligned(pairs, rows, k, reach, min_words, similarity), "found")
+
+    # seeds of an earlier document in stretches that no passage covers, and all occurrences of those seeds
+    spans = found.groupBy("doc_id", "mark").agg(F.collect_list(F.struct("b0", "b1")).alias("spans")) \
+        .select(F.col("doc_id").alias("doc"), "mark", F.col("spans.b0").alias("from"), F.col("spans.b1").alias("to"))
+    earlier = linked.filter("doc > source").groupBy("doc", mark("place").alias("mark")) \
+        .agg(F.collect_list(F.struct(word("place").alias("b"), "source", "source_place")).alias("m"))
+    asked = stored(map_arrow(earlier.join(spans, ["doc", "mark"], "left").select("doc", "mark", "m.b", "m.source", "m.source_place", "from", "to"),
+                             lambda batch: open_seeds(batch, k, reach, min_words, window), "doc long, mark int, source long, source_place long"), "asked")
+    places = linked.join(asked.select("source", "source_place").distinct(), ["source", "source_place"], "left_semi") \
+        .groupBy("doc", mark("place").alias("mark")).agg(F.collect_list(word("place")).alias("b"))
+    offered = places.join(rows.dropDuplicates(["doc", "mark"]), ["doc", "mark"]).select("doc", "mark", "b", "text")
+    runs = stored(map_arrow(offered, lambda batch: long_runs(batch, k, reach, min_words, window), "h long, doc long, place long"), "runs")
+    asking = asked.select("doc", "mark").distinct()
+    again = runs.join(first_places(runs, "h"), "h").drop("h").filter("doc > source").withColumn("mark", mark("place")).join(asking, ["doc", "mark"], "left_semi")
+    more = stored(aligned(by_pair(again), rows, k, reach, min_words, similarity, True), "more")
+    # of these, none that lies in another one or in a passage found before; equal ones by the smallest source
+    listed = found.withColumn("old", F.lit(True)).unionByName(more.withColumn("old", F.lit(False))).groupBy("doc_id", "mark") \
+        .agg(F.collect_list(F.struct("old", "source_id", "b0", "b1")).alias("all"))
+    col = F.col
+    around = lambda p: (p["b0"] <= col("b0")) & (p["b1"] >= col("b1")) & (p["old"] | (p["b1"] - p["b0"] > col("b1") - col("b0")) | (p["source_id"] < col("source_id")))
+    again_found = lambda p: p["old"] & (p["source_id"] == col("source_id")) & (p["b0"] < col("b1")) & (p["b1"] > col("b0"))
+    new = more.join(listed, ["doc_id", "mark"]).filter(~F.exists("all", lambda p: around(p) | again_found(p)))
+    names = [c.split()[0] for c in COLUMNS.split(", ")]
+    return found.select(names).unionByName(new.select(names))
+
+
+def word(place: str) -> Column:
+    return F.col(place).bitwiseAND(0xFFFFFFFF).cast("int")
+
+
+def mark(place: str) -> Column:
+    return F.shiftright(place, 32).cast("int")
+
+
+def first_places(keys: DataFrame, h: str) -> DataFrame:
+    """h, source, source_place: the smallest doc of each key that several have."""
+    first = keys.groupBy(h).agg(F.min("doc").alias("source"), F.max("doc").alias("last"), F.min_by("place", "doc").alias("source_place")) \
+        .filter("source < last").select(h, "source", "source_place")
+    return stored(first, "anchors")
+
+
+def by_pair(linked: DataFrame, *more: Column) -> DataFrame:
+    """doc, mark, source, source_mark and the list m of common places (b, a)."""
+    hits = linked.filter("doc > source") \
+        .select("doc", "source", mark("place").alias("mark"), mark("source_place").alias("source_mark"), word("place").alias("b"), word("source_place").alias("a"))
+    return hits.groupBy("doc", "mark", "source", "source_mark").agg(F.collect_list(F.struct("b", "a")).alias("m"), *more)
+
+
+def aligned(pairs: DataFrame, rows: DataFrame, k: int, reach: int, min_words: int, similarity: float, every: bool = False) -> DataFrame:
+    """The passages of pairs. ``every``: by all runs of k words that both texts have, beside the places given."""
+    pairs = stored(pairs, "pairs") if every else pairs
     ends = pairs.select("doc", "mark").unionByName(pairs.select(F.col("source").alias("doc"), F.col("source_mark").alias("mark"))).distinct()
     bodies = stored(rows.join(ends, ["doc", "mark"], "left_semi").dropDuplicates(["doc", "mark"]), "bodies")
     sources = bodies.select(F.col("doc").alias("source"), F.col("mark").alias("source_mark"), F.col("text").alias("source_text"))
     both = pairs.join(bodies, ["doc", "mark"]).join(sources, ["source", "source_mark"]) \
-        .select("doc", "source", F.col("m.b").alias("b"), F.col("m.a").alias("a"), "text", "source_text")
-    # only shared k-mers within two windows of each other make one fragment
-    return map_arrow(both, lambda batch: align_batch(batch, k, 2 * window + k, min_words, similarity), COLUMNS)
+        .select("doc", "source", F.col("m.b").alias("b"), F.col("m.a").alias("a"), "text", "source_text", "mark")
+    return map_arrow(both, lambda batch: align_batch(batch, k, reach, min_words, similarity, every), COLUMNS + PLACES)
+
+
+def stretches(b: np.ndarray, k: int, reach: int, span: int) -> list[tuple[int, int]]:
+    """First and last seed (places in the sorted ``b``) of each stretch of seeds at most ``reach`` apart that is ``span`` words long."""
+    cut = np.flatnonzero(np.diff(b) > reach)
+    first, last = np.append(0, cut + 1), np.append(cut, len(b) - 1)
+    return [(i, j) for i, j in zip(first.tolist(), last.tolist(), strict=True) if b[j] - b[i] + k >= span]
+
+
+def open_seeds(batch: pa.RecordBatch, k: int, reach: int, min_words: int, window: int) -> pa.RecordBatch | None:
+    """The seeds of stretches that may be part of a passage and are not within one."""
+    out: list[tuple] = []
+    columns = [(np.asarray(c.values), np.asarray(c.offsets)) for c in (batch.column(i) for i in (2, 3, 4))]
+    ids, marks, starts, ends = (batch.column(i).to_pylist() for i in (0, 1, 5, 6))
+    for r in range(batch.num_rows):
+        b, source, place = (v[o[r]:o[r + 1]] for v, o in columns)
+        order = np.argsort(b, kind="stable")
+        b, source, place = b[order], source[order], place[order]
+        free = np.ones(len(b), bool)
+        for lo, hi in zip(starts[r] or [], ends[r] or [], strict=True):
+            free &= (b < lo) | (b + k > hi)
+        if not free.any():
+            continue
+        # what is covered counts as far as a passage of min_words words can reach into it
+        at = b[free]
+        right = np.searchsorted(at, b)
+        near = np.minimum(np.abs(b - at[np.minimum(right, len(at) - 1)]), np.abs(b - at[np.maximum(right - 1, 0)])) <= min_words
+        b, source, place, free = b[near], source[near], place[near], free[near]
+        for i, j in stretches(b, k, reach, min_words - 2 * (window + k)):
+            if free[i:j + 1].any():
+                out += zip([ids[r]] * (j + 1 - i), [marks[r]] * (j + 1 - i), source[i:j + 1].tolist(), place[i:j + 1].tolist(), strict=True)
+    if not out:
+        return None
+    kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["doc", "mark", "source", "source_place"])
+
+
+def long_runs(batch: pa.RecordBatch, k: int, reach: int, min_words: int, window: int) -> pa.RecordBatch | None:
+    """h, doc, place of the runs of words in stretches of the seeds given: each of ``min_words``, a half and a quarter of it."""
+    data, offsets = utf8(batch.column(3))
+    words = Words(LOWER[data], offsets)
+    values, bounds = np.asarray(batch.column(2).values), np.asarray(batch.column(2).offsets)
+    starts, sizes, docs = [], [], []
+    for r in range(batch.num_rows):
+        b = np.unique(values[bounds[r]:bounds[r + 1]]).astype(np.int64)
+        n = int(words.first[r + 1] - words.first[r])
+        for i, j in stretches(b, k, reach, min_words - 2 * (window + k)):
+            lo, hi = max(int(b[i]) - window - k, 0), min(int(b[j]) + 2 * k + window, n)
+            for size in {min_words, max(min_words // 2, k), max(min_words // 4, k)}:
+                at = np.arange(lo, max(hi - size + 1, lo))
+                starts.append(at + words.first[r])
+                sizes.append(np.full(len(at), size))
+                docs.append(np.full(len(at), r))
+    if not starts:
+        return None
+    start, size, doc = np.concatenate(starts), np.concatenate(sizes), np.concatenate(docs)
+    h = span_hash(words.hash, start, start + size)
+    ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[doc]), pa.array((marks[doc] << 32) | (start - words.first[doc]))], ["h", "doc", "place"])
+
+
+def common_runs(x: np.ndarray, y: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places in x, and the first in y, of the runs of k words that both have."""
+    if min(len(x), len(y)) < k:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    p, q = (span_hash(v, np.arange(len(v) - k + 1), np.arange(k, len(v) + 1)) for v in (x, y))
+    keys, first = np.unique(q, return_index=True)
+    at = np.minimum(np.searchsorted(keys, p), len(keys) - 1)
+    b = np.flatnonzero(keys[at] == p)
+    return b, first[at[b]]
 
 
-def align_batch(batch: pa.RecordBatch, k: int, reach: int, min_words: int, similarity: float) -> pa.RecordBatch | None:
+def align_batch(batch: pa.RecordBatch, k: int, reach: int, min_words: int, similarity: float, every: bool = False) -> pa.RecordBatch | None:
     out = []
     sides = []
     for c in (4, 5):
@@ -237,19 +360,22 @@ def align_batch(batch: pa.RecordBatch, k: int, reach: int, min_words: int, simil
         sides.append((words, offsets, np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])))
     (wx, ox, cx), (wy, oy, cy) = sides
     lists = [(np.asarray(col.values), np.asarray(col.offsets)) for col in (batch.column(2), batch.column(3))]
-    ids, sources = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+    ids, sources, marks = (batch.column(i).to_pylist() for i in (0, 1, 6))
     for r in range(batch.num_rows):
         b, a = (v[o[r]:o[r + 1]].astype(np.int64) for v, o in lists)
         x0, y0 = wx.first[r], wy.first[r]
         x, y = wx.hash[x0:wx.first[r + 1]], wy.hash[y0:wy.first[r + 1]]
+        if every:
+            more = common_runs(x, y, k)
+            b, a = np.unique(np.stack([np.concatenate([b, more[0]]), np.concatenate([a, more[1]])]), axis=1)
         for b0, b1, a0, a1, similar in passages(b, a, x, y, k, reach, min_words, similarity):
             out.append((ids[r], sources[r], cx[wx.start[x0 + b0]] - cx[ox[r]], cx[wx.end[x0 + b1 - 1]] - cx[ox[r]],
-                        cy[wy.start[y0 + a0]] - cy[oy[r]], cy[wy.end[y0 + a1 - 1]] - cy[oy[r]], b1 - b0, similar))
+                        cy[wy.start[y0 + a0]] - cy[oy[r]], cy[wy.end[y0 + a1 - 1]] - cy[oy[r]], b1 - b0, similar, marks[r], b0, b1))
     if not out:
         return None
-    kinds = [pa.int64()] * 6 + [pa.int32(), pa.float64()]
+    kinds = [pa.int64()] * 6 + [pa.int32(), pa.float64()] + [pa.int32()] * 3
     return pa.RecordBatch.from_arrays([pa.array([int(v) if kind != pa.float64() else float(v) for v in col], kind) for col, kind in zip(zip(*out, strict=True), kinds, strict=True)],
-                                      [c.split()[0] for c in COLUMNS.split(", ")])
+                                      [c.split()[0] for c in (COLUMNS + PLACES).split(", ")])
 
 
 def op1_passages(spark: SparkSession, root: str) -> DataFrame:

@@ -111,6 +111,23 @@ def test_passages(frame):
     assert passages.repeated_passages(frame([])).count() == 0
 
 
+def test_passages_whose_parts_have_other_first_documents(frame):
+    draw = random.Random(12)
+    x, y, z, v = (sentence(draw, 40, 10 ** 6) for _ in range(4))
+    filler = lambda: sentence(draw, 60, 10 ** 6)
+    changed = [w if i % 16 != 12 else f"other{i}" for i, w in enumerate(z + v)]  # no seed run is left between the blocks' first documents
+    one = x + y
+    parts = {1: x, 2: y, 3: one, 4: x, 5: y, 6: one, 11: z, 12: v, 13: z + v, 14: changed, 21: one[:46], 22: one[4:52]}
+    rows = [(i, " ".join(filler() + words + filler())) for i, words in parts.items()]
+    rows += [(31, " ".join(filler() + one[:50] + filler()))]
+    got = passages.repeated_passages(frame(rows)).collect()
+    texts = dict(rows)
+    found = {(r.doc_id, r.source_id): texts[r.doc_id][r.start:r.end].split() for r in got}
+    assert found[6, 3] == one and found[31, 3] == one[:50]
+    assert 70 <= len(found[14, 13]) <= 80
+    assert set(found) == {(6, 3), (14, 13), (31, 3)} and len(got) == 3
+
+
 def test_chaining_against_brute_force():
     draw = random.Random(8)
     for _ in range(40):
