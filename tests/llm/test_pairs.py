@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from creditlake.llm import decontaminate, neardup, passages, topk
-from creditlake.llm.common import mix
+from creditlake.llm.common import Words, mix
 
 from llm_frames import frame  # noqa: F401
 
@@ -128,6 +128,26 @@ def test_passages_whose_parts_have_other_first_documents(frame):
     assert set(found) == {(6, 3), (14, 13), (31, 3)} and len(got) == 3
 
 
+def test_seeds_reach_passages_with_many_changed_words():
+    draw, found = np.random.default_rng(5), 0
+    for _ in range(100):
+        base = [f"w{v}" for v in draw.integers(0, 10 ** 9, 80)]
+        copy = list(base)
+        for i in draw.choice(np.arange(1, 79), 16, replace=False):
+            copy[i] = f"c{draw.integers(0, 10 ** 9)}"
+        fill = lambda: [f"f{v}" for v in draw.integers(0, 10 ** 9, 60)]
+        texts = [" ".join(fill() + x + fill()).encode() for x in (base, copy)]
+        words = Words(np.frombuffer(b"".join(texts), np.uint8), np.array([0, len(texts[0]), len(texts[0]) + len(texts[1])]))
+        h, doc, place = passages.seeds_of(words, passages.K, passages.WINDOW)
+        first = dict(zip(h[doc == 0].tolist(), place[doc == 0].tolist(), strict=True))
+        hits = [(p, first[x]) for x, p in zip(h[doc == 1].tolist(), place[doc == 1].tolist(), strict=True) if x in first]
+        k, window = passages.K, passages.WINDOW
+        if len(hits) > 1 and hits[-1][0] - hits[0][0] + k >= (50 - 2 * (window + k)) // 2 + k:
+            b, a = np.array(hits).T
+            found += bool(passages.passages(b, a, words.hash[words.first[1]:], words.hash[:words.first[1]], k, 2 * window + k, 50, 0.8))
+    assert found >= 80
+
+
 def test_chaining_against_brute_force():
     draw = random.Random(8)
     for _ in range(40):
