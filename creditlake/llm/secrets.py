@@ -1,13 +1,13 @@
 """Operator 2: secrets in texts, with a random forest that removes false positives. DataFrame operations only.
 
-1. Candidates are found by one pattern: runs of 16 or more key characters that mix letters and digits, and values
-   of 8 or more characters that are assigned to a secret-like name. Their places follow from the text between them.
+1. Candidates are found by one pattern: values of 8 or more characters that are assigned to a secret-like name, and runs
+   of 16 or more key characters that mix letters and digits. A name and its '=' are not part of a candidate. Their places follow from the text between them.
 2. Features of a candidate: length, shares of digits, capitals and other signs, number of distinct characters, changes of character
    class, vowel-consonant changes, share of its letters that words of the corpus cover (its letter runs against all words
    that occur in ``min_words`` or more places), depth and file ending of a path, and marks of the neighbouring words.
 3. A random forest trained from labelled findings scores them. ``labelled_findings`` makes findings from the corpus where no
    reviewed ones are given: secrets of known shapes drawn from hashes of doc_ids, and look-alikes (words, numbers, paths,
-   links, checksums, versions, placeholders), set in pieces of corpus text before and after.
+   links, checksums, versions, placeholders), set in pieces of corpus text before and after, and searched as texts are.
 
 The fit uses at most ``max_rows`` rows of documents for findings; word counts and the search cover all texts.
 
@@ -28,9 +28,9 @@ from pyspark.sql import functions as F
 from .common import stored, table
 
 NAMES = "token|secret|api[_-]?key|apikey|access[_-]?key|private[_-]?key|client[_-]?secret|auth[_-]?key|passwd|password|pwd|credential|bearer"
-#: A run of key characters with a digit and a letter, or a value after a secret-like name.
-PATTERN = (r"(?<![A-Za-z0-9+/_=.@-])(?=[A-Za-z+/_=.-]*[0-9])(?=[0-9+/_=.-]*[A-Za-z])[A-Za-z0-9+/_=.-]{16,}+(?![A-Za-z0-9@])"
-           rf"|(?<=[:=\s\"'])(?i:(?<=\b(?:{NAMES.replace('?', '{0,1}')})\s{{0,2}}[:=]\s{{0,2}}[\"']{{0,1}}))[^\s\"']{{8,}}")
+#: A value after a secret-like name, or a run of key characters with a digit and a letter ('=' only as padding at its end).
+PATTERN = (rf"(?<=[:=\s\"'])(?i:(?<=(?<![A-Za-z0-9])(?:{NAMES.replace('?', '{0,1}')})\s{{0,2}}[:=]\s{{0,2}}[\"']{{0,1}}))[^\s\"']{{7,}}[^\s\"',;.)\]}}>]"
+           r"|(?<![A-Za-z0-9+/_.@-])(?=[A-Za-z+/_.-]*[0-9])(?=[0-9+/_.-]*[A-Za-z])(?:[A-Za-z0-9+/_.-]{16,}+={0,2}|[A-Za-z0-9+/_.-]{15}={1,2}|[A-Za-z0-9+/_.-]{14}==)(?![A-Za-z0-9@])")
 TREES, DEPTH, MAX_ROWS, MIN_WORDS, THRESHOLD, SEED = 40, 8, 2000, 5, 0.5, 17
 NEIGHBOURHOOD = 48
 
@@ -116,10 +116,12 @@ def labelled_findings(docs: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
         (F.concat(F.lit("example"), whole("o", 6), F.lit("changeme")), 0, True),
         (F.concat(F.lit("www."), word("r"), F.lit(".com/"), word("s"), F.lit("/"), whole("t", 5)), 0, False),
     ]
-    made = F.array(*[F.struct(value.alias("candidate"), F.concat_ws(" ", left, F.concat(secret_name, assign) if named else (public if named is False else F.lit(""))).alias("before"),
+    made = F.array(*[F.struct(value.alias("value"), F.concat_ws(" ", left, F.concat(secret_name, assign) if named else (public if named is False else F.lit(""))).alias("before"),
                               F.lit(label).alias("label")) for value, label, named in kinds])
-    return drawn.select(F.explode(made).alias("f"), F.concat_ws(" ", F.lit(""), word("v"), word("w")).alias("after")) \
-        .select("f.candidate", "f.before", "after", F.col("f.label").cast("double").alias("label"))
+    set_in = drawn.select(F.explode(made).alias("f"), F.concat_ws(" ", F.lit(""), word("v"), word("w")).alias("after")) \
+        .select("f.value", F.col("f.label").cast("double").alias("label"), F.concat("f.before", "f.value", "after").alias("text"))
+    # only what the search finds, in the neighbourhood that it gives
+    return spans(set_in, ["value", "label"]).filter("candidate = value").select("candidate", "before", "after", "label")
 
 
 def train(findings: DataFrame, words: DataFrame, trees: int = TREES, depth: int = DEPTH, seed: int = SEED) -> RandomForestClassificationModel:

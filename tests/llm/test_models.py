@@ -132,6 +132,17 @@ def test_secrets(docs, frame):
     assert secrets.find_secrets(frame([])).count() == 0
 
 
+def test_secrets_assigned_without_blanks(docs, frame):
+    mixed = "AbCd1234EfGh5678IjKl9012MnOp3456QrSt7890"
+    values = [("token=", KEY, ""), ("password=", "hunter2hunter2", ""), ("AWS_SECRET=", mixed, ","), ("api_key='", mixed, "'"), ("checked=", "QWxhZGRpbjpvcGVuIHNlc2FtZQ1=", "")]
+    rows = [(i, f"we set {name}{value}{end} for the house") for i, (name, value, end) in enumerate(values, 10 ** 7)]
+    every = frame(rows).unionByName(docs.select("doc_id", "text"), allowMissingColumns=True)
+    got = {r.doc_id: r for r in secrets.find_secrets(every).filter("doc_id >= 10000000").collect()}
+    assert {i: r.candidate for i, r in got.items()} == {i: v for i, (_, v, _) in enumerate(values, 10 ** 7)}
+    assert all(rows[i - 10 ** 7][1][r.start:r.end] == r.candidate for i, r in got.items())
+    assert all(got[10 ** 7 + i].is_secret for i in (0, 2, 3))
+
+
 def test_redaction(spark, frame):
     rows = frame([(1, "keep abc def abc"), (2, None), (3, "whole"), (4, "ünïc abc")])
     spans = spark.createDataFrame([(1, 5, 8), (1, 13, 16), (1, 5, 8), (3, 0, 5), (4, 5, 8)], "doc_id long, start int, end int")
