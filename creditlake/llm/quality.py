@@ -2,7 +2,7 @@
 
 Features are indicators of n-grams (runs of 1, 2, 3 and 5 bytes of the whole text, hashed) and of how much a text repeats its
 own word n-grams. Each indicator is scaled by its class log-count ratio, a document's vector is scaled to length 1, and a
-linear hinge-loss model is fitted by dual coordinate descent. Margins become probabilities by a logistic curve
+linear model of squared hinge loss is fitted by dual coordinate descent. Margins become probabilities by a logistic curve
 fitted on margins of held-apart folds of the training rows.
 
 The fit uses at most ``max_rows`` labelled rows, those with the smallest hash of doc_id, of texts up to ``max_bytes`` bytes;
