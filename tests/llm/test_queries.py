@@ -11,9 +11,10 @@ COLUMNS = {
     "op4_licenses": ["doc_id", "family"], "op5_token_files": ["doc_id", "start", "n_tokens", "ids_crc32"],
     "op6_superminhash": ["doc_id", "n_shingles", "component_id", "kept"], "op7_quality": ["doc_id", "held_out", "score", "predicted"],
     "op8_topk": ["query_id", "rank", "vec_id", "score"], "op9_decontaminate": ["doc_id", "item_id"],
-    "op10_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"], "op12_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"], "pipeline": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
+    "op10_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"], "op12_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"], 
+    "op13_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"], "pipeline": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
-ALL_DOCUMENTS = ("op3_language", "op5_token_files", "op6_superminhash", "op7_quality", "op10_bpe")
+ALL_DOCUMENTS = ("op3_language", "op5_token_files", "op6_superminhash", "op7_quality", "op10_bpe", "op13_alignment")
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
