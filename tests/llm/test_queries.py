@@ -12,9 +12,10 @@ COLUMNS = {
     "op6_superminhash": ["doc_id", "n_shingles", "component_id", "kept"], "op7_quality": ["doc_id", "held_out", "score", "predicted"],
     "op8_topk": ["query_id", "rank", "vec_id", "score"], "op9_decontaminate": ["doc_id", "item_id"],
     "op10_bpe": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"], "op12_packing": ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"], 
+    "op11_runs": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
     "op13_alignment": ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"], "pipeline": ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"],
 }
-ALL_DOCUMENTS = ("op3_language", "op5_token_files", "op6_superminhash", "op7_quality", "op10_bpe", "op13_alignment")
+ALL_DOCUMENTS = ("op3_language", "op5_token_files", "op6_superminhash", "op7_quality", "op10_bpe", "op11_runs", "op13_alignment")
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
