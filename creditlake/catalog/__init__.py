@@ -7,7 +7,7 @@ from importlib import import_module
 from . import base
 
 for _module in ("sources", "scalars", "relational", "products", "quality", "security", "graph",
-                "geo", "learning", "telemetry", "streams"):
+                "geo", "learning", "telemetry", "streams", "refreshing"):
     import_module(f"{__name__}.{_module}")
 
 QUERIES = base.QUERIES

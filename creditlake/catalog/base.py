@@ -22,15 +22,20 @@ _STORED: dict[tuple[str, str, str], str] = {}
 _LOCK = threading.RLock()  # building one mart may store another
 
 
-def stored(t: Tables, name: str, build: Callable[[Tables], DataFrame]) -> DataFrame:
-    """A mart that later queries read as a table: built and written on first use in a session."""
+def stored_path(t: Tables, name: str, build: Callable[[str], None]) -> str:
+    """A folder that ``build`` fills on first use in a session."""
     key = (t.spark.sparkContext.applicationId, t.root, name)
     with _LOCK:
         if key not in _STORED:
             path = scratch_path(t.spark, name)
-            build(t).write.parquet(path)
+            build(path)
             _STORED[key] = path
-    return t.spark.read.parquet(_STORED[key])
+    return _STORED[key]
+
+
+def stored(t: Tables, name: str, build: Callable[[Tables], DataFrame]) -> DataFrame:
+    """A mart that later queries read as a table: built and written on first use in a session."""
+    return t.spark.read.parquet(stored_path(t, name, lambda path: build(t).write.parquet(path)))
 
 
 def is_stored(t: Tables, name: str) -> bool:

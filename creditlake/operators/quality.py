@@ -135,13 +135,15 @@ class Control:
 
 
 def reconcile(controls: Sequence[Control]) -> DataFrame:
-    """Row counts, exact control totals and variance per flow. Each side is one aggregation."""
+    """Row counts, control totals to two decimals and variance per flow. Each side is one aggregation.
+
+    Values are summed with nine decimals, so the variance (and the status) also shows what is lost below a cent."""
     sides = []
     for c in controls:
         for tag, df, amount, rows in (("bronze", c.bronze, c.bronze_amount, c.bronze_rows),
                                       ("silver", c.silver, c.silver_amount, None)):
             sides.append(df.agg((F.count(F.lit(1)) if rows is None else rows).alias("n"),
-                                F.sum(F.col(amount).cast("decimal(18,2)")).alias("total"))
+                                F.sum(F.col(amount).cast(MONEY)).alias("total"))
                          .select(F.lit(c.flow).alias("flow"), F.lit(c.metric).alias("metric"),
                                  F.lit(tag).alias("side"), "n", "total"))
 
@@ -153,8 +155,8 @@ def reconcile(controls: Sequence[Control]) -> DataFrame:
         pick("bronze", "total").alias("bronze_total"), pick("silver", "total").alias("silver_total"))
     variance = F.col("silver_total") - F.col("bronze_total")
     ok = (F.col("bronze_rows") == F.col("silver_rows")) & (variance == 0)
-    return out.withColumn("variance", variance).withColumn(
-        "audit_status", F.when(ok, "PASS").otherwise("INVESTIGATE"))
+    return out.select("flow", "metric", "bronze_rows", "silver_rows", *[F.round(c, 2).alias(c) for c in ("bronze_total", "silver_total")],
+                      variance.alias("variance"), F.when(ok, "PASS").otherwise("INVESTIGATE").alias("audit_status"))
 
 
 def tables_ready(spark, names: Sequence[str]) -> DataFrame:

@@ -30,11 +30,12 @@ def portfolio_by_state(g: PropertyGraph) -> DataFrame:
         "cif_id", "merchant_group").agg(F.count(F.lit(1)).alias("nm"), F.sum("total_spend").alias("spend"))
     cust = g.node("Customer").select("cif_id", "state", "is_delinquent")
     nm, nf = F.col("nm"), F.col("nf")
-    weight = lambda c, n: F.col(c).cast("decimal(24,2)") * n.cast("decimal(13,0)")
+    # sums of all decimals times paths; rounded once, at the end
+    weight = lambda c, n: F.col(c).cast("decimal(27,9)") * n.cast("decimal(10,0)")
     return cust.join(fac, "cif_id").join(spend, "cif_id").groupBy("state", "product_line", "merchant_group").agg(
         F.count(F.lit(1)).alias("active_customers"), F.sum("nf").alias("facilities_held"),
         F.round(F.sum(weight("dsr", nm)) / F.sum(F.col("n_dsr") * nm), 2).alias("avg_dsr_pct"),
-        F.sum(weight("exposure", nm)).alias("total_exposure"), F.sum(weight("spend", nf)).alias("total_spend"),
+        F.round(F.sum(weight("exposure", nm)), 2).alias("total_exposure"), F.round(F.sum(weight("spend", nf)), 2).alias("total_spend"),
         F.sum(F.when(F.col("is_delinquent"), nf * nm).otherwise(0)).alias("delinquent_paths"))
 
 
