@@ -35,6 +35,7 @@ from .pieces import Grown, default_vocabulary, vocabulary
 from .spans import SpanCache
 
 HOT = 20_000
+SLICE = 8192  # stretches that the libraries see at once
 ROWS = "doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, row long, a array<int>, a_n array<int>, pair array<long>, pair_n array<int>"
 
 
@@ -105,7 +106,7 @@ def boundaries(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 class StretchAligner:
     """What is known of each distinct stretch: numbers of ids, links and the digits of its groups."""
 
-    def __init__(self, a_path: str, b_path: str, max_entries: int = 300_000):
+    def __init__(self, a_path: str, b_path: str, max_entries: int = 150_000):
         self.a, self.b = byte_library(a_path), piece_library(b_path)
         v = vocabulary(a_path)
         self.a_size, self.b_bytes = v.token_length, piece_bytes(b_path)
@@ -123,13 +124,31 @@ class StretchAligner:
 
     def learn(self, stretches: list[str]) -> None:
         """Stretches begin with a blank, which B adds by itself."""
-        a_ids = [e.ids for e in self.a.encode_batch_fast(stretches, add_special_tokens=False)]
-        b_ids = self.b.encode([s[1:] for s in stretches])
+        for at in range(0, len(stretches), SLICE):
+            self.learn_slice(stretches[at:at + SLICE])
+
+    def a_ids(self, stretches: list[str], size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of A and the number of each stretch. Those that end visibly go through the library as one text: their ids
+        are told apart by bytes, which A keeps."""
+        together = np.flatnonzero(np.fromiter((not s[-1].isspace() for s in stretches), bool, len(stretches)))
+        apart = np.setdiff1d(np.arange(len(stretches)), together)
+        order = np.concatenate([together, apart])
+        texts = ["".join([stretches[i] for i in together[at:at + 256].tolist()]) for at in range(0, len(together), 256)]
+        ids = np.concatenate([np.zeros(0, np.int64), *(np.array(e.ids, np.int64) for e in self.a.encode_batch_fast(texts + [stretches[i] for i in apart.tolist()], add_special_tokens=False))])
+        stop = np.searchsorted(np.cumsum(self.a_size[ids]), np.cumsum(size[order]), "right")
+        many = np.diff(stop, prepend=0)
+        counts, first = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
+        counts[order], first[order] = many, stop - many
+        return ids[ranges(first, counts)], counts
+
+    def learn_slice(self, stretches: list[str]) -> None:
         n = len(stretches)
-        na, nb = (np.fromiter(map(len, x), np.int64, n) for x in (a_ids, b_ids))
-        flat_a, flat_b = (np.fromiter((i for ids in x for i in ids), np.int64, int(m.sum())) for x, m in ((a_ids, na), (b_ids, nb)))
-        of_a, of_b = np.repeat(np.arange(n), na), np.repeat(np.arange(n), nb)
         size = np.fromiter((len(s.encode()) for s in stretches), np.int64, n)
+        flat_a, na = self.a_ids(stretches, size)
+        b_ids = self.b.encode([s[1:] for s in stretches])
+        nb = np.fromiter(map(len, b_ids), np.int64, n)
+        flat_b = np.fromiter((i for ids in b_ids for i in ids), np.int64, int(nb.sum()))
+        of_a, of_b = np.repeat(np.arange(n), na), np.repeat(np.arange(n), nb)
         base = np.cumsum(size) - size
         end_a, end_b = (self.ends(sizes[flat], m, base) for sizes, flat, m in ((self.a_size, flat_a, na), (self.b_size, flat_b, nb)))
         bad = np.bincount(of_b, self.b_size[flat_b], n) != size
