@@ -312,3 +312,63 @@ def dq_16(t):
     from ..operators.quality import same_answer
     g = graph(t)
     return same_answer(q.merchant_contagion(g), q.merchant_contagion_paths(g))
+
+
+# Whole results of the questions above, asked as patterns whose paths are never written.
+
+@query("gr_11d_portfolio_by_messages", """
+SELECT state, product_line, merchant_group, count(DISTINCT cif_id) AS active_customers,
+  count(DISTINCT facility_id) AS facilities_held, round(avg(new_dsr)::decimal(22,6), 2)::double AS avg_dsr_pct,
+  sum(exposure_amount)::double AS total_exposure, sum(total_spend)::double AS total_spend,
+  count(*) FILTER (is_delinquent) AS delinquent_paths FROM two_hop GROUP BY 1, 2, 3""")
+def gr_11d(t):
+    return q.portfolio_by_messages(graph(t))
+
+
+@query("gr_14b_contagion_by_messages", _CONTAGION)
+def gr_14b(t):
+    return q.contagion_by_messages(graph(t))
+
+
+_CROSS = """
+SELECT p.cif_id, state, occupation, net_income::double AS net_income, count(DISTINCT facility_id) AS loan_facilities,
+  max(credit_score) AS best_credit_score, count(DISTINCT merchant_id) AS merchants_visited,
+  (SELECT sum(total_spend) FROM edge_transacted e WHERE e.cif_id = p.cif_id)::double AS true_merchant_spend,
+  sum(total_spend)::double AS total_merchant_spend
+FROM cross_paths p GROUP BY 1, 2, 3, net_income"""
+
+
+@query("gr_17b_cross_sell_by_messages", _CROSS)
+def gr_17b(t):
+    return q.cross_sell_by_messages(graph(t))
+
+
+@query("gr_17c_all_cross_sell_candidates", _CROSS)
+def gr_17c(t):
+    return q.cross_sell_candidates(graph(t))
+
+
+@query("gr_20_exposure_beside_delinquents", """
+SELECT f.product_line, e.sector, count(*) AS paths, count(DISTINCT m.merchant_id) AS merchants, count(DISTINCT d.cif_id) AS delinquents,
+  sum(h.exposure_amount)::double AS exposure, round((sum(d.combined_unpaid) / count(*))::decimal(22,6), 2)::double AS mean_unpaid,
+  min(t.total_spend)::double AS least_spend, max(f.credit_score) AS highest_score
+FROM edge_holds h JOIN node_facility f ON f.facility_id = h.facility_id JOIN node_customer c ON c.cif_id = h.cif_id
+JOIN edge_transacted t ON t.cif_id = c.cif_id JOIN node_merchant m ON m.merchant_id = t.merchant_id
+JOIN edge_transacted u ON u.merchant_id = m.merchant_id JOIN node_customer d ON d.cif_id = u.cif_id
+JOIN edge_works w ON w.cif_id = d.cif_id JOIN node_segment e ON e.segment_id = w.segment_id
+WHERE NOT c.is_delinquent AND d.is_delinquent GROUP BY 1, 2""")
+def gr_20(t):
+    return q.exposure_beside_delinquents(graph(t)).withColumn("mean_unpaid", F.round("mean_unpaid", 2))
+
+
+@query("gr_11c_portfolio_of_small_amounts", """
+SELECT state, product_line, merchant_group, round(sum(exposure_amount * 1.003457), 2)::double AS total_exposure,
+  round((sum(new_dsr * 0.013579) / count(new_dsr))::decimal(22,8), 2)::double AS avg_dsr_pct FROM two_hop GROUP BY 1, 2, 3""")
+def gr_11c(t):
+    """Amounts below a cent count: they are rounded once, after they have been summed over all paths."""
+    g = graph(t)
+    held = g.edge("HOLDS_FACILITY").withColumns({
+        "exposure_amount": (F.col("exposure_amount").cast("decimal(18,2)") * F.lit("1.003457").cast("decimal(7,6)")).cast("decimal(28,9)"),
+        "new_dsr": (F.col("new_dsr").cast("decimal(18,2)") * F.lit("0.013579").cast("decimal(7,6)")).cast("decimal(28,9)")})
+    small = PropertyGraph(list(g.nodes.values()), [Edge(e.label, held if e.label == "HOLDS_FACILITY" else e.df, e.key, e.source, e.target) for e in g.edges.values()])
+    return q.portfolio_by_state(small).select("state", "product_line", "merchant_group", "total_exposure", "avg_dsr_pct")

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import amount_text
 from ..operators import quality as dq
+from ..operators.lineage import lineage_report
 from ..operators.quality import InfoType, RowRule, Rule
 from ..operators.sets import union_all
 from ..plans import registry, silver
 from ..plans import profile as profile_plans
 from ..sources.tables import declare, literal_rows
-from .base import part, query
+from .base import part, query, stored
 from .products import gold_profile
 
 RULES = [
@@ -103,10 +104,10 @@ def dq_04(t):
 
 def _recon_sql(flow, metric, b_rows, b_total, s_from, s_total):
     return f"""SELECT '{flow}' AS flow, '{metric}' AS metric, b.n AS bronze_rows, s.n AS silver_rows,
-  b.v::double AS bronze_total, s.v::double AS silver_total, (s.v - b.v)::double AS variance,
+  round(b.v, 2)::double AS bronze_total, round(s.v, 2)::double AS silver_total, (s.v - b.v)::double AS variance,
   CASE WHEN b.n = s.n AND s.v = b.v THEN 'PASS' ELSE 'INVESTIGATE' END AS audit_status
-FROM (SELECT {b_rows} AS n, sum({b_total}::decimal(18,2)) AS v FROM {{b}}) b,
-  (SELECT count(*) AS n, sum({s_total}) AS v FROM {s_from}) s"""
+FROM (SELECT {b_rows} AS n, sum(({b_total})::decimal(28,9)) AS v FROM {{b}}) b,
+  (SELECT count(*) AS n, sum({s_total}::decimal(28,9)) AS v FROM {s_from}) s"""
 
 
 @query("dq_05_reconciliation", " UNION ALL ".join([
@@ -124,6 +125,16 @@ def dq_05(t):
                    "unpaid", "combined_unpaid", F.count_distinct("cif_no"))])
 
 
+@query("dq_05b_reconciliation_below_a_cent", " UNION ALL ".join([
+    _recon_sql("kept", "fee", "count(*)", "l_discount * l_tax", "(SELECT l_discount * l_tax AS v FROM lineitem)", "v").format(b="lineitem"),
+    _recon_sql("rounded", "fee", "count(*)", "l_discount * l_tax", "(SELECT round((l_discount * l_tax)::decimal(28,9), 2) AS v FROM lineitem)", "v").format(b="lineitem")]))
+def dq_05b(t):
+    """Fees of a few thousandths: a silver table that rounds each of them is found out."""
+    fees = t.lineitem.select((F.col("l_discount") * F.col("l_tax")).alias("amount"))
+    return dq.reconcile([dq.Control("kept", "fee", fees, fees.select("amount")),
+                         dq.Control("rounded", "fee", fees, fees.select(F.round(F.col("amount").cast("decimal(28,9)"), 2).alias("amount")))])
+
+
 INPUTS = ("customer", "card", "loan_app", "card_app", "loan_coll", "card_coll", "card_sales")
 
 
@@ -278,6 +289,43 @@ def dq_14(t):
     return registry.lineage(registry.MEDALLION, schemas)
 
 
+def stored_bronze(t):
+    """The six bronze tables of the profile as files, which a plan can be traced to."""
+    return {n: stored(t, f"bronze_{n}", lambda t, n=n: t.f(n)) for n in ("customer", "loan_app", "card_app", "loan_coll", "card_coll", "card")}
+
+
+def profile_from(bronze):
+    return profile_plans.customer_profile(
+        silver.customers(bronze["customer"]), silver.loan_applications(bronze["loan_app"]), silver.card_applications(bronze["card_app"]),
+        silver.collections_summary(bronze["loan_coll"], bronze["card_coll"]), bronze["card"])
+
+
+# Read off the definitions of the tables: (columns of the profile, bronze table, its column, how).
+_SUMS = "total_loan_unpaid total_card_unpaid combined_unpaid"
+TRACED = [
+    *[(c, "customer", c, "derived") for c in ("cif_id", "cif_nm", "state", "region", "occupation", "age", "net_income", "annual_income", "recv_promo")],
+    ("avg_loan_dsr", "loan_app", "new_dsr", "aggregated"), ("total_loan_financed", "loan_app", "fin_amt", "aggregated"),
+    ("latest_bureau_score", "card_app", "final_score", "aggregated"), ("total_card_limit", "card_app", "cr_limit", "aggregated"),
+    ("active_card_count", "card", "card_status", "aggregated"), ("total_cp_usage", "card", "cp_usage", "aggregated"),
+    ("total_cp_available", "card", "cp_available", "aggregated"),
+    *[(c, t, "unpaid", "aggregated") for c in _SUMS.split() for t in ("loan_coll", "card_coll")],
+    *[("worst_collection_grade", t, "grade", "aggregated") for t in ("loan_coll", "card_coll")],
+    # which rows there are: the newest record of each customer, matched with four sums by customer
+    *[("*", "customer", c, how) for c in ("cif_id", "rcd_dt", "net_income", "cif_nm", "state", "nob") for how in ("window", "filter")],
+    ("*", "customer", "cif_id", "join"),
+    *[("*", t, c, how) for t, c in (("loan_app", "cif_no"), ("card_app", "cif_id"), ("loan_coll", "cif_no"), ("card_coll", "cif_no"), ("card", "cif_id"))
+      for how in ("group", "join")]]
+
+
+@query("dq_14b_column_lineage", " UNION ALL ".join(
+    f"SELECT '{target}' AS target_column, '{t}' AS source_table, '{c}' AS source_column, '{how}' AS how, count(*) AS source_rows, "
+    f"count({c}) AS source_values FROM f_{t}" for target, t, c, how in TRACED))
+def dq_14b(t):
+    """Each column of the customer profile traced through renamings, expressions, aggregates and a deduplication to bronze columns."""
+    bronze = stored_bronze(t)
+    return lineage_report(profile_from(bronze), bronze)
+
+
 def _contain_sql(l, lc, r, rc):
     return f"""SELECT '{l}' AS left_table, '{lc}' AS left_column, '{r}' AS right_table, '{rc}' AS right_column,
   count(*) AS left_keys, count(*) FILTER (k IN (SELECT {rc} FROM {r} WHERE {rc} IS NOT NULL)) AS shared_keys,
@@ -301,7 +349,31 @@ FOUND = [("orders", "o_custkey", "customer", "c_custkey"), ("customer", "c_natio
 
 
 @query("dq_15b_discovered_relationships", " UNION ALL ".join(f"SELECT * FROM ({_contain_sql(*c)}) WHERE confidence >= 0.5" for c in
-       [*FOUND, ("lineitem", "l_suppkey", "supplier", "s_suppkey")]))
+       [*FOUND, ("lineitem", "l_suppkey", "supplier", "s_suppkey"), ("labels", "doc_id", "documents", "doc_id")]))
 def dq_15b(t):
-    """The keys of the star schema, found without being told."""
-    return dq.discover_relationships({n: t.raw(n) for n in ALL_TABLES if n not in ("events", "embeddings")})
+    """The keys of all tables that their names give away."""
+    return dq.discover_relationships({n: t.raw(n) for n in ALL_TABLES})
+
+
+KEY_COLUMNS = {
+    "number": {"region": "r_regionkey", "nation": "n_nationkey n_regionkey", "customer": "c_custkey c_nationkey", "supplier": "s_suppkey s_nationkey",
+               "part": "p_partkey p_size", "orders": "o_orderkey o_custkey", "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber",
+               "events": "event_id user_id", "documents": "doc_id n_chars", "embeddings": "vec_id label", "pages": "page_id", "benchmark": "item_id",
+               "labels": "doc_id quality toxic", "conversations": "conv_id turn"},
+    "text": {"region": "r_name", "nation": "n_name", "customer": "c_name c_mktsegment", "supplier": "s_name", "part": "p_name p_brand p_type",
+             "orders": "o_orderstatus o_orderpriority", "lineitem": "l_returnflag l_linestatus", "events": "event_type props",
+             "documents": "text lang source", "pages": "url html", "benchmark": "text", "conversations": "role text"},
+    "time": {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}}
+_VALUES = " UNION ALL ".join(f"SELECT '{t}' AS t, '{c}' AS c, '{k}' AS k, {c}::varchar AS v, count(*) AS n FROM {t} WHERE {c} IS NOT NULL GROUP BY ALL"
+                             for k, names in KEY_COLUMNS.items() for t, cs in names.items() for c in cs.split())
+
+
+@query("dq_15c_inclusion_dependencies", f"""
+WITH held AS ({_VALUES}), sizes AS (SELECT t, c, count(*) AS keys, max(n) = 1 AS is_key FROM held GROUP BY 1, 2),
+shared AS (SELECT a.t AS lt, a.c AS lc, b.t AS rt, b.c AS rc, count(*) AS n FROM held a JOIN held b ON a.k = b.k AND a.v = b.v AND a.t <> b.t GROUP BY ALL)
+SELECT lt AS left_table, lc AS left_column, rt AS right_table, rc AS right_column, l.keys AS left_keys, n AS shared_keys,
+  round(n::decimal(20,0) / l.keys, 4)::double AS confidence, r.is_key AS right_unique
+FROM shared JOIN sizes l ON l.t = lt AND l.c = lc JOIN sizes r ON r.t = rt AND r.c = rc WHERE n / l.keys >= 0.5""")
+def dq_15c(t):
+    """Every column of all tables against every other, names unseen."""
+    return dq.inclusion_dependencies({n: t.raw(n) for n in ALL_TABLES})

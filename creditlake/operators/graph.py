@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -157,6 +158,120 @@ class PropertyGraph:
             out = out.where(link[1](*[F.col(f"{a}__{p}") for a, p in link[0]]))
         return out.select(*[F.col(f"{a}__{p}").alias(name) for name, (a, p) in columns.items()])
 
+    def match_aggregate(self, nodes: Mapping[str, str], hops: Sequence[Hop], by: Mapping[str, tuple[str, str]],
+                        measures: Mapping[str, tuple[str, str, str] | tuple[str, str]], where: Mapping[str, str] | None = None) -> DataFrame:
+        """Aggregates over the paths of a pattern without cycles, of which no path is ever written out.
+
+        ``by`` maps output names to (alias, SQL expression over its own properties), ``measures`` to ("count", any alias): paths,
+        ("distinct", node alias): different nodes, or ("sum" | "avg" | "min" | "max", alias, SQL expression over its properties): over all
+        paths. ``where`` is as in ``match``.
+
+        The pattern is a tree. From its leaves to its root each node sends, for its key and the values of ``by`` below it, one row: the
+        number of partial paths and the sums over them. Where branches meet, counts multiply, and the sums of one branch multiply
+        with the counts of the others. Keys without a match drop out on the way, so joins are as large as elements and groups, not
+        as paths. A distinct count is a pass of its own, rooted at its alias.
+        """
+        if not by:
+            raise ValueError("no column to group by")
+        for hop in hops:
+            e = self.edges[hop.label]
+            if (nodes[hop.source], nodes[hop.target]) != (e.source[0], e.target[0]):
+                raise ValueError(f"{hop.label} joins {e.source[0]} to {e.target[0]}")
+        seen, todo = set(), [next(iter(nodes))]
+        while todo:
+            a = todo.pop()
+            seen.add(a)
+            todo += [b for h in hops for b in ((h.target,) if h.source == a else (h.source,) if h.target == a else ()) if b not in seen]
+        if seen != set(nodes) or len(hops) != len(nodes) - 1:
+            raise ValueError("the pattern is not a tree")
+        plain = {n: m for n, m in measures.items() if m[0] != "distinct"}
+        roots = {n: m[1] for n, m in measures.items() if m[0] == "distinct"}
+        parts = []
+        if plain:
+            rows = _Messages(self, nodes, hops, by, plain, where or {}).up(next(iter(nodes)), None)
+            parts.append(rows.groupBy(*by).agg(*[_total(n, m[0]) for n, m in plain.items()]))
+        for alias in dict.fromkeys(roots.values()):
+            rows = _Messages(self, nodes, hops, by, {}, where or {}).up(alias, None)
+            parts.append(rows.groupBy(*by).agg(*[F.count(F.lit(1)).alias(n) for n, a in roots.items() if a == alias]))
+        out = parts[0]
+        for more in parts[1:]:
+            more = more.withColumnsRenamed({c: f"__{c}" for c in by})
+            out = out.join(more, reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in by])).drop(*[f"__{c}" for c in by])
+        return out.select(*by, *measures)
+
+
+def _total(name: str, kind: str) -> Column:
+    if kind == "count":
+        return F.sum("__n").alias(name)
+    if kind == "avg":
+        return F.try_divide(F.sum(name), F.sum(f"{name}__n")).alias(name)
+    return {"sum": F.sum, "min": F.min, "max": F.max}[kind](name).alias(name)
+
+
+@dataclass(frozen=True)
+class _Messages:
+    """Rows that travel up a pattern: ``__k``, the values of ``by`` below, ``__n`` partial paths, and the state of each measure."""
+
+    graph: PropertyGraph
+    nodes: Mapping[str, str]
+    hops: Sequence[Hop]
+    by: Mapping[str, tuple[str, str]]
+    measures: Mapping[str, tuple]
+    where: Mapping[str, str]
+
+    def own(self, alias: str) -> list[Column]:
+        """The groups and first states of an element."""
+        cols = [F.expr(e).alias(n) for n, (a, e) in self.by.items() if a == alias]
+        for n, m in self.measures.items():
+            if m[0] != "count" and m[1] == alias:
+                value = F.expr(m[2])
+                cols.append(value.alias(n))
+                if m[0] == "avg":
+                    cols.append(F.when(value.isNotNull(), F.lit(1)).otherwise(0).cast("long").alias(f"{n}__n"))
+        return cols
+
+    def element(self, alias: str, df: DataFrame, *keys: Column) -> DataFrame:
+        return (df.where(self.where[alias]) if alias in self.where else df).select(*keys, *self.own(alias))
+
+    def states(self, df: DataFrame) -> list[str]:
+        return [c for n in self.measures for c in (n, f"{n}__n") if c in df.columns]
+
+    def times(self, df: DataFrame, column: str, n: str) -> Column:
+        """A state that stands on ``n`` paths each; decimals keep nine places, and stop the query where they leave their range."""
+        kind, value = dict(df.dtypes)[column], F.col(column)
+        if self.measures[column.removesuffix("__n")][0] not in ("min", "max"):
+            value = value.cast("decimal(27,9)") * F.col(n).cast("decimal(10,0)") if kind.startswith("decimal") else value * F.col(n)
+        return value.alias(column)
+
+    def meet(self, left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+        """Joined on ``key`` of the left side; counts multiplied, the states of each side times the counts of the other."""
+        joined = left.join(right.withColumnsRenamed({"__k": "__k2", "__n": "__n2"}), F.col(key) == F.col("__k2"))
+        return joined.select("__k", *[c for c in self.by if c in joined.columns], (F.col("__n") * F.col("__n2")).alias("__n"),
+                             *[self.times(joined, c, "__n2") for c in self.states(left)], *[self.times(joined, c, "__n") for c in self.states(right)])
+
+    def up(self, alias: str, come: Hop | None) -> DataFrame | None:
+        """What ``alias`` knows of the pattern away from the hop it is asked over; None where it only exists."""
+        node = self.graph.nodes[self.nodes[alias]]
+        out = None
+        hops = [h for h in self.hops if h is not come and alias in (h.source, h.target)]
+        if come is None or alias in self.where or self.own(alias):
+            out = self.element(alias, node.df, F.col(node.key).alias("__k")).withColumn("__n", F.lit(1).cast("long"))
+        for hop in hops:
+            e = self.graph.edges[hop.label]
+            near, far, other = (e.source[1], e.target[1], hop.target) if hop.source == alias else (e.target[1], e.source[1], hop.source)
+            rows = self.element(hop.alias, e.df, F.col(near).alias("__k"), F.col(far).alias("__f")).withColumn("__n", F.lit(1).cast("long"))
+            below = self.up(other, hop)
+            if below is not None:
+                rows = self.meet(rows, below, "__f")
+            grouped = [c for c in self.by if c in rows.columns]
+            sums = [F.sum("__n").alias("__n")]
+            for c in self.states(rows):
+                kind = self.measures[c.removesuffix("__n")][0]
+                sums.append({"min": F.min, "max": F.max}.get(kind, F.sum)(c).alias(c))
+            rows = rows.groupBy("__k", *grouped).agg(*sums)
+            out = rows if out is None else self.meet(out, rows, "__k")
+        return out
+
 
 def path_json(*elements: tuple[str, Sequence[str]]) -> Column:
     """A path as a JSON array of elements, each a label and its properties."""

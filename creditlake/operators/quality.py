@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.scalars import MONEY
 from .sets import union_all
 
 
@@ -302,18 +303,95 @@ def relationships(tables: Mapping[str, DataFrame], candidates: Sequence[tuple[st
 
 
 def discover_relationships(tables: Mapping[str, DataFrame], min_confidence: float = 0.5) -> DataFrame:
-    """Join relationships found from names and types: a column that is called, but for its prefix, like the key of another
+    """Join relationships found from names and types: a column that is called, with or without its prefix, like the key of another
     table (``x_name`` with ``namekey`` or ``name_id`` after the start of the table's name) and has its type; each with its
-    containment."""
+    containment. No such pair gives no row."""
     bare = lambda c: c.lower().split("_", 1)[-1]
-    stem = lambda c: re.sub(r"_?(key|id|no)$", "", bare(c))
+    stems = lambda c: {s for s in (re.sub(r"_?(key|id|no)$", "", n) for n in (bare(c), c.lower())) if s} if re.search(r"(key|id|no)$", c.lower()) else set()
     found = []
     for right, rdf in tables.items():
         for rc, kind in rdf.dtypes:
-            if stem(rc) and stem(rc) != bare(rc) and right.lower().startswith(stem(rc)):
+            if any(right.lower().startswith(s) and len(s) > 2 for s in stems(rc)):
                 found += [(left, lc, right, rc) for left, ldf in tables.items() if left != right
-                          for lc, lkind in ldf.dtypes if bare(lc) == bare(rc) and lkind == kind]
-    return relationships(tables, sorted(found), min_confidence)
+                          for lc, lkind in ldf.dtypes if (bare(lc) == bare(rc) != "id" or lc.lower() == rc.lower()) and lkind == kind]
+    if found:
+        return relationships(tables, sorted(found), min_confidence)
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame([], "left_table string, left_column string, right_table string, right_column string, left_keys long, "
+                                     "shared_keys long, confidence decimal(20,4)")
+
+
+#: Columns of one kind can hold each other's values; measures (floating point) are not keys.
+KINDS = ((T.IntegralType, "number"), (T.StringType, "text"), (T.DateType, "date"), (T.TimestampType, "time"), (T.TimestampNTZType, "time"))
+LONG_TEXT = 64
+
+
+def _kind(f: T.StructField) -> str | None:
+    if isinstance(f.dataType, T.DecimalType):
+        return "number" if f.dataType.scale == 0 else None
+    return next((name for kind, name in KINDS if isinstance(f.dataType, kind)), None)
+
+
+def inclusion_dependencies(tables: Mapping[str, DataFrame], min_confidence: float = 0.5) -> DataFrame:
+    """How much of every column's values each column of another table has, whatever they are called, from one shuffle.
+
+    First a pass of sketches and extremes over each table (a row a table): a column that by these can neither hold enough of another
+    one nor be held by one is left out, with room for the sketches' error. All other columns become (value, column) rows, and a
+    value keeps the set of its columns as bits, so it is one row however often and wherever it stands. Counts over the sets
+    give every pair. Long texts are compared by their SHA-256. ``right_unique`` tells whether the right column is a key.
+    Columns without values, and tables without columns that can be keys, give no row.
+    """
+    columns = [(n, f.name, _kind(f)) for n, df in tables.items() for f in df.schema.fields if _kind(f)]
+    stats = {}
+    for name, df in tables.items():
+        mine = [c for c in columns if c[0] == name]
+        if not mine:
+            continue
+        aggs = []
+        for i, (_, c, kind) in enumerate(mine):
+            v = F.col(f"`{c}`")
+            edge = F.substring(v, 1, LONG_TEXT) if kind == "text" else v.cast("decimal(38,0)") if kind == "number" else v.cast("string")
+            aggs += [F.approx_count_distinct(v).alias(f"d{i}"), F.count(v).alias(f"n{i}"), F.min(edge).alias(f"lo{i}"), F.max(edge).alias(f"hi{i}")]
+        row = df.agg(*aggs).first()
+        for i, column in enumerate(mine):
+            stats[column] = tuple(row[f"{k}{i}"] for k in ("d", "n", "lo", "hi"))
+
+    def may_hold(left, right) -> bool:
+        (dl, nl, lo, hi), (dr, nr, rlo, rhi) = stats[left], stats[right]
+        return bool(nl and nr) and left[0] != right[0] and left[2] == right[2] and lo <= rhi and rlo <= hi and dl * min_confidence <= 1.5 * dr + 1
+
+    used = [c for c in columns if any(may_hold(c, o) or may_hold(o, c) for o in columns)]
+    spark = next(iter(tables.values())).sparkSession
+    out = "left_table string, left_column string, right_table string, right_column string, left_keys long, shared_keys long, confidence decimal(20,4), right_unique boolean"
+    if not used:
+        return spark.createDataFrame([], out)
+    rows = []
+    for name, df in tables.items():
+        items = []
+        for i, (n, c, kind) in enumerate(used):
+            if n == name:
+                v = F.col(f"`{c}`").cast("string")
+                v = F.when(F.length(v) > LONG_TEXT, F.concat(F.lit("#"), F.sha2(v, 256))).otherwise(v) if kind == "text" else v
+                items.append(F.struct(F.lit(i).alias("c"), F.lit(kind).alias("kind"), v.alias("v")))
+        if items:
+            rows.append(df.select(F.inline(F.array(*items))).where("v is not null"))
+    words = (len(used) + 62) // 63
+    bit = lambda w: F.when((F.col("c") / 63).cast("int") == w, F.call_function("shiftleft", F.lit(1).cast("long"), F.col("c") % 63)).otherwise(F.lit(0).cast("long"))
+    values = union_all(rows).groupBy("kind", "v").agg(*[F.bit_or(bit(w)).alias(f"m{w}") for w in range(words)])
+    sets = values.groupBy(*[f"m{w}" for w in range(words)]).agg(F.count(F.lit(1)).alias("n"))
+    members = F.filter(F.sequence(F.lit(0), F.lit(len(used) - 1)), lambda c: F.element_at(
+        F.array(*[F.col(f"m{w}") for w in range(words)]), (c / 63).cast("int") + 1).bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), c % 63)) != 0)
+    pairs = sets.select("n", members.alias("s")).select("n", "s", F.explode("s").alias("l")).select("n", "l", F.explode("s").alias("r")) \
+        .groupBy("l", "r").agg(F.sum("n").alias("n"))
+    names = spark.createDataFrame([(i, n, c, stats[(n, c, k)][1]) for i, (n, c, k) in enumerate(used)], "i int, t string, c string, filled long")
+    keys = pairs.where("l = r").select(F.col("l").alias("i"), F.col("n").alias("keys")).join(names, "i")
+    side = lambda p: keys.select(*[F.col(c).alias(f"{p}_{c}") for c in keys.columns])
+    ratio = F.col("shared_keys").cast("decimal(20,0)") / F.col("left_keys")
+    both = pairs.join(side("l"), F.col("l") == F.col("l_i")).join(side("r"), F.col("r") == F.col("r_i")).where("l_t != r_t")
+    return both.select(F.col("l_t").alias("left_table"), F.col("l_c").alias("left_column"), F.col("r_t").alias("right_table"), F.col("r_c").alias("right_column"),
+                       F.col("l_keys").alias("left_keys"), F.col("n").alias("shared_keys"), (F.col("r_keys") == F.col("r_filled")).alias("right_unique")) \
+        .withColumn("confidence", F.round(ratio, 4)).where(ratio >= min_confidence) \
+        .select("left_table", "left_column", "right_table", "right_column", "left_keys", "shared_keys", "confidence", "right_unique")
 
 
 def same_answer(left: DataFrame, right: DataFrame) -> DataFrame:

@@ -39,6 +39,53 @@ def portfolio_by_state(g: PropertyGraph) -> DataFrame:
         F.sum(F.when(F.col("is_delinquent"), nf * nm).otherwise(0)).alias("delinquent_paths"))
 
 
+def portfolio_by_messages(g: PropertyGraph) -> DataFrame:
+    """The same, asked as a pattern whose paths are counted and summed without being written."""
+    out = g.match_aggregate(
+        {"c": "Customer", "f": "CreditFacility", "m": "Merchant"},
+        [Hop("c", "h", "HOLDS_FACILITY", "f"), Hop("c", "t", "TRANSACTED_AT", "m")],
+        {"state": ("c", "state"), "product_line": ("h", "product_line"), "merchant_group": ("m", "merchant_group")},
+        {"active_customers": ("distinct", "c"), "facilities_held": ("distinct", "f"), "avg_dsr_pct": ("avg", "h", "new_dsr"),
+         "total_exposure": ("sum", "h", "exposure_amount"), "total_spend": ("sum", "t", "total_spend"),
+         "delinquent_paths": ("sum", "c", "if(is_delinquent, 1L, 0L)")})
+    return out.withColumns({c: F.round(c, 2) for c in ("avg_dsr_pct", "total_exposure", "total_spend")})
+
+
+def contagion_by_messages(g: PropertyGraph) -> DataFrame:
+    """``merchant_contagion`` as an aggregated pattern."""
+    return g.match_aggregate(
+        {"m": "Merchant", "c": "Customer"}, [Hop("c", "t", "TRANSACTED_AT", "m")],
+        {"merchant_name": ("m", "merchant_name"), "merchant_group": ("m", "merchant_group")},
+        {"delinquent_customers": ("distinct", "c"), "delinquent_spend": ("sum", "t", "total_spend"),
+         "linked_unpaid": ("sum", "c", "combined_unpaid")}, {"c": "is_delinquent"})
+
+
+def cross_sell_by_messages(g: PropertyGraph) -> DataFrame:
+    """``cross_sell_candidates`` as aggregated patterns: all measures but the spend without repeats come from one of three nodes; that
+    one from the pattern without facilities."""
+    eligible = "active_card_count = 0 and not is_delinquent and marketing_consent = 'Y' and net_income >= 4000"
+    by = {c: ("c", c) for c in ("cif_id", "state", "occupation", "net_income")}
+    loan, spent = Hop("c", "h", "HOLDS_FACILITY", "f"), Hop("c", "t", "TRANSACTED_AT", "m")
+    nodes = {"c": "Customer", "f": "CreditFacility", "m": "Merchant"}
+    paths = g.match_aggregate(nodes, [loan, spent], by, {
+        "loan_facilities": ("distinct", "f"), "best_credit_score": ("max", "f", "credit_score"), "merchants_visited": ("distinct", "m"),
+        "total_merchant_spend": ("sum", "t", "total_spend")}, {"c": eligible, "f": "product_line = 'LOAN'"})
+    once = g.match_aggregate({"c": "Customer", "m": "Merchant"}, [spent], {"cif_id": ("c", "cif_id")},
+                             {"true_merchant_spend": ("sum", "t", "total_spend")}, {"c": eligible})
+    return paths.join(once, "cif_id")
+
+
+def exposure_beside_delinquents(g: PropertyGraph) -> DataFrame:
+    """Four hops: facilities of performing customers, by product, that share a merchant with delinquent customers of a sector."""
+    return g.match_aggregate(
+        {"m": "Merchant", "f": "CreditFacility", "c": "Customer", "d": "Customer", "e": "EmployerSegment"},
+        [Hop("c", "h", "HOLDS_FACILITY", "f"), Hop("c", "t", "TRANSACTED_AT", "m"), Hop("d", "u", "TRANSACTED_AT", "m"), Hop("d", "w", "WORKS_IN_SEGMENT", "e")],
+        {"product_line": ("f", "product_line"), "sector": ("e", "sector")},
+        {"paths": ("count", "f"), "merchants": ("distinct", "m"), "delinquents": ("distinct", "d"), "exposure": ("sum", "h", "exposure_amount"),
+         "mean_unpaid": ("avg", "d", "combined_unpaid"), "least_spend": ("min", "t", "total_spend"), "highest_score": ("max", "f", "credit_score")},
+        {"c": "not is_delinquent", "d": "is_delinquent"})
+
+
 def ring_members(g: PropertyGraph) -> DataFrame:
     """Delinquent customers with their merchants and their one segment: the members of every ring."""
     return g.match(

@@ -14,6 +14,7 @@ This holds for steps whose output rows of a key depend on input rows of that key
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -28,6 +29,7 @@ from . import marts, profile, silver
 from .registry import MEDALLION, Step
 
 KEY, BUCKET, VERSION, GONE = "product_key", "key_bucket", "change_version", "change_deleted"
+LOADS = 4  # sources loaded at a time
 
 
 @dataclass(frozen=True)
@@ -103,16 +105,18 @@ class _Refresh:
             self.parts[f"{table}/columns"] = f"{folder}-columns"
         out = rows.withColumn(BUCKET, self.bucket())
         out.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(f"{self.root}/{folder}")
-        there = {r[0] for r in self.spark.read.schema(out.schema).parquet(f"{self.root}/{folder}").select(BUCKET).distinct().collect()}
+        there = versions.subfolders(self.spark, f"{self.root}/{folder}")
         for b in numbers:
             self.parts.pop(f"{table}/{b}", None)
-            if b in there:
+            if f"{BUCKET}={b}" in there:
                 self.parts[f"{table}/{b}"] = f"{folder}/{BUCKET}={b}"
 
     def note(self, table: str, before: DataFrame | None, after: DataFrame) -> None:
-        """The rows that only one side has, if any, are the table's changes."""
-        differ = after if before is None else after.exceptAll(before.select(*after.columns)).unionByName(before.select(*after.columns).exceptAll(after))
-        differ = self.stored(differ, "changes")
+        """The rows that only one side has, if any, are the table's changes. ``after`` is stored."""
+        differ = after
+        if before is not None:
+            before = before.select(*after.columns)
+            differ = self.stored(after.exceptAll(before).unionByName(before.exceptAll(after)), "changes")
         if not differ.isEmpty():
             self.changes[table] = differ
 
@@ -194,8 +198,9 @@ def refresh(spark: SparkSession, root: str, deltas: Mapping[str, DataFrame], sou
     known = {s.name: s for s in sources}
     if unknown := sorted(set(deltas) - set(known)):
         raise ValueError(f"no source {unknown}")
-    for name, delta in deltas.items():
-        _land(job, known[name], delta)
+    with ThreadPoolExecutor(LOADS) as pool:  # of different tables, so one need not wait for another's last task
+        for landing in [pool.submit(_land, job, known[name], delta) for name, delta in deltas.items()]:
+            landing.result()
     for product in products:
         _step(job, product, set(known))
     written = [p.rpartition("/")[0] for p in {*parts, *job.parts} if parts.get(p) != job.parts.get(p)]

@@ -70,3 +70,32 @@ def test_hot_group_stays_linear(spark):
     assert pair_counts(hot.select("g", "c"), ["g"], "n", "pairs").first().pairs == 200000 * 199999 // 2
     got = first_pairs(hot, ["g"], "c", ["v"], 30).collect()
     assert [(r.c_1, r.c_2) for r in got] == [("c000000", f"c{i:06d}") for i in range(1, 31)]
+
+
+def test_aggregates_without_paths(spark):
+    """Against the paths of ``match``, with nulls, repeated edges, conditions and elements without a match."""
+    df = spark.createDataFrame
+    people = df([(i, ["x", "y", None][i % 3], None if i == 4 else i) for i in range(8)], "id int, town string, age int")
+    shops = df([(i, f"s{i % 2}") for i in range(4)], "shop int, kind string")
+    visits = df([(n, n % 7, (n * n) % 4, None if n % 5 == 0 else n / 2) for n in range(30)], "visit int, who int, shop int, spent double")
+    owns = df([(n, n % 5, n % 3) for n in range(9)], "own int, who int, pet int")
+    pets = df([(i, i * 10) for i in range(3)], "pet int, weight int")
+    g = PropertyGraph([Node("P", people, "id"), Node("S", shops, "shop"), Node("A", pets, "pet")],
+                      [Edge("VISITS", visits, "visit", ("P", "who"), ("S", "shop")), Edge("OWNS", owns, "own", ("P", "who"), ("A", "pet"))])
+    nodes, hops = {"p": "P", "s": "S", "a": "A", "q": "P"}, [Hop("p", "v", "VISITS", "s"), Hop("p", "o", "OWNS", "a"), Hop("q", "w", "VISITS", "s")]
+    where = {"q": "id > 1", "v": "visit != 3"}
+    paths = g.match(nodes, hops, {"town": ("p", "town"), "kind": ("s", "kind"), "pet": ("a", "pet"), "q": ("q", "id"), "s": ("s", "shop"), "spent": ("v", "spent"),
+                                  "other": ("w", "spent"), "age": ("q", "age"), "weight": ("a", "weight")}, where)
+    want = paths.groupBy("town", "kind").agg(F.count("*").alias("n"), F.sum("spent").alias("spent"), F.avg("age").alias("age"), F.min("other").alias("least"),
+                                             F.max("weight").alias("heaviest"), F.count_distinct("q").alias("others"), F.count_distinct("s").alias("shops"))
+    got = g.match_aggregate(nodes, hops, {"town": ("p", "town"), "kind": ("s", "kind")}, {
+        "n": ("count", "p"), "spent": ("sum", "v", "spent"), "age": ("avg", "q", "age"), "least": ("min", "w", "spent"), "heaviest": ("max", "a", "weight"),
+        "others": ("distinct", "q"), "shops": ("distinct", "s")}, where)
+    rows = lambda d: sorted(str(tuple(round(x, 9) if isinstance(x, float) else x for x in r)) for r in d.select(want.columns).collect())
+    assert rows(got) == rows(want) and want.count() == 6
+    with pytest.raises(ValueError, match="not a tree"):
+        g.match_aggregate({"p": "P", "s": "S"}, [Hop("p", "v", "VISITS", "s"), Hop("p", "w", "VISITS", "s")], {"t": ("p", "town")}, {"n": ("count", "p")})
+    with pytest.raises(ValueError, match="not a tree"):
+        g.match_aggregate({"p": "P", "s": "S", "a": "A"}, [Hop("p", "v", "VISITS", "s")], {"t": ("p", "town")}, {"n": ("count", "p")})
+    with pytest.raises(ValueError, match="joins P to S"):
+        g.match_aggregate({"p": "P", "s": "S"}, [Hop("s", "v", "VISITS", "p")], {"t": ("p", "town")}, {"n": ("count", "p")})

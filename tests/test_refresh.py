@@ -60,7 +60,7 @@ def test_only_reached_buckets(lake):
 
 def test_late_moved_deleted_and_repeated(lake):
     lake([row(1, 1, 200, 1), row(2, 1, 5, 1), row(3, None, 7, 1)], [(1, "a"), (2, "b")])
-    assert lake.rows("total") == ["('1', 205, 2, 'a')", "(None, 7, 1, None)"] or len(lake.rows("total")) == 2
+    assert lake.rows("total") == ["('1', 205, 2, 'a')", "(None, 7, 1, None)"]
     delta = [row(1, 2, 300, 2), row(2, 1, 9, 0), row(3, None, 0, 2, True)]  # moved, late, deleted
     lake(delta)
     assert lake.rows("total") == ["('1', 5, 1, 'a')", "('2', 300, 1, 'b')"] and lake.rows("loud") == ["('2', 'B')"]
