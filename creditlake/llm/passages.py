@@ -12,10 +12,9 @@
    ``min_words`` words in the document and ``similarity`` equal words (of the longer side) is a passage; a chain that falls
    short is cut at its widest gap, and each part tried.
 4. The seeds of one passage may have their smallest doc_ids in different documents, none of which has the whole passage.
-   Stretches of repeated seeds that no passage of step 3 covers are therefore joined a second time, by longer runs of words,
-   each again with its own smallest doc_id: every run of ``min_words`` words, so that an exact repeat meets a document that
-   has at least as much of it, and every run of a half and a quarter of that, for passages with changed words. What meets is
-   aligned by all runs of k words that both texts have.
+   Stretches of repeated seeds that no passage of step 3 covers are therefore joined a second time, by pairs of seeds: every two
+   seeds at most ``min_words`` apart that point to different sources (or far apart in one), whatever stands between them. Such a
+   pair again has its own smallest doc_id, a document that has both parts together, and is a match of both its seeds.
 
 Defined results: null and empty texts, and texts of fewer than k words, have no passages. Rows without doc_id take no part.
 Rows of equal doc_id are not compared with each other; each is compared with others on its own (equal rows count once). A
@@ -31,12 +30,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import LOWER, Words, map_arrow, span_hash, stored, table, utf8
+from .common import BASE, LOWER, Words, map_arrow, mix, stored, table, utf8
 
 K, WINDOW, MIN_WORDS, SIMILARITY = 5, 8, 50, 0.8
+SALTS = 8  # tasks that the occurrences of one seed are dealt to
 SKIP = 0.1  # price of a word skipped in either text
 EDGE = 8  # how far an extension may fall below its best
-MAX_GAP = 1000  # words of a gap that dynamic programming fills; chains pay SKIP for each, so longer ones don't occur below 10,000 words
+FARTHER = 24  # words beyond that at either end, where a passage would else be too short
+BLOCK = 1 << 14  # words of a gap in one text that are compared at a time
 
 
 def seeds_of(words: Words, k: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,14 +162,45 @@ def extend(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
 
 
 def common_words(x: np.ndarray, y: np.ndarray) -> int:
-    """Length of the longest common subsequence, row by row."""
-    if len(x) == 0 or len(y) == 0 or len(x) > MAX_GAP or len(y) > MAX_GAP:
-        return 0
-    row = np.zeros(len(y) + 1, np.int32)
-    for word in x:
-        step = np.maximum(row[1:], row[:-1] + (y == word))
-        row[1:] = np.maximum.accumulate(step)
-    return int(row[-1])
+    """Length of the longest common subsequence: a row of the dynamic programme is the bits of one number. A block of ``y``
+    hands the carry of each row to the next block."""
+    total, carry, rows = 0, [0] * len(x), x.tolist()
+    for lo in range(0, len(y), BLOCK):
+        where: dict[int, int] = {}
+        part = y[lo:lo + BLOCK].tolist()
+        for i, word in enumerate(part):
+            where[word] = where.get(word, 0) | 1 << i
+        width, v, out = len(part), (1 << len(part)) - 1, []
+        full = v
+        for word, c in zip(rows, carry, strict=True):
+            hit = v & where.get(word, 0)
+            up = v + hit + c
+            out.append(up >> width)
+            v = (up & full) | (v - hit)
+        total += width - v.bit_count()
+        carry = out
+    return total
+
+
+def farther(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places further on, at an equal word, to which at least half of the words are equal; and how many are."""
+    n = min(len(x), len(y), FARTHER)
+    same = x[:n] == y[:n]
+    count = np.cumsum(same)
+    at = np.flatnonzero(same & (2 * count >= np.arange(1, n + 1)))
+    return np.append(0, at + 1), np.append(0, count[at])
+
+
+def lengthened(b0: int, bp: int, a0: int, ap: int, equal: int, x: np.ndarray, y: np.ndarray, similarity: float) -> tuple[int, int, int, int, int]:
+    """The longest extension at both ends that keeps ``similarity``: for a passage whose ends the score has trimmed."""
+    right, more = farther(x[bp:], y[ap:])
+    left, less = farther(x[:b0][::-1], y[:a0][::-1])
+    longer = left[:, None] + right
+    good = equal + less[:, None] + more >= similarity * (max(bp - b0, ap - a0) + longer)
+    if not good.any():
+        return b0, bp, a0, ap, equal
+    i, j = np.unravel_index(int(np.where(good, longer, -1).argmax()), good.shape)
+    return b0 - int(left[i]), bp + int(right[j]), a0 - int(left[i]), ap + int(right[j]), equal + int(less[i] + more[j])
 
 
 def passages(b: np.ndarray, a: np.ndarray, x: np.ndarray, y: np.ndarray, k: int, reach: int, min_words: int, similarity: float) -> list[tuple[int, int, int, int, float]]:
@@ -192,6 +224,8 @@ def passages(b: np.ndarray, a: np.ndarray, x: np.ndarray, y: np.ndarray, k: int,
         bp, ap, equal = bp + more, ap + more, equal + same
         more, same = extend(x[:b0][::-1], y[:a0][::-1])
         b0, a0, equal = b0 - more, a0 - more, equal + same
+        if min_words - 2 * FARTHER <= bp - b0 < min_words:
+            b0, bp, a0, ap, equal = lengthened(b0, bp, a0, ap, equal, x, y, similarity)
         if bp - b0 >= min_words and equal >= similarity * max(bp - b0, ap - a0):
             out.append((b0, bp, a0, ap, equal / max(bp - b0, ap - a0)))
         elif len(chain) > 1:  # two passages may have been joined: try both sides of the widest gap
@@ -229,14 +263,19 @@ def repeated_passages(docs: DataFrame, k: int = K, window: int = WINDOW, min_wor
     earlier = linked.filter("doc > source").groupBy("doc", mark("place").alias("mark")) \
         .agg(F.collect_list(F.struct(word("place").alias("b"), "source", "source_place")).alias("m"))
     asked = stored(map_arrow(earlier.join(spans, ["doc", "mark"], "left").select("doc", "mark", "m.b", "m.source", "m.source_place", "from", "to"),
-                             lambda batch: open_seeds(batch, k, reach, min_words, window), "doc long, mark int, source long, source_place long"), "asked")
-    places = linked.join(asked.select("source", "source_place").distinct(), ["source", "source_place"], "left_semi") \
-        .groupBy("doc", mark("place").alias("mark")).agg(F.collect_list(word("place")).alias("b"))
-    offered = places.join(rows.dropDuplicates(["doc", "mark"]), ["doc", "mark"]).select("doc", "mark", "b", "text")
-    runs = stored(map_arrow(offered, lambda batch: long_runs(batch, k, reach, min_words, window), "h long, doc long, place long"), "runs")
-    asking = asked.select("doc", "mark").distinct()
-    again = runs.join(first_places(runs, "h"), "h").drop("h").filter("doc > source").withColumn("mark", mark("place")).join(asking, ["doc", "mark"], "left_semi")
-    more = stored(aligned(by_pair(again), rows, k, reach, min_words, similarity, True), "more")
+                             lambda batch: open_seeds(batch, k, 2 * reach, min_words, window), "doc long, mark int, source long, source_place long"), "asked")
+    # a seed may stand in very many documents: its occurrences are dealt over SALTS tasks
+    salted = asked.select("source", "source_place").distinct().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    places = linked.withColumn("salt", F.pmod(F.xxhash64("doc", "place"), F.lit(SALTS)).cast("int")).join(salted, ["source", "source_place", "salt"], "left_semi") \
+        .groupBy("doc", mark("place").alias("mark")).agg(F.collect_list(F.struct(word("place").alias("b"), "source", "source_place")).alias("m"))
+    couples = stored(map_arrow(places.select("doc", "mark", "m.b", "m.source", "m.source_place"), lambda batch: seed_pairs(batch, reach, min_words),
+                               "h long, doc long, place long, gap int"), "couples")
+    first = couples.groupBy("h").agg(F.min(F.struct("doc", "place", "gap")).alias("first"), F.max("doc").alias("last")).filter("first.doc < last")
+    met = couples.join(stored(first.select("h", F.col("first.doc").alias("source"), F.col("first.place").alias("source_place"), F.col("first.gap").alias("source_gap")), "anchors"), "h") \
+        .filter("doc > source").withColumn("mark", mark("place")).join(asked.select("doc", "mark").distinct(), ["doc", "mark"], "left_semi")
+    ends = F.inline(F.array(F.struct("place", "source_place"), F.struct((F.col("place") + F.col("gap")).alias("place"), (F.col("source_place") + F.col("source_gap")).alias("source_place"))))
+    again = met.select("doc", "source", ends).distinct()
+    more = stored(aligned(stored(by_pair(again, span.alias("wide")).filter("wide").drop("wide"), "pairs"), rows, k, reach, min_words, similarity), "more")
     # of these, none that lies in another one or in a passage found before; equal ones by the smallest source
     listed = found.withColumn("old", F.lit(True)).unionByName(more.withColumn("old", F.lit(False))).groupBy("doc_id", "mark") \
         .agg(F.collect_list(F.struct("old", "source_id", "b0", "b1")).alias("all"))
@@ -270,15 +309,14 @@ def by_pair(linked: DataFrame, *more: Column) -> DataFrame:
     return hits.groupBy("doc", "mark", "source", "source_mark").agg(F.collect_list(F.struct("b", "a")).alias("m"), *more)
 
 
-def aligned(pairs: DataFrame, rows: DataFrame, k: int, reach: int, min_words: int, similarity: float, every: bool = False) -> DataFrame:
-    """The passages of pairs. ``every``: by all runs of k words that both texts have, beside the places given."""
-    pairs = stored(pairs, "pairs") if every else pairs
+def aligned(pairs: DataFrame, rows: DataFrame, k: int, reach: int, min_words: int, similarity: float) -> DataFrame:
+    """The passages of pairs."""
     ends = pairs.select("doc", "mark").unionByName(pairs.select(F.col("source").alias("doc"), F.col("source_mark").alias("mark"))).distinct()
     bodies = stored(rows.join(ends, ["doc", "mark"], "left_semi").dropDuplicates(["doc", "mark"]), "bodies")
     sources = bodies.select(F.col("doc").alias("source"), F.col("mark").alias("source_mark"), F.col("text").alias("source_text"))
     both = pairs.join(bodies, ["doc", "mark"]).join(sources, ["source", "source_mark"]) \
         .select("doc", "source", F.col("m.b").alias("b"), F.col("m.a").alias("a"), "text", "source_text", "mark")
-    return map_arrow(both, lambda batch: align_batch(batch, k, reach, min_words, similarity, every), COLUMNS + PLACES)
+    return map_arrow(both, lambda batch: align_batch(batch, k, reach, min_words, similarity), COLUMNS + PLACES)
 
 
 def stretches(b: np.ndarray, k: int, reach: int, span: int) -> list[tuple[int, int]]:
@@ -316,42 +354,35 @@ def open_seeds(batch: pa.RecordBatch, k: int, reach: int, min_words: int, window
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["doc", "mark", "source", "source_place"])
 
 
-def long_runs(batch: pa.RecordBatch, k: int, reach: int, min_words: int, window: int) -> pa.RecordBatch | None:
-    """h, doc, place of the runs of words in stretches of the seeds given: each of ``min_words``, a half and a quarter of it."""
-    data, offsets = utf8(batch.column(3))
-    words = Words(LOWER[data], offsets)
-    values, bounds = np.asarray(batch.column(2).values), np.asarray(batch.column(2).offsets)
-    starts, sizes, docs = [], [], []
-    for r in range(batch.num_rows):
-        b = np.unique(values[bounds[r]:bounds[r + 1]]).astype(np.int64)
-        n = int(words.first[r + 1] - words.first[r])
-        for i, j in stretches(b, k, reach, min_words - 2 * (window + k)):
-            lo, hi = max(int(b[i]) - window - k, 0), min(int(b[j]) + 2 * k + window, n)
-            for size in {min_words, max(min_words // 2, k), max(min_words // 4, k)}:
-                at = np.arange(lo, max(hi - size + 1, lo))
-                starts.append(at + words.first[r])
-                sizes.append(np.full(len(at), size))
-                docs.append(np.full(len(at), r))
-    if not starts:
+def seed_pairs(batch: pa.RecordBatch, reach: int, min_words: int) -> pa.RecordBatch | None:
+    """h, doc, place and gap of every two seeds of a row, at most ``min_words`` apart, that point to different sources or, by more
+    than ``reach``, to different places of one."""
+    (b, offsets), (source, _), (place, _) = ((np.asarray(c.values).astype(np.int64), np.asarray(c.offsets)) for c in (batch.column(i) for i in (2, 3, 4)))
+    row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
+    b, source, place = (v[offsets[0]:offsets[-1]] for v in (b, source, place))
+    order = np.lexsort((b, row))
+    b, source, place, row = b[order], source[order], place[order], row[order]
+    apart = b - (place & 0xFFFFFFFF)
+    one = mix(source.astype(np.uint64) * np.uint64(BASE) + place.astype(np.uint64))
+    left, right, step = [], [], 1
+    while step < len(b):
+        near = (row[step:] == row[:-step]) & (b[step:] - b[:-step] <= min_words)
+        if not near.any():
+            break
+        i = np.flatnonzero(near & ((source[step:] != source[:-step]) | (np.abs(apart[step:] - apart[:-step]) > reach)))
+        left.append(i)
+        right.append(i + step)
+        step += 1
+    if not left or not sum(map(len, left)):
         return None
-    start, size, doc = np.concatenate(starts), np.concatenate(sizes), np.concatenate(docs)
-    h = span_hash(words.hash, start, start + size)
+    i, j = np.concatenate(left), np.concatenate(right)
+    h = mix(one[i] * np.uint64(BASE) + one[j])
     ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[doc]), pa.array((marks[doc] << 32) | (start - words.first[doc]))], ["h", "doc", "place"])
+    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[row[i]]), pa.array((marks[row[i]] << 32) | b[i]), pa.array(b[j] - b[i], pa.int32())],
+                                      ["h", "doc", "place", "gap"])
 
 
-def common_runs(x: np.ndarray, y: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Places in x, and the first in y, of the runs of k words that both have."""
-    if min(len(x), len(y)) < k:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    p, q = (span_hash(v, np.arange(len(v) - k + 1), np.arange(k, len(v) + 1)) for v in (x, y))
-    keys, first = np.unique(q, return_index=True)
-    at = np.minimum(np.searchsorted(keys, p), len(keys) - 1)
-    b = np.flatnonzero(keys[at] == p)
-    return b, first[at[b]]
-
-
-def align_batch(batch: pa.RecordBatch, k: int, reach: int, min_words: int, similarity: float, every: bool = False) -> pa.RecordBatch | None:
+def align_batch(batch: pa.RecordBatch, k: int, reach: int, min_words: int, similarity: float) -> pa.RecordBatch | None:
     out = []
     sides = []
     for c in (4, 5):
@@ -365,10 +396,11 @@ def align_batch(batch: pa.RecordBatch, k: int, reach: int, min_words: int, simil
         b, a = (v[o[r]:o[r + 1]].astype(np.int64) for v, o in lists)
         x0, y0 = wx.first[r], wy.first[r]
         x, y = wx.hash[x0:wx.first[r + 1]], wy.hash[y0:wy.first[r + 1]]
-        if every:
-            more = common_runs(x, y, k)
-            b, a = np.unique(np.stack([np.concatenate([b, more[0]]), np.concatenate([a, more[1]])]), axis=1)
-        for b0, b1, a0, a1, similar in passages(b, a, x, y, k, reach, min_words, similarity):
+        if len(x) == len(y) and (x == y).all():  # copies need no chain
+            spans = [(0, len(x), 0, len(y), 1.0)] if len(x) >= min_words else []
+        else:
+            spans = passages(b, a, x, y, k, reach, min_words, similarity)
+        for b0, b1, a0, a1, similar in spans:
             out.append((ids[r], sources[r], cx[wx.start[x0 + b0]] - cx[ox[r]], cx[wx.end[x0 + b1 - 1]] - cx[ox[r]],
                         cy[wy.start[y0 + a0]] - cy[oy[r]], cy[wy.end[y0 + a1 - 1]] - cy[oy[r]], b1 - b0, similar, marks[r], b0, b1))
     if not out:
