@@ -36,6 +36,7 @@ from .common import LOWER, Words, distinct_by, map_arrow, mix, stored, table, ut
 
 BANDS, ROWS = 32, 5
 FEW, BLOCK = 16, 256
+HOT_ROOTS = 1000
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -146,23 +147,32 @@ def local_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([root(x) for x in part], pa.int64()), pa.array(part, pa.int64())], ["u", "v"])
 
 
+def with_least(rows: DataFrame, least: DataFrame, n: int) -> DataFrame:
+    """Rows (u, v) with ``m``, the one value of ``least`` for each u (and ``c``, how many rows u has). A u with more than a
+    thousandth of all ``n`` rows, of which there are fewer than a thousand, is looked up in every task; the others are joined."""
+    hot = least.filter(F.col("c") * HOT_ROOTS > n).select("u", "m")
+    cold = least.filter(F.col("c") * HOT_ROOTS <= n).select("u", "m")
+    known = rows.join(F.broadcast(hot), "u", "left")
+    return known.filter("m is not null").unionByName(known.filter("m is null").drop("m").join(cold, "u"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """id and component (smallest id reachable) of every node of the edges (u, v), by rounds of union-find within tasks and
     of pointing each node and its neighbours to the smallest of them. Every round is written to the shared folder."""
     now, seen = stored(edges.mapInArrow(local_roots, "u long, v long"), "edges"), None
+    n = now.count()
     while True:
         # large star: the neighbours above a node go to the smallest of all; then small star: those below it do
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("m").alias("u"), "v").distinct()
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-        least = down.groupBy("u").agg(F.min("v").alias("m"))
-        small = down.join(least, "u").select(F.col("m").alias("u"), "v").unionByName(least.select(F.col("m").alias("u"), F.col("u").alias("v"))).filter("u <> v").distinct()
+        least = stored(both.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c")).select("u", F.least("u", "m").alias("m"), "c"), "least")
+        down = stored(with_least(both, least, 2 * n).filter("v > u").select(F.greatest("m", "v").alias("u"), F.least("m", "v").alias("v")).distinct(), "down")
+        least = stored(down.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("c")), "least")
+        small = with_least(down, least, n).select(F.col("m").alias("u"), "v").unionByName(least.select(F.col("m").alias("u"), F.col("u").alias("v"))).filter("u <> v").distinct()
         now = stored(small, "edges")
-        state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
-        if state == seen:
+        n, *state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
+        if [n, *state] == seen:
             return now.groupBy(F.col("v").alias("id")).agg(F.min("u").alias("component"))
-        seen = state
+        seen = [n, *state]
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -171,13 +181,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     signed = stored(signatures(texts, k, bands, rows), "signatures")
     full = signed.filter("n > 0 and doc_id is not null")
     sets = stored(full.groupBy("a", "b").agg(F.min("doc_id").alias("set_id")), "sets")
-    nodes = stored(full.join(sets, ["a", "b"]).select("doc_id", "n", "set_id", F.when(F.col("doc_id") == F.col("set_id"), F.col("keys")).alias("keys")), "nodes")
+    nodes = stored(full.join(sets, ["a", "b"]).select("doc_id", "n", "a", "b", "set_id", F.when(F.col("doc_id") == F.col("set_id"), F.col("keys")).alias("keys")), "nodes")
 
-    buckets = nodes.filter("keys is not null").dropDuplicates(["doc_id", "n"]).select(F.explode("keys").alias("key"), F.col("doc_id").alias("v"), "n")
-    centers = stored(buckets.groupBy("key").agg(F.min(F.struct("v", "n")).alias("center"), F.count("*").alias("members"))
-                     .filter("members > 1").select("key", F.col("center.v").alias("u"), F.col("center.n").alias("center_n")), "centers")
+    # a doc_id may have several sets (its rows' texts), each with its keys; a center is joined by its smallest and largest set
+    buckets = nodes.filter("keys is not null").dropDuplicates(["doc_id", "a", "b"]).select(F.explode("keys").alias("key"), F.col("doc_id").alias("v"), "n")
+    centers = stored(buckets.groupBy("key").agg(F.min(F.struct("v", "n")).alias("low"), F.min(F.struct("v", (-F.col("n")).alias("n"))).alias("high"), F.count("*").alias("members"))
+                     .filter("members > 1").select("key", F.col("low.v").alias("u"), F.col("low.n").alias("least_n"), (-F.col("high.n")).alias("most_n")), "centers")
     shared = stored(buckets.join(centers, "key"), "buckets")
-    similar = percent * F.greatest("n", "center_n") <= 100 * F.least("n", "center_n")
+    similar = (percent * F.col("n") <= 100 * F.col("most_n")) & (percent * F.col("least_n") <= 100 * F.col("n"))
     pairs = stored(shared.filter((F.col("u") < F.col("v")) & similar).select("u", "v").distinct(), "pairs")
     chosen = shared.select(F.col("v").alias("doc_id")).distinct()
     bodies = stored(texts.join(chosen, "doc_id", "left_semi"), "texts")
@@ -195,6 +206,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80, bands: int =
     own = map_arrow(bodies.join(open_docs, "doc_id", "left_semi"), lambda b: own_shingles(b, k), "doc_id long, shingles array<long>")
     single = own.select("doc_id", F.explode("shingles").alias("s")).groupBy("s").agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("w")) \
         .filter("v = w").groupBy("v").agg(F.count("*").alias("alone"))
+    # of documents of one text; those of several count as sharing all of their shingles
+    single = single.join(own.groupBy(F.col("doc_id").alias("v")).agg(F.count("*").alias("texts")).filter("texts = 1").select("v"), "v", "left_semi")
     capped = stored(few.join(single, "v", "left").withColumn("most", F.col("n") - F.coalesce("alone", F.lit(0))), "capped")
     a, b = capped.filter("c <> main").alias("a"), capped.alias("b")
     able = (100 + percent) * F.least("a.most", "b.most") >= percent * (F.col("a.n") + F.col("b.n"))

@@ -67,8 +67,13 @@ def test_near_duplicates(frame, monkeypatch, few, k):
     monkeypatch.setattr(neardup, "BLOCK", 16)
     rows = near_copies(random.Random(k)) + [(50, None), (51, ""), (52, " \n\t "), (None, "no id here"), (None, "no id here"), (53, "long " * 20000)]
     rows += [(300, rows[110][1]), (60, "same id one text"), (60, "same id other words entirely")]
+    # two texts of one length under one id, each with a near copy of its own
+    draw = random.Random(9)
+    twins = [sentence(draw, 60, 10 ** 6) for _ in range(2)]
+    rows += [(900, " ".join(t)) for t in twins] + [(901 + i, " ".join([*t[:59], "else"])) for i, t in enumerate(twins)]
     got = neardup.near_duplicates(frame(rows), k=k).collect()
     want = brute_groups(rows, k)
+    assert want[902] == want[901] == 900
     assert len(got) == len(rows)
     assert {r.doc_id: r.component_id for r in got if r.doc_id is not None} == want
     assert all(r.kept == (r.doc_id is None or r.doc_id == r.component_id) for r in got)
@@ -111,6 +116,59 @@ def test_passages(frame):
     assert passages.repeated_passages(frame([])).count() == 0
 
 
+@pytest.mark.parametrize("block", [1, 5, 1 << 14])
+def test_common_words(monkeypatch, block):
+    monkeypatch.setattr(passages, "BLOCK", block)
+    draw = np.random.default_rng(block)
+    for _ in range(60):
+        x, y = (draw.integers(0, 4, draw.integers(0, 20)) for _ in range(2))
+        table = np.zeros((len(x) + 1, len(y) + 1), int)
+        for i, a in enumerate(x):
+            for j, b in enumerate(y):
+                table[i + 1, j + 1] = table[i, j] + 1 if a == b else max(table[i, j + 1], table[i + 1, j])
+        assert passages.common_words(x, y) == table[-1, -1]
+
+
+def test_recall_of_changed_passages(frame):
+    """Both joins, words changed at random: the source of a passage, and one that only has both its parts together."""
+    draw = np.random.default_rng(4)
+    fresh = lambda n: [f"w{v}" for v in draw.integers(0, 10 ** 6, n)]
+    rows, asked = [], {}
+
+    def add(words):
+        rows.append((len(rows) + 1, " ".join([*fresh(30), *words, *fresh(30)])))
+        return len(rows)
+
+    def changed(words, share):
+        out = list(words)
+        for i in draw.choice(np.arange(1, len(out) - 1), round(share * len(out)), replace=False):
+            out[i] = f"z{draw.integers(0, 10 ** 9)}"
+        return out
+
+    for _ in range(30):
+        for share in (0.0, 0.1, 0.15):
+            x, y = fresh(40), fresh(40)
+            add(x), add(y)
+            asked.setdefault(("second", 80, share), []).append((add(x + y), add(changed(x + y, share))))
+        for n, share in ((50, 0.1), (60, 0.1), (60, 0.15), (80, 0.2), (120, 0.2)):
+            x = fresh(n)
+            asked.setdefault(("first", n, share), []).append((add(x), add(changed(x, share))))
+    found = {(r.source_id, r.doc_id) for r in passages.repeated_passages(frame(rows)).collect()}
+    share = {case: np.mean([pair in found for pair in pairs]) for case, pairs in asked.items()}
+    assert share["second", 80, 0.0] == 1 and all(v >= 0.8 for v in share.values()) and np.mean(list(share.values())) >= 0.92
+    assert {b for pairs in asked.values() for _, b in pairs} >= {d for _, d in found}
+
+
+def test_long_gap(frame):
+    """A passage whose middle is another text in both documents, of more than a thousand words and unequal lengths."""
+    draw = random.Random(8)
+    part = lambda n: sentence(draw, n, 10 ** 6)
+    a, b, middle = part(2500), part(2500), part(1100)
+    other = [w if i % 2 else f"x{i}" for i, w in enumerate(middle)][:-30]
+    got = passages.repeated_passages(frame([(1, " ".join(a + middle + b)), (2, " ".join(a + other + b))])).collect()
+    assert [(r.doc_id, r.source_id, r.n_words) for r in got] == [(2, 1, 6070)] and got[0].similarity > 0.89
+
+
 def test_passages_whose_parts_have_other_first_documents(frame):
     draw = random.Random(12)
     x, y, z, v = (sentence(draw, 40, 10 ** 6) for _ in range(4))
