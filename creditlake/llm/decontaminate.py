@@ -3,7 +3,8 @@
 Texts are compared with A-Z (and accented Latin capitals) as small letters and runs of white space as one blank. A place within k edits of an item of m bytes shares at
 least m - q + 1 - k * q of the item's q-grams with it, all on diagonals (text position less item position) that lie within
 k of each other. Diagonals are dealt to overlapping bands of 2 * (k + 1), one starting every k + 1, so some band holds all of
-them. Bands that reach the bound are aligned with the item in a band of the dynamic programme; what is within k edits is
+them. Where many items share wording, that wording alone may reach the bound; so the same lemma is asked again with grams of ``FINE``
+bytes over the whole band, which spoil less. Bands that reach both bounds are aligned with the item in a band of the dynamic programme; what is within k edits is
 a match. k is a tenth of the item's length, or less where the bound would fall below one q-gram.
 
 The items are an index of hashed q-grams sent to every task. Its size is checked: items beyond ``index_bytes`` of text are
@@ -28,7 +29,9 @@ from .common import LOWER, SPACES, map_arrow, mix, ranges, table, utf8
 
 Q = 8
 ERROR = 0.1
+FINE = 4
 INDEX_BYTES = 16 << 20
+ENTRIES = 2_000_000  # pairs of a q-gram of a text and one of an item that are looked at at a time
 FOLD = np.where(SPACES, np.uint8(32), LOWER)
 
 
@@ -68,6 +71,8 @@ class Index:
     first: np.ndarray  # where the entries of each begin (with the end at last)
     item: np.ndarray
     place: np.ndarray
+    key: np.ndarray  # gram and item of each entry, as one number, ascending
+    fine: np.ndarray  # codes of FINE bytes from each place of ``data`` on
     seen: np.ndarray  # one flag for each value of the top bits of a hash
     shift: int
 
@@ -85,12 +90,33 @@ def build_index(ids: list, texts: list[str | None], q: int = Q, error: float = E
     owner = np.repeat(np.arange(len(size)), size)
     inner = np.flatnonzero(at[owner[:len(hashes)] + 1] - np.arange(len(hashes)) >= q)
     hashes, item, place = hashes[inner], owner[inner], inner - at[owner[inner]]
-    order = np.argsort(hashes, kind="stable")
+    order = np.argsort(hashes, kind="stable")  # items ascend within a gram
     grams, first = np.unique(hashes[order], return_index=True)
     bits = min(max(int(len(grams)).bit_length() + 6, 16), 26)
     seen = np.zeros(1 << bits, bool)
     seen[(grams >> np.uint64(64 - bits)).astype(np.int64)] = True
-    return Index(ids, data, at, edits, bound, grams, np.append(first, len(order)), item[order], place[order], seen, 64 - bits)
+    first = np.append(first, len(order))
+    key = np.repeat(np.arange(len(grams)), np.diff(first)) * np.int64(len(size)) + item[order]
+    return Index(ids, data, at, edits, bound, grams, first, item[order], place[order], key, fine_codes(data), seen, 64 - bits)
+
+
+def fine_codes(data: np.ndarray) -> np.ndarray:
+    """16 bits of each FINE bytes. Different grams may share a code, which only lets more pass."""
+    return (gram_hashes(data, FINE) >> np.uint64(48)).astype(np.int64)
+
+
+def reaches(index: Index, codes: np.ndarray, items: list[int], spans: list[tuple[int, int]]) -> np.ndarray:
+    """Whether enough of each item's fine grams stand in its stretch of the text."""
+    there, out = np.zeros(1 << 16, bool), np.zeros(len(items), bool)
+    before: tuple[int, int] = (0, 0)
+    for g, (i, span) in enumerate(zip(items, spans, strict=True)):
+        if span != before:
+            there[codes[before[0]:before[1]]] = False
+            there[codes[span[0]:span[1]]] = True
+            before = span
+        a, b = int(index.at[i]), int(index.at[i + 1]) - FINE + 1
+        out[g] = b <= a or there[index.fine[a:b]].sum() >= b - a - FINE * int(index.edits[i])
+    return out
 
 
 def candidates(index: Index, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,8 +129,27 @@ def candidates(index: Index, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarr
     row = np.searchsorted(at, hit, "right") - 1
     inner = hit + Q <= at[row + 1]
     hit, gram, row = hit[inner], gram[inner], row[inner]
+    # rows after rows, or within a row with very many, items after items: the work of each part is bounded
     many = index.first[gram + 1] - index.first[gram]
-    entry = ranges(index.first[gram], many)
+    total = np.cumsum(np.bincount(row, many, len(at) - 1)).astype(np.int64)
+    parts, lo = [], 0
+    while lo < len(at) - 1:
+        hi = max(int(np.searchsorted(total, (total[lo - 1] if lo else 0) + ENTRIES, "right")), lo + 1)
+        mine = slice(*np.searchsorted(row, [lo, hi]))
+        pieces = int(many[mine].sum()) // ENTRIES + 1
+        cuts = np.linspace(0, len(index.edits), pieces + 1).astype(np.int64)
+        parts += [bands(index, at, hit[mine], gram[mine], row[mine], int(a), int(b)) for a, b in zip(cuts, cuts[1:], strict=False)]
+        lo = hi
+    none = np.zeros(0, np.int64)
+    return tuple(np.concatenate([none, *x]) for x in zip(*parts, strict=True)) if parts else (none, none, none)
+
+
+def bands(index: Index, at: np.ndarray, hit: np.ndarray, gram: np.ndarray, row: np.ndarray, first_item: int, end_item: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bands of these hits for items from ``first_item`` to before ``end_item``."""
+    n = np.int64(len(index.edits))
+    first = np.searchsorted(index.key, gram * n + first_item)
+    many = np.searchsorted(index.key, gram * n + end_item) - first
+    entry = ranges(first, many)
     row = np.repeat(row, many)
     item, place = index.item[entry], index.place[entry]
     diagonal = np.repeat(hit, many) - at[row] - place
@@ -115,17 +160,15 @@ def candidates(index: Index, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarr
     band = np.concatenate([band, band - 1])
     low = int(band.min(initial=0))
     key = (row * np.int64(len(index.edits)) + item) * np.int64(int(band.max(initial=0)) - low + 1) + (band - low)
-    order = np.argsort(key, kind="stable")
-    sorted_key = key[order]
-    starts = np.flatnonzero(np.concatenate([[True], sorted_key[1:] != sorted_key[:-1]])) if len(key) else np.zeros(0, np.int64)
-    counts = np.diff(np.append(starts, len(key)))
-    enough = np.flatnonzero(counts >= index.bound[item[order[starts]]]) if len(starts) else starts
-    chosen = []
-    for g in enough.tolist():  # a q-gram of the item counts once
-        members = order[starts[g]:starts[g] + counts[g]]
-        if len(np.unique(place[members])) >= index.bound[item[members[0]]]:
-            chosen.append(members[0])
-    picked = np.array(chosen, np.int64)
+    order = np.lexsort((place, key))
+    key, place = key[order], place[order]
+    new = np.ones(len(key), bool)
+    new[1:] = key[1:] != key[:-1]
+    starts = np.flatnonzero(new)
+    new[1:] |= place[1:] != place[:-1]  # a q-gram of the item counts once
+    counts = np.add.reduceat(new.astype(np.int64), starts) if len(starts) else starts
+    picked = order[starts]
+    picked = picked[counts >= index.bound[item[picked]]]
     return row[picked], item[picked], band[picked] * (index.edits[item[picked]] + 1)
 
 
@@ -167,6 +210,14 @@ def matches(index: Index, data: np.ndarray, offsets: np.ndarray) -> list[tuple[i
     folded, at, place = normal(data, offsets)
     found: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
     row, item, diagonal = candidates(index, folded, at)
+    if len(row):  # the band's stretch of the text: the item's length and its edits to either side of the diagonals
+        size, k = index.at[item + 1] - index.at[item], index.edits[item]
+        begin = np.maximum(diagonal - k, 0) + at[row]
+        end = np.minimum(diagonal + size + 3 * k + 4, at[row + 1] - at[row]) + at[row] - FINE + 1
+        order = np.lexsort((end, begin))
+        keep = order[reaches(index, fine_codes(folded), item[order].tolist(), list(zip(begin[order].tolist(), np.maximum(end[order], begin[order]).tolist(), strict=True)))]
+        keep.sort()
+        row, item, diagonal = row[keep], item[keep], diagonal[keep]
     for lo in range(0, len(row), 256):
         rows, items, first = (x[lo:lo + 256].tolist() for x in (row, item, diagonal))
         k = index.edits[item[lo:lo + 256]].tolist()

@@ -5,11 +5,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from creditlake.llm import decontaminate, neardup, passages, topk
-from creditlake.llm.common import Words, mix
+from creditlake.llm.common import Words, mix, utf8
 
 from llm_frames import frame  # noqa: F401
 
@@ -284,3 +285,21 @@ def test_top_k(spark):
     for lists in (1, 2, 3):
         assert sorted(map(tuple, topk.top_k(df, F.col("vec_id") % 50 == 0, lists=lists).collect())) == sorted(want)
     assert topk.top_k(df.filter("false"), F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_items_with_a_shared_opening(monkeypatch):
+    """The opening alone fills the bound of every item; no such item matches, and the work of a row is dealt in parts."""
+    draw = random.Random(6)
+    letters = lambda n: "".join(draw.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+    opening = letters(200)
+    items = [opening + letters(300) for _ in range(150)]
+    docs = [letters(300) + opening + letters(300) for _ in range(40)] + [" ".join([opening] * 200)]
+    near = list(items[7])
+    for i in range(20, 480, 15):
+        near[i] = "_"
+    docs[3] = letters(100) + "".join(near) + letters(100)
+    index = decontaminate.build_index(list(range(len(items))), items)
+    got = decontaminate.matches(index, *utf8(pa.array(docs)))
+    assert [(g[0], g[1], g[4]) for g in got] == [(3, 7, 31)]
+    monkeypatch.setattr(decontaminate, "ENTRIES", 5000)
+    assert decontaminate.matches(index, *utf8(pa.array(docs))) == got
