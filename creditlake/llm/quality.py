@@ -2,10 +2,11 @@
 
 Features are indicators of n-grams (runs of 1, 2, 3 and 5 bytes of the whole text, hashed) and of how much a text repeats its
 own word n-grams. Each indicator is scaled by its class log-count ratio, a document's vector is scaled to length 1, and a
-linear model of squared hinge loss is fitted by dual coordinate descent. Margins become probabilities by a logistic curve
+linear model of hinge loss is fitted by dual coordinate descent. Margins become probabilities by a logistic curve
 fitted on margins of held-apart folds of the training rows.
 
-The fit uses at most ``max_rows`` labelled rows, those with the smallest hash of doc_id, of texts up to ``max_bytes`` bytes;
+The fit uses at most ``max_rows`` labelled rows, those with the smallest hash of doc_id, of texts up to ``max_bytes`` bytes, as far
+as all of them together have up to ``max_total`` bytes (a byte makes at most four features, so that bounds the driver's memory);
 everything is scored on its whole text. Of rows with one doc_id the first text in order is learned from. Labels of one doc_id that disagree count as their majority (tie: 0).
 
 Defined results: null and empty texts have no n-gram, only the indicators of an empty text, and get a score like any
@@ -21,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .common import SPACES, Words, held_out, map_arrow, table, utf8
@@ -30,6 +32,7 @@ BITS = 16
 SIZE = len(ORDERS) * (1 << BITS) + 512
 MAX_ROWS = 5000
 MAX_BYTES = 1 << 20
+MAX_TOTAL = 16 << 20
 
 
 def indicator_pairs(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,19 +103,19 @@ def repetition(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return np.repeat(np.arange(n_docs), len(out)), np.stack(out, 1).ravel()
 
 
-def dual_coordinate_descent(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: float = 1.0, epochs: int = 10, seed: int = 7) -> np.ndarray:
-    """Weights (bias last) of the squared hinge loss; rows as (features, values), labels -1 and 1."""
+def dual_coordinate_descent(x: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: float = 1.0, epochs: int = 20, seed: int = 7) -> np.ndarray:
+    """Weights (bias last) of the hinge loss; rows as (features, values), labels -1 and 1. Each dual variable stays within 0 and
+    ``cost``; the descent ends where no slope that points inside that range is left."""
     w = np.zeros(SIZE + 1)
     alpha = np.zeros(len(x))
-    diagonal = 1 / (2 * cost)
-    square = np.array([float(v @ v) + 1 for _, v in x]) + diagonal
+    square = np.array([float(v @ v) + 1 for _, v in x])
     order = np.random.default_rng(seed)
     for _ in range(epochs):
         worst = 0.0
         for i in order.permutation(len(x)):
             f, v = x[i]
-            slope = y[i] * (float(w[f] @ v) + w[-1]) - 1 + diagonal * alpha[i]
-            step = max(alpha[i] - slope / square[i], 0.0) - alpha[i]
+            slope = y[i] * (float(w[f] @ v) + w[-1]) - 1
+            step = min(max(alpha[i] - slope / square[i], 0.0), cost) - alpha[i]
             if step:
                 alpha[i] += step
                 w[f] += step * y[i] * v
@@ -205,14 +208,19 @@ def row_features(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([lists, batch.column(1)], ["features", "label"])
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES) -> DataFrame:
-    """text and label of at most ``max_rows`` labelled documents outside the held-out fifth."""
+def training_rows(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, max_total: int = MAX_TOTAL) -> DataFrame:
+    """text and label of at most ``max_rows`` labelled documents outside the held-out fifth, of up to ``max_total`` bytes in all."""
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality")) \
         .filter(F.col("quality").isin(0, 1) & ~held_out())
     drawn = known.groupBy("doc_id").agg((F.avg("quality") > 0.5).cast("int").alias("label")) \
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)  # so at most max_rows rows are broadcast
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .filter(F.coalesce(F.octet_length("text"), F.lit(0)) <= max_bytes).join(F.broadcast(drawn), "doc_id")
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).filter(size <= max_bytes)
+    # at most max_rows pairs of numbers in one task
+    before = W.orderBy(F.xxhash64("doc_id"), "doc_id").rowsBetween(W.unboundedPreceding, W.currentRow)
+    sizes = rows.select("doc_id", size.cast("long").alias("bytes")).join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "label").agg(F.max("bytes").alias("bytes"))
+    drawn = sizes.withColumn("total", F.sum("bytes").over(before)).filter(F.col("total") <= max_total).select("doc_id", "label")
+    rows = rows.join(F.broadcast(drawn), "doc_id")
     return rows.groupBy("doc_id", "label").agg(F.min("text").alias("text")).orderBy("doc_id").select("text", "label")
 
 

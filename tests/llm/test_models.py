@@ -60,12 +60,20 @@ def test_dual_coordinate_descent_solves_the_primal():
     draw = np.random.default_rng(4)
     x = [(np.array([0, 1, 2]), draw.normal(size=3)) for _ in range(60)]
     y = np.array([1 if v[0] + 0.3 * v[1] > 0 else -1 for _, v in x])
-    loss = lambda w, b: 0.5 * (w @ w + b * b) + sum(max(0.0, 1 - k * (v @ w + b)) ** 2 for (_, v), k in zip(x, y, strict=True))
-    w = quality.dual_coordinate_descent(x, y, epochs=200)
+    loss = lambda w, b: 0.5 * (w @ w + b * b) + sum(max(0.0, 1 - k * (v @ w + b)) for (_, v), k in zip(x, y, strict=True))
+    w = quality.dual_coordinate_descent(x, y, epochs=3000)
     best = loss(w[:3], w[-1])
     assert all(loss(w[:3] + d[:3], w[-1] + d[3]) >= best - 1e-4 for d in draw.normal(scale=0.05, size=(200, 4)))
 
 
+def test_training_rows_are_bounded(frame):
+    rows = [(i, "word " * 20) for i in range(40)]
+    labels = frame([]).sparkSession.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    every = quality.training_rows(frame(rows), labels).count()
+    assert every > 20 and quality.training_rows(frame(rows), labels, max_total=1000).count() == 10
+    assert quality.training_rows(frame(rows), labels, max_rows=5).count() == 5
+
+
 def test_forward_backward_against_brute_force():
     draw = np.random.default_rng(3)
     scores, move = draw.normal(size=(9, 3)), draw.normal(size=(3, 3))
