@@ -103,7 +103,7 @@ def st_05(t):
     src = _split_files(t, t.events, "ts", "events")
     out, cp = scratch_path(t.spark, "daily"), scratch_path(t.spark, "cp")
     stream = jobs.file_stream(t.spark, src, t.events.schema, per_batch=2)
-    _drain(jobs.daily_series(stream, out, cp, "ts", "event_type", "value"))
+    jobs.publish_daily_series(jobs.daily_series(stream, out, cp, "ts", "event_type", "value"), t.spark, out)
     return jobs.read_daily_series(t.spark, out, "event_type")
 
 
@@ -117,5 +117,17 @@ def st_05b(t):
     newer = F.col("ts").cast("timestamp").cast("double") >= middle
     for part in (rows.where(newer), rows.where(~newer)):
         part.write.mode("append").parquet(src)
-        _drain(jobs.daily_series(jobs.file_stream(t.spark, src, rows.schema), out, cp, "ts", "event_type", "value"))
+        jobs.publish_daily_series(jobs.daily_series(jobs.file_stream(t.spark, src, rows.schema), out, cp, "ts", "event_type", "value"), t.spark, out)
+    return jobs.read_daily_series(t.spark, out, "event_type")
+
+
+@query("st_05c_daily_series_restarted", """
+SELECT ts::date AS day, event_type, sum(value::decimal(18,2))::double AS total FROM events GROUP BY 1, 2""")
+def st_05c(t):
+    """After a full run, one on a new checkpoint has got as far as its first file: the series is still whole."""
+    rows = t.events.select("ts", "event_type", "value")
+    src, out = _split_files(t, rows, "ts", "events"), scratch_path(t.spark, "daily")
+    run = lambda **only: jobs.daily_series(jobs.file_stream(t.spark, src, rows.schema, per_batch=1, **only), out, scratch_path(t.spark, "cp"), "ts", "event_type", "value")
+    jobs.publish_daily_series(run(), t.spark, out)
+    _drain(run(pattern="part-00000*"))
     return jobs.read_daily_series(t.spark, out, "event_type")

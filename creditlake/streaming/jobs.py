@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.scalars import MONEY
+from ..sources import versions
 from .incremental import upsert
 
 
@@ -75,18 +76,36 @@ def daily_series(stream: DataFrame, path: str, checkpoint: str, timestamp: str,
     """Daily sums per kind, complete whenever a row arrives.
 
     Every batch writes its own sums, a row per day and kind that it holds, into a folder of its run and number. Nothing is
-    kept as state, so no row is too late; ``read_daily_series`` adds the batches up.
+    kept as state, so no row is too late; ``read_daily_series`` adds the batches up. Readers see a run from the time on when
+    ``publish_daily_series`` has shown that it caught up, and then every batch of it; a run on a new checkpoint, which reads the
+    source anew, takes the place of the one before at once and not bit by bit.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        run = run_of(batch)
         sums = batch.groupBy(F.to_date(timestamp).alias("day"), kind).agg(F.sum(F.col(amount).cast(MONEY)).alias("part"))
-        sums.withColumn("written_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{path}/run_id={run_of(batch)}/batch_id={batch_id}")
+        sums.write.mode("overwrite").parquet(f"{path}/run_id={run}/batch_id={batch_id}")
+        spark = batch.sparkSession
+        parts = versions.current(spark, path)
+        folder = f"run_id={run}/batch_id={batch_id}"
+        if folder not in parts.values() and any(f.startswith(f"run_id={run}/") for f in parts.values()):
+            versions.publish(spark, path, parts | {str(batch_id): folder})
 
     return each_batch(stream, checkpoint, write, **trigger)
 
 
+def publish_daily_series(query: StreamingQuery, spark: SparkSession, path: str, drains: bool = True) -> None:
+    """Wait until the run has worked off what is there, and make it the series. One that stops at an error raises it and leaves the
+    series as it was. A run that goes on (``drains`` False: another trigger than the default) is waited for until its source is empty."""
+    query.awaitTermination() if drains else query.processAllAvailable()
+    folder = f"run_id={query.id}"
+    batches = versions.subfolders(spark, f"{path}/{folder}")
+    versions.publish(spark, path, {b.rpartition("=")[2]: f"{folder}/{b}" for b in batches})
+
+
 def read_daily_series(spark: SparkSession, path: str, kind: str) -> DataFrame:
-    """Day, kind and total to two decimals, of the run written last: a run with a new checkpoint reads the source anew."""
-    parts = spark.read.parquet(path)
-    last = parts.select(F.max_by("run_id", "written_at")).scalar()
-    return parts.where(F.col("run_id") == last).groupBy("day", kind).agg(F.round(F.sum("part"), 2).alias("total"))
+    """Day, kind and total to two decimals, of the run published last."""
+    folders = sorted(versions.current(spark, path).values())
+    if not folders:
+        raise ValueError(f"no series has been published at {path}")
+    return spark.read.parquet(*[f"{path}/{f}" for f in folders]).groupBy("day", kind).agg(F.round(F.sum("part"), 2).alias("total"))

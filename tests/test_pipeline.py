@@ -15,6 +15,7 @@ from creditlake.session import scratch_path
 from creditlake.sources import files, versions
 from creditlake.sources import tables as tb
 from creditlake.streaming import incremental as inc
+from creditlake.streaming import jobs
 
 
 def test_medallion_run_equals_direct_build(spark, tables):
@@ -179,3 +180,28 @@ def test_glossary(spark):
     text = "glossary: {id: g}\ncategories: [{id: c, display_name: C}]\nterms:\n - {id: t, display_name: T, category: c, definition: d, synonyms: [a, b]}\n"
     pytest.importorskip("yaml")
     assert files.glossary(spark, text).first().synonyms == "a, b"
+
+
+def test_series_of_a_run_that_has_not_caught_up(spark):
+    """Three days loaded; a second run on a new checkpoint fails at its second file: the series stays, then is the second run's."""
+    src, out = scratch_path(spark, "days"), scratch_path(spark, "series")
+    for day in (1, 2, 3):
+        spark.sql(f"select timestamp'2024-01-0{day} 12:00:00' as ts, 'a' as kind, {day} as amount").coalesce(1).write.mode("append").parquet(src)
+    rows = lambda: jobs.file_stream(spark, src, spark.read.parquet(src).schema, per_batch=1)
+    run = lambda stream, cp: jobs.daily_series(stream, out, cp, "ts", "kind", "amount")
+    total = lambda: sorted(float(r.total) for r in jobs.read_daily_series(spark, out, "kind").collect())
+    with pytest.raises(ValueError, match="no series"):
+        total()
+    first = scratch_path(spark, "cp")
+    jobs.publish_daily_series(run(rows(), first), spark, out)
+    assert total() == [1.0, 2.0, 3.0]
+    second, broken = scratch_path(spark, "cp"), F.when(F.col("amount") == 2, F.raise_error(F.lit("stop"))).otherwise(F.col("amount"))
+    with pytest.raises(Exception, match="stop"):
+        jobs.publish_daily_series(run(rows().withColumn("amount", broken.cast("int")), second), spark, out)
+    assert total() == [1.0, 2.0, 3.0]
+    jobs.publish_daily_series(run(rows(), second), spark, out)
+    assert total() == [1.0, 2.0, 3.0]
+    # the published run goes on: each of its batches is seen at once
+    spark.sql("select timestamp'2024-01-03 18:00:00' as ts, 'a' as kind, 10 as amount").write.mode("append").parquet(src)
+    run(rows(), second).awaitTermination()
+    assert total() == [1.0, 2.0, 13.0]
