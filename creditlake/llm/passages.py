@@ -36,6 +36,9 @@ K, WINDOW, MIN_WORDS, SIMILARITY = 5, 8, 50, 0.8
 SALTS = 8  # tasks that the occurrences of one seed are dealt to
 SKIP = 0.1  # price of a word skipped in either text
 EDGE = 8  # how far an extension may fall below its best
+NEAR = 96
+TRIMMED = 0.7  # share of min_words that a passage whose ends were trimmed has left
+STEP = 128  # words that an extension looks at at a time
 FARTHER = 24  # words beyond that at either end, where a passage would else be too short
 BLOCK = 1 << 14  # words of a gap in one text that are compared at a time
 
@@ -145,7 +148,7 @@ def extend(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
     n = min(len(x), len(y))
     total, at, gained, best, equal_best = 0, 0, 0, 0, 0
     while at < n:
-        same = x[at:min(at + 256, n)] == y[at:min(at + 256, n)]
+        same = x[at:min(at + STEP, n)] == y[at:min(at + STEP, n)]
         run = total + np.cumsum(np.where(same, 1, -2))
         top = np.maximum.accumulate(np.maximum(run, gained))
         drop = np.flatnonzero(top - run > EDGE)
@@ -156,11 +159,29 @@ def extend(x: np.ndarray, y: np.ndarray) -> tuple[int, int]:
         if len(drop):
             break
         total = int(run[-1])
-        at += 256
+        at += STEP
     equal_best = int((x[:best] == y[:best]).sum())
     return best, equal_best
 
 
+def extend_near(x: list[int], y: list[int], b: int, a: int, step: int) -> tuple[int, int] | None:
+    """The same from these places on (``step`` -1: before them), if it ends within NEAR words: most do, and need no arrays."""
+    n = min(len(x) - b, len(y) - a) if step > 0 else min(a, b)
+    if step < 0:
+        b, a = b - 1, a - 1
+    total = gained = best = equal = equal_best = 0
+    for i in range(min(n, NEAR)):
+        if x[b + step * i] == y[a + step * i]:
+            total, equal = total + 1, equal + 1
+            if total > gained:
+                gained, best, equal_best = total, i + 1, equal
+        else:
+            total -= 2
+            if gained - total > EDGE:
+                return best, equal_best
+    return (best, equal_best) if n <= NEAR else None
+
+
 def common_words(x: np.ndarray, y: np.ndarray) -> int:
     """Length of the longest common subsequence: a row of the dynamic programme is the bits of one number. A block of ``y``
     hands the carry of each row to the next block."""
@@ -182,35 +203,59 @@ def common_words(x: np.ndarray, y: np.ndarray) -> int:
     return total
 
 
-def farther(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places further on, at an equal word, to which at least half of the words are equal; and how many are."""
-    n = min(len(x), len(y), FARTHER)
-    same = x[:n] == y[:n]
-    count = np.cumsum(same)
-    at = np.flatnonzero(same & (2 * count >= np.arange(1, n + 1)))
-    return np.append(0, at + 1), np.append(0, count[at])
+def farther(x: list[int], y: list[int], b: int, a: int, step: int) -> list[tuple[int, int]]:
+    """How many words further on (or back) an equal word stands with at least half of the words up to it equal, and how many are."""
+    n = min(len(x) - b, len(y) - a) if step > 0 else min(a, b)
+    if step < 0:
+        b, a = b - 1, a - 1
+    out, equal = [(0, 0)], 0
+    for i in range(min(n, FARTHER)):
+        if x[b + step * i] == y[a + step * i]:
+            equal += 1
+            if 2 * equal > i:
+                out.append((i + 1, equal))
+    return out
 
 
-def lengthened(b0: int, bp: int, a0: int, ap: int, equal: int, x: np.ndarray, y: np.ndarray, similarity: float) -> tuple[int, int, int, int, int]:
+def lengthened(b0: int, bp: int, a0: int, ap: int, equal: int, x: list[int], y: list[int], similarity: float) -> tuple[int, int, int, int, int]:
     """The longest extension at both ends that keeps ``similarity``: for a passage whose ends the score has trimmed."""
-    right, more = farther(x[bp:], y[ap:])
-    left, less = farther(x[:b0][::-1], y[:a0][::-1])
-    longer = left[:, None] + right
-    good = equal + less[:, None] + more >= similarity * (max(bp - b0, ap - a0) + longer)
-    if not good.any():
-        return b0, bp, a0, ap, equal
-    i, j = np.unravel_index(int(np.where(good, longer, -1).argmax()), good.shape)
-    return b0 - int(left[i]), bp + int(right[j]), a0 - int(left[i]), ap + int(right[j]), equal + int(less[i] + more[j])
+    size, best = max(bp - b0, ap - a0), (0, 0, 0, equal)
+    right = farther(x, y, bp, ap, 1)
+    for left, less in farther(x, y, b0, a0, -1):
+        for on, more in right:
+            if left + on > best[0] and equal + less + more >= similarity * (size + left + on):
+                best = (left + on, left, on, equal + less + more)
+    _, left, on, equal = best
+    return b0 - left, bp + on, a0 - left, ap + on, equal
+
+
+def beside(x: np.ndarray, y: np.ndarray, b: int, a: int, n: int) -> int:
+    """Equal words among the ``n`` from these places on (before them, where n is negative), side by side."""
+    if n < 0:
+        n = min(-n, a, b)
+        b, a = b - n, a - n
+    n = min(n, len(x) - b, len(y) - a)
+    return int(np.count_nonzero(x[b:b + n] == y[a:a + n])) if n > 0 else 0
 
 
 def passages(b: np.ndarray, a: np.ndarray, x: np.ndarray, y: np.ndarray, k: int, reach: int, min_words: int, similarity: float) -> list[tuple[int, int, int, int, float]]:
     """(start, end, source start, source end, similarity) in words, from matches (b, a) and word hashes of both texts."""
-    parts = fragments(b, a, k, reach)
+    parts, xs, ys = fragments(b, a, k, reach), x.tolist(), y.tolist()
+    # a passage has 0.8 * min_words equal words in and beside its chain, or goes on beyond min_words words of one side, of which
+    # more than 0.6 are equal: matches that outweigh differences but for EDGE
+    least = min(similarity * min_words, (2 * min_words - EDGE) / 3)
     out: list[tuple[int, int, int, int, float]] = []
     todo = chains(parts)
     while todo:
         chain = todo.pop()
         b0, a0 = parts[chain[0]][:2]
+        fb, fa, length, _ = parts[chain[-1]]
+        gaps = [max(parts[j][0] - parts[i][0] - parts[i][2], parts[j][1] - parts[i][1] - parts[i][2]) for i, j in zip(chain, chain[1:], strict=False)]
+        if min(fb + length - b0, fa + length - a0) + beside(x, y, b0, a0, -min_words) + beside(x, y, fb + length, fa + length, min_words) < least:
+            if gaps:
+                cut = gaps.index(max(gaps)) + 1
+                todo += [chain[:cut], chain[cut:]]
+            continue
         equal, bp, ap = 0, b0, a0
         for i in chain:
             fb, fa, length, _ = parts[i]
@@ -220,16 +265,15 @@ def passages(b: np.ndarray, a: np.ndarray, x: np.ndarray, y: np.ndarray, k: int,
                 equal += common_words(x[bp:fb], y[ap:fa])
             equal += int((x[fb:fb + length] == y[fa:fa + length]).sum())
             bp, ap = fb + length, fa + length
-        more, same = extend(x[bp:], y[ap:])
+        more, same = extend_near(xs, ys, bp, ap, 1) or extend(x[bp:], y[ap:])
         bp, ap, equal = bp + more, ap + more, equal + same
-        more, same = extend(x[:b0][::-1], y[:a0][::-1])
+        more, same = extend_near(xs, ys, b0, a0, -1) or extend(x[:b0][::-1], y[:a0][::-1])
         b0, a0, equal = b0 - more, a0 - more, equal + same
-        if min_words - 2 * FARTHER <= bp - b0 < min_words:
-            b0, bp, a0, ap, equal = lengthened(b0, bp, a0, ap, equal, x, y, similarity)
+        if TRIMMED * min_words <= bp - b0 < min_words:
+            b0, bp, a0, ap, equal = lengthened(b0, bp, a0, ap, equal, xs, ys, similarity)
         if bp - b0 >= min_words and equal >= similarity * max(bp - b0, ap - a0):
             out.append((b0, bp, a0, ap, equal / max(bp - b0, ap - a0)))
-        elif len(chain) > 1:  # two passages may have been joined: try both sides of the widest gap
-            gaps = [max(parts[j][0] - parts[i][0] - parts[i][2], parts[j][1] - parts[i][1] - parts[i][2]) for i, j in zip(chain, chain[1:], strict=False)]
+        elif gaps:  # two passages may have been joined: try both sides of the widest gap
             cut = gaps.index(max(gaps)) + 1
             todo += [chain[:cut], chain[cut:]]
     kept: list[tuple[int, int, int, int, float]] = []
