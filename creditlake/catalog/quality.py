@@ -9,10 +9,12 @@ from pyspark.sql import functions as F
 from ..functions.scalars import amount_text
 from ..operators import quality as dq
 from ..operators.lineage import lineage_report
+from ..operators.profiles import column_sketches, merged_profile
 from ..operators.quality import InfoType, RowRule, Rule
 from ..operators.sets import union_all
 from ..plans import registry, silver
 from ..plans import profile as profile_plans
+from ..session import scratch_path
 from ..sources.tables import declare, literal_rows
 from .base import part, query, stored
 from .products import gold_profile
@@ -377,3 +379,38 @@ FROM shared JOIN sizes l ON l.t = lt AND l.c = lc JOIN sizes r ON r.t = rt AND r
 def dq_15c(t):
     """Every column of all tables against every other, names unseen."""
     return dq.inclusion_dependencies({n: t.raw(n) for n in ALL_TABLES})
+
+
+# All scalar columns of the raw tables: (table, column, is a number).
+_SCALARS = [(t, c, k == "number") for k, names in KEY_COLUMNS.items() for t, cs in names.items() for c in cs.split()] + [
+    (t, c, True) for t, cs in {"customer": "c_acctbal", "supplier": "s_acctbal", "part": "p_retailprice", "orders": "o_totalprice",
+                               "lineitem": "l_quantity l_extendedprice l_discount l_tax", "events": "value"}.items() for c in cs.split()]
+
+
+@query("dq_08b_profiles_of_parts", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) AS row_count, count({c}) AS filled, "
+    f"round((count(*) - count({c}))::decimal(20,0) * 100 / count(*), 2)::double AS null_pct, "
+    + (f"min({c})::double AS min_number, max({c})::double AS max_number" if number else "NULL::double AS min_number, NULL::double AS max_number") + f" FROM {t}"
+    for t, c, number in _SCALARS))
+def dq_08b(t):
+    """Every scalar column of all tables: sketches by part, stored, then united. Estimates are held to their bounds in the tests."""
+    out = []
+    for name in ALL_TABLES:
+        df = t.raw(name)
+        part = F.pmod(F.xxhash64(F.col(df.columns[0])), F.lit(4))
+        path = scratch_path(t.spark, "sketches")
+        column_sketches(df, part).write.parquet(path)
+        out.append(merged_profile(t.spark.read.parquet(path)).select(F.lit(name).alias("table_name"), "column_name", "row_count", "filled", "null_pct", "min_number", "max_number"))
+    return union_all(out)
+
+
+@query("dq_16b_differing_rows", """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 1000 = 7 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice, 'right' AS side, 1::bigint AS copies
+FROM orders WHERE o_orderkey % 1000 IN (7, 9)
+UNION ALL SELECT o_orderkey, o_custkey, o_totalprice, 'left', 1 FROM orders WHERE o_orderkey % 1000 IN (7, 8)""")
+def dq_16b(t):
+    """Orders against a copy with changed, lost and repeated rows."""
+    left = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    part = F.col("o_orderkey") % 1000
+    right = left.where(part != 8).withColumn("o_totalprice", F.col("o_totalprice") + F.when(part == 7, 1).otherwise(0)).unionByName(left.where(part == 9))
+    return dq.differing_rows(left, right, ["o_orderkey"])

@@ -10,6 +10,8 @@ from ..operators import security as sec
 from ..operators.topk import top_k
 from ..operators.windows import with_totals
 from ..plans import marts
+from ..session import scratch_path
+from ..sources.tables import write_clustered
 from .base import query
 from .products import build_partner, gold_profile
 
@@ -150,3 +152,13 @@ def sec_11b(t):
     kept, _ = sec.erase({"cards": t.f("card")}, {"cards": "cif_id"},
                         t.f("customer").where(F.col("net_income") <= -500), "cif_id")
     return kept["cards"].select("account_no")
+
+
+@query("sec_11c_erased_by_file", "SELECT account_no, cif_id FROM f_card WHERE cif_id NOT IN (SELECT cif_id FROM f_customer WHERE net_income <= -900)")
+def sec_11c(t):
+    """Only files that hold a subject are written anew; what is published is the table without the subjects."""
+    root = scratch_path(t.spark, "erasable")
+    write_clustered(t.f("card"), f"{root}/first", ["cif_id"], partitions=16)
+    sec.publish_files(t.spark, root, "first")
+    sec.erase_from_files(t.spark, root, t.f("customer").where(F.col("net_income") <= -900), "cif_id", "cif_id")
+    return sec.read_files(t.spark, root).select("account_no", "cif_id")

@@ -100,6 +100,14 @@ def src_08(t):
     return t.spark.read.parquet(path).where(F.col("tier") == "Gold").select("account_no", "tier", "cif_id")
 
 
+@query("src_08b_interleaved_table", "SELECT account_no, tier, cif_id, card_status FROM f_card WHERE cif_id BETWEEN 100 AND 140")
+def src_08b(t):
+    """Clustered on three columns at once: a filter on the last alone prunes files."""
+    path = scratch_path(t.spark, "interleaved")
+    tables.write_interleaved(t.f("card"), path, ["account_no", "tier", "cif_id"])
+    return t.spark.read.parquet(path).where(F.col("cif_id").between(100, 140)).select("account_no", "tier", "cif_id", "card_status")
+
+
 @query("src_09_append_log", "SELECT ts::date AS log_date, event_type, count(*) AS n FROM events GROUP BY 1, 2")
 def src_09(t):
     path = scratch_path(t.spark, "log")

@@ -402,3 +402,28 @@ def same_answer(left: DataFrame, right: DataFrame) -> DataFrame:
     return both.agg(F.max(F.when(F.col("s") == "l", F.col("n"))).alias("only_left"),
                     F.max(F.when(F.col("s") == "r", F.col("n"))).alias("only_right"),
                     (F.max("n") == 0).alias("equal"))
+
+
+def differing_rows(left: DataFrame, right: DataFrame, key: Sequence[str], buckets: int = 4096) -> DataFrame:
+    """The rows that only one side has, with ``side`` (left or right) and how often there (``copies``), both sides as bags.
+
+    Each side is first summed up to one row per hash bucket of the key: the number of rows and a sum of their hashes, which does not
+    depend on order. That is all that is shuffled where both are equal. Only rows of buckets that differ are compared
+    row by row. Different rows whose sums of 128 bits agree in a bucket would go unseen.
+    """
+    columns = left.columns
+    right = right.select(*columns)
+    every = F.struct(*[F.col(f"`{c}`") for c in columns])
+    bucket = F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in key]), F.lit(buckets)).alias("__b")
+    big = lambda h: F.sum(h.cast("decimal(20,0)"))
+
+    def prints(df: DataFrame, sign: int) -> DataFrame:
+        return df.groupBy(bucket).agg((F.count(F.lit(1)) * sign).alias("n"), (big(F.xxhash64(every)) * sign).alias("h"),
+                                      (big(F.xxhash64(F.lit(1), every)) * sign).alias("g"))
+
+    totals = prints(left, 1).unionByName(prints(right, -1)).groupBy("__b").agg(*[F.sum(c).alias(c) for c in ("n", "h", "g")])
+    unequal = [r[0] for r in totals.where("n <> 0 or h <> 0 or g <> 0").select("__b").collect()]  # at most ``buckets`` numbers
+    mine = lambda df: df.where(bucket.isin(unequal) if unequal else F.lit(False))
+    signed = mine(left).select("*", F.lit(1).alias("__s")).unionByName(mine(right).select("*", F.lit(-1).alias("__s")))
+    return signed.groupBy(*[f"`{c}`" for c in columns]).agg(F.sum("__s").alias("copies")).where("copies <> 0") \
+        .select(*[f"`{c}`" for c in columns], F.when(F.col("copies") > 0, "left").otherwise("right").alias("side"), F.abs("copies").alias("copies"))

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources import versions
 from .sets import union_all
 
 TAG = "tag"
@@ -178,3 +179,43 @@ def erase(tables: Mapping[str, DataFrame], keys: Mapping[str, str], subjects: Da
         audit.append(marked.agg(F.count_if("gone").alias("removed_rows"), F.count_if(~F.col("gone")).alias("kept_rows"))
                      .select(F.lit(name).alias("table_name"), "removed_rows", "kept_rows"))
     return kept, union_all(audit)
+
+
+def erase_from_files(spark: SparkSession, path: str, subjects: DataFrame, subject_key: str, key: str) -> DataFrame:
+    """Remove the subjects' rows from the published table at ``path`` by writing only those of its files anew that hold one.
+
+    Returns the audit: per file that held a subject, how many rows were removed and kept. The manifest lists files; one publication
+    replaces all that were rewritten, so readers see the table with all subjects or with none of them. Files without a subject keep
+    their place. A subject that is nowhere changes nothing.
+    """
+    files = versions.current(spark, path)
+    ids = subjects.select(F.col(subject_key).cast("string").alias("__s")).where("__s is not null").distinct()
+    audit = spark.createDataFrame([], "file string, removed_rows long, kept_rows long")
+    if not files:
+        return audit
+    table = spark.read.parquet(*[f"{path}/{f}" for f in sorted(files.values())])
+    name = F.regexp_extract(F.col("_metadata.file_path"), "([^/]+)$", 1)
+    here = table.select("*", name.alias("__file"))
+    found = here.select("__file", F.col(key).cast("string").alias("__s")).join(ids, "__s", "left_semi").groupBy("__file").agg(F.count(F.lit(1)).alias("removed_rows"))
+    held = {r["__file"]: r["removed_rows"] for r in found.collect()}  # at most one row a file
+    if not held:
+        return audit
+    touched = {n: f for n, f in files.items() if f.rpartition("/")[2] in held}
+    rows = spark.read.parquet(*[f"{path}/{f}" for f in sorted(touched.values())]).select("*", name.alias("__file"))
+    kept = rows.join(ids, F.col(key).cast("string") == F.col("__s"), "left_anti")
+    folder = versions.new_folder()
+    kept.drop("__file").write.parquet(f"{path}/{folder}")
+    left = {r["__file"]: r["n"] for r in kept.groupBy("__file").agg(F.count(F.lit(1)).alias("n")).collect()}
+    new = {f"{folder}/{n}": f"{folder}/{n}" for n in versions.files(spark, f"{path}/{folder}")}
+    versions.publish(spark, path, {n: f for n, f in files.items() if n not in touched} | new)
+    return spark.createDataFrame([(n, held[n], left.get(n, 0)) for n in sorted(held)], audit.schema)
+
+
+def publish_files(spark: SparkSession, path: str, folder: str) -> None:
+    """Make the data files of a folder below ``path`` the table, each a part of its own."""
+    versions.publish(spark, path, {f"{folder}/{n}": f"{folder}/{n}" for n in versions.files(spark, f"{path}/{folder}")})
+
+
+def read_files(spark: SparkSession, path: str) -> DataFrame:
+    """The published files."""
+    return spark.read.parquet(*[f"{path}/{f}" for f in sorted(versions.current(spark, path).values())])
