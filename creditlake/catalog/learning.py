@@ -136,18 +136,9 @@ def ml_07(t):
 SELECT sales_type, ds + 7 AS ds, y AS value FROM (
   SELECT *, row_number() OVER (PARTITION BY sales_type ORDER BY ds DESC) AS rn FROM daily_rows WHERE ds IS NOT NULL) WHERE rn <= 7""")
 def ml_07b(t):
-    """The pandas hook with a last-week repeat per series."""
-    daily = fc.daily_series(t.f("card_sales"), ymd_date("tx_dt"), ["sales_type"], "amount").withColumn(
-        "value", F.col("value").cast("double"))
-
-    def repeat_week(pdf):
-        import pandas as pd
-        last = pdf.sort_values("ds").tail(7)
-        return pd.DataFrame({"sales_type": last["sales_type"].values, "value": last["value"].values,
-                             "ds": [d + pd.Timedelta(days=7) for d in pd.to_datetime(last["ds"])]}).assign(
-            ds=lambda d: d["ds"].dt.date)[["sales_type", "ds", "value"]]
-
-    return fc.forecast_with(daily, ["sales_type"], repeat_week, "sales_type string, ds date, value double")
+    """The last week of each series, repeated."""
+    daily = fc.daily_series(t.f("card_sales"), ymd_date("tx_dt"), ["sales_type"], "amount").withColumn("value", F.col("value").cast("double"))
+    return fc.repeat_last(daily, ["sales_type"])
 
 
 @query("ml_08_saved_model")

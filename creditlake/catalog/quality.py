@@ -52,6 +52,7 @@ def now():
 
 
 def row_rules():
+    # The names of rules and of the actions they ask for, which reports are read by.
     return [
         RowRule("DQ_RULE_01_CREDIT_LIMIT_BREACH", "card", F.col("account_no"), F.col("cif_id"),
                 F.col("cp_usage") > F.col("cp_cl"),
@@ -137,13 +138,13 @@ def dq_05b(t):
                          dq.Control("rounded", "fee", fees, fees.select(F.round(F.col("amount").cast("decimal(28,9)"), 2).alias("amount")))])
 
 
-INPUTS = ("customer", "card", "loan_app", "card_app", "loan_coll", "card_coll", "card_sales")
+INPUTS = ("customer", "card", "loan_app", "card_app", "loan_coll", "card_coll", "card_sales", "loan_sales")
 
 
 @query("dq_06_readiness", " UNION ALL ".join(f"SELECT 'bronze_{n}' AS table_name, true AS present, count(*) AS row_count FROM f_{n}" for n in INPUTS) + """
 UNION ALL SELECT 'bronze_absent', count(*) < 0, CASE WHEN count(*) < 0 THEN 1 END FROM f_card""")
 def dq_06(t):
-    """Which bronze relations are registered, with their rows."""
+    """Which of the eight bronze relations are registered, with their rows."""
     names = list(INPUTS)
     for n in names:
         t.f(n).createOrReplaceTempView(f"bronze_{n}")

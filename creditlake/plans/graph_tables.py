@@ -69,15 +69,19 @@ def facility_nodes(loan: DataFrame, card: DataFrame) -> DataFrame:
     return latest_per(rows, ["facility_id"], "exposure_amount", ("cif_id", "credit_score", "new_dsr"))
 
 
-def _spent(sales: DataFrame) -> DataFrame:
-    return sales.where(F.col("merchant_id").isNotNull() & (F.col("merchant_id") != ""))
+def customer_merchant_spend(sales: DataFrame) -> DataFrame:
+    """Sales summed to customer and merchant, which merchant nodes and spending edges are both made of. Sums keep all decimals."""
+    rows = sales.where(F.col("merchant_id").isNotNull() & (F.col("merchant_id") != ""))
+    return rows.groupBy("cif_id", "merchant_id").agg(
+        F.max("product_line").alias("product_line"), F.max("sales_type").alias("sales_type"), F.max("merchant_group").alias("merchant_group"),
+        F.sum(money("amount")).alias("spend"), count_or_one("trans_count").alias("tx_count"))
 
 
-def merchant_nodes(sales: DataFrame) -> DataFrame:
-    return _spent(sales).groupBy("merchant_id").agg(
+def merchant_nodes(spend: DataFrame) -> DataFrame:
+    return spend.groupBy("merchant_id").agg(
         F.coalesce(F.max("merchant_group"), F.lit("General Retail")).alias("merchant_group"),
-        sum_money("amount").alias("total_sales_volume"), count_or_one("trans_count").alias("total_tx_count"),
-        F.count_distinct("cif_id").alias("distinct_customers")).withColumn("merchant_name", F.col("merchant_id"))
+        F.round(F.sum("spend"), 2).alias("total_sales_volume"), F.sum("tx_count").alias("total_tx_count"),
+        F.count("cif_id").alias("distinct_customers")).withColumn("merchant_name", F.col("merchant_id"))
 
 
 def _segment() -> list[Column]:
@@ -98,10 +102,9 @@ def holds_edges(facilities: DataFrame, customers: DataFrame) -> DataFrame:
         "exposure_amount", "new_dsr", "application_status")
 
 
-def transacted_edges(sales: DataFrame, customers: DataFrame, merchants: DataFrame) -> DataFrame:
-    rows = _spent(sales).where(F.col("cif_id").isNotNull()).groupBy("cif_id", "merchant_id").agg(
-        F.max("product_line").alias("product_line"), F.max("sales_type").alias("sales_type"),
-        sum_money("amount").alias("total_spend"), count_or_one("trans_count").alias("tx_count"))
+def transacted_edges(spend: DataFrame, customers: DataFrame, merchants: DataFrame) -> DataFrame:
+    rows = spend.where(F.col("cif_id").isNotNull()).select(
+        "cif_id", "merchant_id", "product_line", "sales_type", F.round("spend", 2).alias("total_spend"), "tx_count")
     known = keep_known(keep_known(rows, customers, "cif_id", "cif_id"), merchants, "merchant_id", "merchant_id")
     return known.select(F.concat("cif_id", F.lit("->"), "merchant_id").alias("edge_id"), *rows.columns)
 
@@ -118,15 +121,16 @@ def works_edges(customers: DataFrame, nodes: DataFrame, segments: DataFrame) ->
 def credit_graph(customers: DataFrame, cards: DataFrame, loan: DataFrame, card: DataFrame, sales: DataFrame,
                  collections: DataFrame,
                  store: Callable[[str, Callable[[], DataFrame]], DataFrame] = lambda label, build: build()) -> PropertyGraph:
-    """All seven tables. ``store`` may write each table as it is built and return the copy, so that edges are
-    checked against stored nodes and nothing is computed twice."""
+    """All seven tables. ``store`` may write each table as it is built (and the spend that two of them are made of) and return the
+    copy, so that edges are checked against stored nodes and nothing is computed twice."""
+    spend = store("customer_merchant_spend", lambda: customer_merchant_spend(sales))
     nodes = {"Customer": store("Customer", lambda: customer_nodes(customers, cards, collections)),
              "CreditFacility": store("CreditFacility", lambda: facility_nodes(loan, card)),
-             "Merchant": store("Merchant", lambda: merchant_nodes(sales)),
+             "Merchant": store("Merchant", lambda: merchant_nodes(spend)),
              "EmployerSegment": store("EmployerSegment", lambda: segment_nodes(customers))}
     cust = nodes["Customer"]
     edges = {"HOLDS_FACILITY": store("HOLDS_FACILITY", lambda: holds_edges(nodes["CreditFacility"], cust)),
-             "TRANSACTED_AT": store("TRANSACTED_AT", lambda: transacted_edges(sales, cust, nodes["Merchant"])),
+             "TRANSACTED_AT": store("TRANSACTED_AT", lambda: transacted_edges(spend, cust, nodes["Merchant"])),
              "WORKS_IN_SEGMENT": store("WORKS_IN_SEGMENT",
                                        lambda: works_edges(customers, cust, nodes["EmployerSegment"]))}
     return PropertyGraph([Node(label, nodes[label], k) for label, k in NODE_KEYS.items()],

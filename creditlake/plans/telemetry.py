@@ -33,6 +33,7 @@ def job_costs(jobs: DataFrame, now: Column, days: int = 7) -> DataFrame:
     """Megabytes, slot seconds, latency and cost class of the jobs of the last days."""
     billed = F.coalesce("total_bytes_billed", F.lit(0))
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    # The names of the cost classes.
     label = ladder([((F.col("job_type") == "LOAD") & (billed == 0), "FREE_BATCH_POOL"),
                     (F.col("total_slot_ms") > HEAVY_SLOT_MS, "HEAVY_OR_ZOMBIE_CANDIDATE")], "OPTIMIZED")
     return jobs.where(F.col("creation_time") >= now - F.expr(f"interval {int(days)} days")).select(
