@@ -13,7 +13,7 @@
    short is cut at its widest gap, and each part tried.
 4. The seeds of one passage may have their smallest doc_ids in different documents, none of which has the whole passage.
    Stretches of repeated seeds that no passage of step 3 covers are therefore joined a second time, by pairs of seeds: every two
-   seeds at most ``min_words`` apart that point to different sources (or far apart in one), whatever stands between them. Such a
+   seeds at most ``PAIRED`` of ``min_words`` apart that point to different sources (or far apart in one), whatever stands between them. Such a
    pair again has its own smallest doc_id, a document that has both parts together, and is a match of both its seeds.
 
 Defined results: null and empty texts, and texts of fewer than k words, have no passages. Rows without doc_id take no part.
@@ -34,6 +34,7 @@ from .common import BASE, LOWER, Words, map_arrow, mix, stored, table, utf8
 
 K, WINDOW, MIN_WORDS, SIMILARITY = 5, 8, 50, 0.8
 SALTS = 8  # tasks that the occurrences of one seed are dealt to
+PAIRED = 0.8
 SKIP = 0.1  # price of a word skipped in either text
 EDGE = 8  # how far an extension may fall below its best
 NEAR = 96
@@ -293,7 +294,7 @@ def repeated_passages(docs: DataFrame, k: int = K, window: int = WINDOW, min_wor
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), (F.xxhash64(text).bitwiseAND(0x7FFFFFFF)).cast("int").alias("mark"), text.alias("text")) \
         .filter("doc is not null and text is not null")
-    seeds = seed_rows(rows, k, window)
+    seeds = stored(seed_rows(rows, k, window), "seeds")
     linked = stored(seeds.join(first_places(seeds, "h"), "h").drop("h"), "linked")
     span = F.max("b") - F.min("b") + k >= (min_words - 2 * (window + k)) // 2 + k
     pairs = stored(by_pair(linked, span.alias("wide"), F.count("*").alias("n")).filter("wide and n > 1").drop("wide", "n"), "pairs")
@@ -312,7 +313,7 @@ def repeated_passages(docs: DataFrame, k: int = K, window: int = WINDOW, min_wor
     salted = asked.select("source", "source_place").distinct().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     places = linked.withColumn("salt", F.pmod(F.xxhash64("doc", "place"), F.lit(SALTS)).cast("int")).join(salted, ["source", "source_place", "salt"], "left_semi") \
         .groupBy("doc", mark("place").alias("mark")).agg(F.collect_list(F.struct(word("place").alias("b"), "source", "source_place")).alias("m"))
-    couples = stored(map_arrow(places.select("doc", "mark", "m.b", "m.source", "m.source_place"), lambda batch: seed_pairs(batch, reach, min_words),
+    couples = stored(map_arrow(places.select("doc", "mark", "m.b", "m.source", "m.source_place"), lambda batch: seed_pairs(batch, reach, int(PAIRED * min_words)),
                                "h long, doc long, place long, gap int"), "couples")
     first = couples.groupBy("h").agg(F.min(F.struct("doc", "place", "gap")).alias("first"), F.max("doc").alias("last")).filter("first.doc < last")
     met = couples.join(stored(first.select("h", F.col("first.doc").alias("source"), F.col("first.place").alias("source_place"), F.col("first.gap").alias("source_gap")), "anchors"), "h") \
@@ -398,8 +399,8 @@ def open_seeds(batch: pa.RecordBatch, k: int, reach: int, min_words: int, window
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["doc", "mark", "source", "source_place"])
 
 
-def seed_pairs(batch: pa.RecordBatch, reach: int, min_words: int) -> pa.RecordBatch | None:
-    """h, doc, place and gap of every two seeds of a row, at most ``min_words`` apart, that point to different sources or, by more
+def seed_pairs(batch: pa.RecordBatch, reach: int, most: int) -> pa.RecordBatch | None:
+    """h, doc, place and gap of every two seeds of a row, at most ``most`` words apart, that point to different sources or, by more
     than ``reach``, to different places of one."""
     (b, offsets), (source, _), (place, _) = ((np.asarray(c.values).astype(np.int64), np.asarray(c.offsets)) for c in (batch.column(i) for i in (2, 3, 4)))
     row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
@@ -410,7 +411,7 @@ def seed_pairs(batch: pa.RecordBatch, reach: int, min_words: int) -> pa.RecordBa
     one = mix(source.astype(np.uint64) * np.uint64(BASE) + place.astype(np.uint64))
     left, right, step = [], [], 1
     while step < len(b):
-        near = (row[step:] == row[:-step]) & (b[step:] - b[:-step] <= min_words)
+        near = (row[step:] == row[:-step]) & (b[step:] - b[:-step] <= most)
         if not near.any():
             break
         i = np.flatnonzero(near & ((source[step:] != source[:-step]) | (np.abs(apart[step:] - apart[:-step]) > reach)))
