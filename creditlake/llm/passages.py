@@ -24,6 +24,7 @@ text that repeats itself is not reported for that. Ties between sources go to th
 from __future__ import annotations
 
 from bisect import bisect_left
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +36,7 @@ from .common import BASE, LOWER, Words, map_arrow, mix, stored, table, utf8
 K, WINDOW, MIN_WORDS, SIMILARITY = 5, 8, 50, 0.8
 SALTS = 8  # tasks that the occurrences of one seed are dealt to
 PAIRED = 0.8
+SEEDS = 100_000
 SKIP = 0.1  # price of a word skipped in either text
 EDGE = 8  # how far an extension may fall below its best
 NEAR = 96
@@ -313,8 +315,8 @@ def repeated_passages(docs: DataFrame, k: int = K, window: int = WINDOW, min_wor
     salted = asked.select("source", "source_place").distinct().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     places = linked.withColumn("salt", F.pmod(F.xxhash64("doc", "place"), F.lit(SALTS)).cast("int")).join(salted, ["source", "source_place", "salt"], "left_semi") \
         .groupBy("doc", mark("place").alias("mark")).agg(F.collect_list(F.struct(word("place").alias("b"), "source", "source_place")).alias("m"))
-    couples = stored(map_arrow(places.select("doc", "mark", "m.b", "m.source", "m.source_place"), lambda batch: seed_pairs(batch, reach, int(PAIRED * min_words)),
-                               "h long, doc long, place long, gap int"), "couples")
+    couples = stored(places.select("doc", "mark", "m.b", "m.source", "m.source_place").mapInArrow(
+        lambda batches: all_seed_pairs(batches, reach, int(PAIRED * min_words)), "h long, doc long, place long, gap int"), "couples")
     first = couples.groupBy("h").agg(F.min(F.struct("doc", "place", "gap")).alias("first"), F.max("doc").alias("last")).filter("first.doc < last")
     met = couples.join(stored(first.select("h", F.col("first.doc").alias("source"), F.col("first.place").alias("source_place"), F.col("first.gap").alias("source_gap")), "anchors"), "h") \
         .filter("doc > source").withColumn("mark", mark("place")).join(asked.select("doc", "mark").distinct(), ["doc", "mark"], "left_semi")
@@ -399,6 +401,18 @@ def open_seeds(batch: pa.RecordBatch, k: int, reach: int, min_words: int, window
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], ["doc", "mark", "source", "source_place"])
 
 
+def all_seed_pairs(batches: Iterator[pa.RecordBatch], reach: int, most: int) -> Iterator[pa.RecordBatch]:
+    """``seed_pairs`` of rows with about SEEDS seeds at a time, so that memory does not depend on the size of a batch."""
+    for batch in batches:
+        offsets, lo = np.asarray(batch.column(2).offsets), 0
+        while lo < batch.num_rows:
+            hi = max(int(np.searchsorted(offsets, offsets[lo] + SEEDS, "right")) - 1, lo + 1)
+            out = seed_pairs(batch.slice(lo, hi - lo), reach, most)
+            if out is not None:
+                yield out
+            lo = hi
+
+
 def seed_pairs(batch: pa.RecordBatch, reach: int, most: int) -> pa.RecordBatch | None:
     """h, doc, place and gap of every two seeds of a row, at most ``most`` words apart, that point to different sources or, by more
     than ``reach``, to different places of one."""
