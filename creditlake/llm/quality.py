@@ -130,7 +130,9 @@ def log_count_ratio(rows: list[np.ndarray], y: np.ndarray) -> np.ndarray:
     total = []
     for label in (1, -1):
         mine = [f for f, k in zip(rows, y, strict=True) if k == label]
-        p = 1.0 + np.bincount(np.concatenate(mine), minlength=SIZE)
+        p = np.ones(SIZE)
+        for lo in range(0, len(mine), 256):  # a part at a time: the driver need not hold all of them once more
+            p += np.bincount(np.concatenate(mine[lo:lo + 256]), minlength=SIZE)
         total.append(p / p.sum())
     return np.log(total[0] / total[1])
 
