@@ -51,6 +51,14 @@ def test_distance_join_against_all_pairs(spark, metres):
     assert want and sorted((r.h, r.p) for r in got.collect()) == want
 
 
+def test_points_of_one_place_are_dealt_to_many_tasks(spark):
+    h = spark.range(1500).selectExpr("id as h", "103.8d as hx", "1.5d + id * 1e-7 as hy")
+    p = spark.range(4000).selectExpr("id as p", "103.8d as px", "1.5d + id * 1e-7 as py")
+    got = geo.dwithin_join(h, p, 1000.0, ("hx", "hy"), ("px", "py"))
+    per = [r.n for r in got.groupBy(F.spark_partition_id().alias("t")).agg(F.count("*").alias("n")).collect()]
+    assert sum(per) == 1500 * 4000 and len(per) > 1 and max(per) < 1500 * 4000
+
+
 def members(spark, seed=1):
     rnd = random.Random(seed)
     rows = {(f"g{rnd.randrange(4)}", f"c{rnd.randrange(40):02d}") for _ in range(90)} | {("solo", "c00")}
