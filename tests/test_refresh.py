@@ -91,3 +91,18 @@ def test_refusals(spark):
         plan.refresh(spark, root, {"person": spark.createDataFrame([(1, "a")], PERSON)}, SOURCES, PRODUCTS)
     with pytest.raises(ValueError, match="no rows"):
         plan.read(spark, root, "total")
+
+
+def test_a_load_reads_its_records_once(tables):
+    from creditlake.catalog.refreshing import deltas
+    for load in deltas(tables):
+        text = load["card_sales"]._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("Relation [l_orderkey") == 1 and text.count("Relation [o_orderkey") == 1
+
+
+def test_marks_tell_where_nulls_are(spark):
+    def marks(*rows):
+        return plan._marks(spark.createDataFrame([("k", *r) for r in rows], f"{plan.KEY} string, a int, b int")).collect()
+
+    assert marks((None, 5)) != marks((5, None)) and marks((1, 2), (3, 4)) == marks((3, 4), (1, 2))
+    assert marks((1, 2)) != marks((1, 2), (1, 2)) and len(marks((1, 2), (3, 4))) == 1
