@@ -180,10 +180,14 @@ def profile(df: DataFrame, exact: Sequence[str] = ()) -> DataFrame:
     """Null share, uniqueness, minimum, average, maximum and distinct count of every column, in one pass.
 
     Minimum and maximum are of the column's own type, as text; the average is a double. Distinct counts are sketches of
-    fixed size, but for the columns named in ``exact``, for each of which the rows are expanded once.
+    fixed size, but for the columns named in ``exact``, for each of which the rows are expanded once. Those rows are dealt out
+    first: a task that reads a large file would else keep all values of the file that differ.
     """
     fields = [f for f in df.schema.fields if isinstance(f.dataType, (
         T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType))]
+    if any(f.name in exact for f in fields):
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartition(tasks, *[F.col(f"`{f.name}`") for f in fields])
     aggs = [F.count(F.lit(1)).alias("__n")]
     for i, f in enumerate(fields):
         c = F.col(f"`{f.name}`")

@@ -78,3 +78,10 @@ def test_pii_scan_reports_only_hits(spark):
     df = spark.createDataFrame([("a@b.com", "x"), ("none", None)], "t string, u string")
     got = dq.pii_scan(df, [dq.InfoType("EMAIL", r"[a-z]+@[a-z]+\.com"), dq.InfoType("WORD", words=("zz",))]).collect()
     assert [(r.column_name, r.infotype, r.hits, float(r.hit_ratio), r.likelihood) for r in got] == [("t", "EMAIL", 1, 0.5, "LIKELY")]
+
+
+def test_exact_profile_deals_rows_out(spark):
+    df = spark.range(2000).coalesce(1).selectExpr("id as k", "id % 7 as seven", "cast(null as string) as none")
+    got = dq.profile(df, exact=df.columns)
+    assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString()
+    assert {r.column_name: r.distinct_count for r in got.collect()} == {"k": 2000, "seven": 7, "none": 0}
