@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -13,17 +13,26 @@ def join_any_of(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, st
     """Inner join on ``l1 = r1 or l2 = r2 or ..``, every matching pair once.
 
     A disjunction plans as a nested loop; here each pair is an equi-join of its own, and a later one
-    leaves out what an earlier one already matched. Column names of the two sides must differ.
+    leaves out what an earlier one already matched. Where all keys have one type, the pairs are one join on
+    (number of the pair, key), so that either side is computed once. Column names of the two sides must differ.
     """
     shared = set(left.columns) & set(right.columns)
     if shared:
         raise ValueError(f"rename columns on both sides: {sorted(shared)}")
+
+    def unmatched(i: int) -> list[Column]:
+        return [~F.coalesce(F.col(lc) == F.col(rc), F.lit(False)) for lc, rc in pairs[:i]]
+
+    if len({df.schema[c].dataType for p in pairs for df, c in zip((left, right), p, strict=True)}) == 1:
+        l = left.select("*", F.posexplode(F.array(*[lc for lc, _ in pairs])).alias("__pair_l", "__key_l")).where("__key_l is not null")
+        r = right.select("*", F.posexplode(F.array(*[rc for _, rc in pairs])).alias("__pair_r", "__key_r")).where("__key_r is not null")
+        cond = (F.col("__pair_l") == F.col("__pair_r")) & (F.col("__key_l") == F.col("__key_r"))
+        for i, first in enumerate(unmatched(len(pairs) - 1)):
+            cond = cond & ((F.col("__pair_l") <= i) | first)
+        return l.join(r, cond).drop("__pair_l", "__key_l", "__pair_r", "__key_r")
     legs = []
     for i, (lc, rc) in enumerate(pairs):
-        cond = F.col(lc) == F.col(rc)
-        for earlier_l, earlier_r in pairs[:i]:
-            cond = cond & ~F.coalesce(F.col(earlier_l) == F.col(earlier_r), F.lit(False))
-        legs.append(left.join(right, cond, "inner"))
+        legs.append(left.join(right, reduce(Column.__and__, unmatched(i), F.col(lc) == F.col(rc)), "inner"))
     return reduce(DataFrame.unionByName, legs)
 
 

@@ -214,10 +214,13 @@ def cross_source_sales(card_sales: DataFrame, customers: DataFrame, cards: DataF
 
     The joins multiply sales by cards and by customer records. All three sides are summed to their
     join keys first and weighted afterwards, so a customer with very many sales and cards never
-    becomes a product of rows.
+    becomes a product of rows. Date text that is no card's customer is forgotten before the sum, so that what is
+    shuffled after it is a customer's totals, not their days.
     """
-    sales = card_sales.groupBy(key("cif_no").alias("cif_no"), key("tx_dt").alias("tx_key"), "sales_type").agg(
-        F.sum("trans_count").alias("trans"), sum_money("amount").alias("amount"))
+    holders = cards.select(key("cif_id").alias("__holder")).distinct()
+    days = card_sales.select(key("cif_no").alias("cif_no"), key("tx_dt").alias("__tx"), "sales_type", "trans_count", "amount")
+    sales = days.join(holders.hint("shuffle_hash"), F.col("__tx") == F.col("__holder"), "left").groupBy(
+        "cif_no", F.col("__holder").alias("tx_key"), "sales_type").agg(F.sum("trans_count").alias("trans"), sum_money("amount").alias("amount"))
     card = cards.groupBy(key("cif_id").alias("card_cif"), "card_status").agg(F.count(F.lit(1)).alias("n_cards"))
     cust = customers.groupBy(key("cif_id").alias("cust_cif"), "state").agg(F.count(F.lit(1)).alias("n_cust"))
     pairs = join_any_of(sales, card, [("cif_no", "card_cif"), ("tx_key", "card_cif")])

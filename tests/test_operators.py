@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from creditlake.functions.geo import EARTH_RADIUS_M
 from creditlake.operators import geo, joins, lists, lookup, rings, sets, topk, windows
+from creditlake.plans import marts
 
 
 def test_join_any_of_matches_the_disjunction(spark):
@@ -23,6 +24,40 @@ def test_join_any_of_matches_the_disjunction(spark):
         joins.join_any_of(spark.range(1), spark.range(1), [("id", "id")])
 
 
+def test_join_any_of_computes_each_side_once(spark):
+    left, right = spark.range(50).selectExpr("id l", "id % 7 a", "id % 5 b"), spark.range(40).selectExpr("id r", "id % 9 c", "id % 4 d")
+    got = joins.join_any_of(left, right, [("a", "c"), ("b", "d")])
+    assert got.columns == ["l", "a", "b", "r", "c", "d"]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Range (") == 2
+    both = [(x, y) for x in range(50) for y in range(40) if x % 7 == y % 9 or x % 5 == y % 4]
+    assert sorted((r.l, r.r) for r in got.collect()) == both
+    mixed = joins.join_any_of(left.withColumn("a", F.col("a").cast("string")), right.withColumn("c", F.col("c").cast("string")), [("a", "c"), ("b", "d")])
+    assert sorted((r.l, r.r) for r in mixed.collect()) == both
+
+
+def test_cross_source_sales_matches_days_to_card_customers(spark, tables):
+    sales = [(1, 20240101, "x", 2, 1.5), (1, 20240102, "x", None, 2.5), (1, 1, "x", 1, 4.0), (2, None, "y", 3, 1.0), (2, 3, "y", 1, 8.0),
+             (4, 20240101, "y", 1, 16.0), (None, 1, "y", 1, 32.0), (4, 5, "x", 1, 64.0)]
+    cards = [(1, "A"), (1, "A"), (1, "B"), (3, "B"), (20240101, "A"), (None, "A")]
+    customers = [(1, "s"), (1, "s"), (1, "t"), (2, "s"), (4, "t")]
+    got = marts.cross_source_sales(spark.createDataFrame(sales, "cif_no long, tx_dt long, sales_type string, trans_count long, amount double"),
+                                   spark.createDataFrame(customers, "cif_id long, state string"),
+                                   spark.createDataFrame(cards, "cif_id long, card_status string"))
+    want = {}
+    for cif, tx, kind, n, amount in sales:
+        for card, status in cards:
+            for cust, state in customers:
+                if cif is not None and cif == cust and card is not None and card in (cif, tx):
+                    row = want.setdefault((state, kind, status), [set(), None, 0.0])
+                    row[0].add(cif)
+                    row[1] = row[1] if n is None else (row[1] or 0) + n
+                    row[2] += amount
+    assert {(r.state, r.sales_type, r.card_status): (r.active_customers, r.total_transactions, float(r.total_sales)) for r in got.collect()} == {
+        k: (len(ids), n, amount) for k, (ids, n, amount) in want.items()}
+    plan = marts.cross_source_sales(tables.f("card_sales"), tables.f("customer"), tables.f("card"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [l_orderkey") == 1
+
+
 def haversine(a, b):
     p1, p2 = math.radians(a[1]), math.radians(b[1])
     h = math.sin((p2 - p1) / 2) ** 2 + math.cos(p1) * math.cos(p2) * math.sin(math.radians(b[0] - a[0]) / 2) ** 2
