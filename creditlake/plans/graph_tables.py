@@ -78,10 +78,13 @@ def customer_merchant_spend(sales: DataFrame) -> DataFrame:
 
 
 def merchant_nodes(spend: DataFrame) -> DataFrame:
-    return spend.groupBy("merchant_id").agg(
+    """Summed by merchant and group first: a maximum over text sorts its input, which so is a few rows per merchant."""
+    groups = spend.groupBy("merchant_id", "merchant_group").agg(
+        F.sum("spend").alias("spend"), F.sum("tx_count").alias("tx_count"), F.count("cif_id").alias("customers"))
+    return groups.groupBy("merchant_id").agg(
         F.coalesce(F.max("merchant_group"), F.lit("General Retail")).alias("merchant_group"),
         F.round(F.sum("spend"), 2).alias("total_sales_volume"), F.sum("tx_count").alias("total_tx_count"),
-        F.count("cif_id").alias("distinct_customers")).withColumn("merchant_name", F.col("merchant_id"))
+        F.sum("customers").alias("distinct_customers")).withColumn("merchant_name", F.col("merchant_id"))
 
 
 def _segment() -> list[Column]:

@@ -99,3 +99,16 @@ def test_aggregates_without_paths(spark):
         g.match_aggregate({"p": "P", "s": "S", "a": "A"}, [Hop("p", "v", "VISITS", "s")], {"t": ("p", "town")}, {"n": ("count", "p")})
     with pytest.raises(ValueError, match="joins P to S"):
         g.match_aggregate({"p": "P", "s": "S"}, [Hop("s", "v", "VISITS", "p")], {"t": ("p", "town")}, {"n": ("count", "p")})
+
+
+def test_merchant_sums_do_not_sort_the_spend(spark):
+    from decimal import Decimal
+    from creditlake.plans.graph_tables import merchant_nodes
+    rows = [("1", "m", "b", "1.004", 2), ("2", "m", "a", "2.004", 1), (None, "m", None, "4.004", 3), ("1", "n", None, "8.0", 1)]
+    spend = spark.createDataFrame(rows, "cif_id string, merchant_id string, merchant_group string, spend string, tx_count long").withColumn(
+        "spend", F.col("spend").cast("decimal(38,9)"))
+    got = merchant_nodes(spend)
+    assert sorted((r.merchant_id, r.merchant_name, r.merchant_group, r.total_sales_volume, r.total_tx_count, r.distinct_customers) for r in got.collect()) == [
+        ("m", "m", "b", Decimal("7.01"), 6, 2), ("n", "n", "General Retail", Decimal("8.00"), 1, 1)]
+    plan = got._jdf.queryExecution().sparkPlan().toString()  # rows come from the last line up: spend is hashed, only its groups are sorted
+    assert plan.rindex("HashAggregate(") > plan.rindex("SortAggregate(")
