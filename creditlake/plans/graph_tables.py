@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.aggregates import count_or_one, sum_money
+from ..functions.aggregates import sum_money
 from ..functions.scalars import MONEY, key, money, text_or
 from ..operators.graph import Edge, Node, PropertyGraph
+from ..operators.grouping import sums_and_greatest
 from ..operators.joins import keep_known, star
 from ..operators.sets import tagged_union
 from ..operators.windows import latest_per
@@ -25,6 +26,9 @@ EDGE_ENDS = {
 }
 
 
+SALTS = 4  # tasks that the sales of one customer are dealt to
+
+
 def _zero(c: str) -> Column:
     return F.coalesce(F.col(c), F.lit(0)).cast(MONEY).alias(c)
 
@@ -70,11 +74,24 @@ def facility_nodes(loan: DataFrame, card: DataFrame) -> DataFrame:
 
 
 def customer_merchant_spend(sales: DataFrame) -> DataFrame:
-    """Sales summed to customer and merchant, which merchant nodes and spending edges are both made of. Sums keep all decimals."""
-    rows = sales.where(F.col("merchant_id").isNotNull() & (F.col("merchant_id") != ""))
-    return rows.groupBy("cif_id", "merchant_id").agg(
-        F.max("product_line").alias("product_line"), F.max("sales_type").alias("sales_type"), F.max("merchant_group").alias("merchant_group"),
-        F.sum(money("amount")).alias("spend"), count_or_one("trans_count").alias("tx_count"))
+    """Sales summed to customer and merchant, which merchant nodes and spending edges are both made of. Sums keep all decimals.
+    Rows are dealt out by customer and ``salt``, a hash of the merchant, so that ``with_known`` moves none of them again and the sales
+    of one customer (or of none) fill SALTS tasks."""
+    rows = sales.where(F.col("merchant_id").isNotNull() & (F.col("merchant_id") != "")).withColumn(
+        "salt", F.pmod(F.xxhash64("merchant_id"), F.lit(SALTS)).cast("int"))
+    return sums_and_greatest(rows, ["cif_id", "salt", "merchant_id"], ["product_line", "sales_type", "merchant_group"], {
+        "spend": money("amount"), "tx_count": F.coalesce(F.col("trans_count").cast("bigint"), F.lit(1))}, ["cif_id", "salt"])
+
+
+def customer_ids(customers: DataFrame) -> DataFrame:
+    """The keys of the customer nodes, without their properties; may repeat."""
+    return customers.where(F.col("cif_id").isNotNull()).select(key("cif_id").alias("cif_id"))
+
+
+def with_known(spend: DataFrame, ids: DataFrame) -> DataFrame:
+    """With a mark of the rows whose customer is among the nodes."""
+    each = ids.distinct().select("cif_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"), F.lit(True).alias("known"))
+    return spend.join(each, ["cif_id", "salt"], "left").withColumn("known", F.coalesce("known", F.lit(False)))
 
 
 def merchant_nodes(spend: DataFrame) -> DataFrame:
@@ -105,11 +122,11 @@ def holds_edges(facilities: DataFrame, customers: DataFrame) -> DataFrame:
         "exposure_amount", "new_dsr", "application_status")
 
 
-def transacted_edges(spend: DataFrame, customers: DataFrame, merchants: DataFrame) -> DataFrame:
-    rows = spend.where(F.col("cif_id").isNotNull()).select(
+def transacted_edges(spend: DataFrame) -> DataFrame:
+    """The marked sums of known customers. Merchant nodes are the merchants of these same sums, so that end is always known."""
+    rows = spend.where("known").select(
         "cif_id", "merchant_id", "product_line", "sales_type", F.round("spend", 2).alias("total_spend"), "tx_count")
-    known = keep_known(keep_known(rows, customers, "cif_id", "cif_id"), merchants, "merchant_id", "merchant_id")
-    return known.select(F.concat("cif_id", F.lit("->"), "merchant_id").alias("edge_id"), *rows.columns)
+    return rows.select(F.concat("cif_id", F.lit("->"), "merchant_id").alias("edge_id"), *rows.columns)
 
 
 def works_edges(customers: DataFrame, nodes: DataFrame, segments: DataFrame) -> DataFrame:
@@ -123,18 +140,21 @@ def works_edges(customers: DataFrame, nodes: DataFrame, segments: DataFrame) ->
 
 def credit_graph(customers: DataFrame, cards: DataFrame, loan: DataFrame, card: DataFrame, sales: DataFrame,
                  collections: DataFrame,
-                 store: Callable[[str, Callable[[], DataFrame]], DataFrame] = lambda label, build: build()) -> PropertyGraph:
+                 store: Callable[[str, Callable[[], DataFrame]], DataFrame] | None = None) -> PropertyGraph:
     """All seven tables. ``store`` may write each table as it is built (and the spend that two of them are made of) and return the
-    copy, so that edges are checked against stored nodes and nothing is computed twice."""
-    spend = store("customer_merchant_spend", lambda: customer_merchant_spend(sales))
-    nodes = {"Customer": store("Customer", lambda: customer_nodes(customers, cards, collections)),
-             "CreditFacility": store("CreditFacility", lambda: facility_nodes(loan, card)),
-             "Merchant": store("Merchant", lambda: merchant_nodes(spend)),
-             "EmployerSegment": store("EmployerSegment", lambda: segment_nodes(customers))}
-    cust = nodes["Customer"]
-    edges = {"HOLDS_FACILITY": store("HOLDS_FACILITY", lambda: holds_edges(nodes["CreditFacility"], cust)),
-             "TRANSACTED_AT": store("TRANSACTED_AT", lambda: transacted_edges(spend, cust, nodes["Merchant"])),
-             "WORKS_IN_SEGMENT": store("WORKS_IN_SEGMENT",
-                                       lambda: works_edges(customers, cust, nodes["EmployerSegment"]))}
+    copy, so that edges are checked against stored nodes and nothing is computed twice. Without it, ends are checked against the keys
+    of the nodes alone, so that an edge table does not compute their properties."""
+    keep = store or (lambda label, build: build())
+    sums, ids = customer_merchant_spend(sales), customer_ids(customers)
+    nodes = {"Customer": keep("Customer", lambda: customer_nodes(customers, cards, collections))}
+    cust = nodes["Customer"].select("cif_id") if store else ids
+    spend = keep("customer_merchant_spend", lambda: with_known(sums, cust))
+    nodes |= {"CreditFacility": keep("CreditFacility", lambda: facility_nodes(loan, card)),
+              "Merchant": keep("Merchant", lambda: merchant_nodes(spend if store else sums)),
+              "EmployerSegment": keep("EmployerSegment", lambda: segment_nodes(customers))}
+    edges = {"HOLDS_FACILITY": keep("HOLDS_FACILITY", lambda: holds_edges(nodes["CreditFacility"], cust)),
+             "TRANSACTED_AT": keep("TRANSACTED_AT", lambda: transacted_edges(spend)),
+             "WORKS_IN_SEGMENT": keep("WORKS_IN_SEGMENT",
+                                      lambda: works_edges(customers, cust, nodes["EmployerSegment"]))}
     return PropertyGraph([Node(label, nodes[label], k) for label, k in NODE_KEYS.items()],
                          [Edge(label, edges[label], "edge_id", *ends) for label, ends in EDGE_ENDS.items()])

@@ -112,3 +112,23 @@ def test_merchant_sums_do_not_sort_the_spend(spark):
         ("m", "m", "b", Decimal("7.01"), 6, 2), ("n", "n", "General Retail", Decimal("8.00"), 1, 1)]
     plan = got._jdf.queryExecution().sparkPlan().toString()  # rows come from the last line up: spend is hashed, only its groups are sorted
     assert plan.rindex("HashAggregate(") > plan.rindex("SortAggregate(")
+
+
+def test_spend_is_dealt_out_once(spark):
+    """Edges come from sums that lie by customer: neither the check of their ends nor the maxima over text move or sort all sales again."""
+    from creditlake.plans.graph_tables import customer_ids, customer_merchant_spend, merchant_nodes, transacted_edges, with_known
+
+    sales = spark.createDataFrame(
+        [("7", "m1", "CARD", "a", None, 1.25, None), ("7", "m1", "LOAN", "b", "g", 2.005, 3), ("7", "m2", "CARD", "a", "g", 1.0, 1), ("8", "m1", "CARD", "a", "h", 5.0, 2),
+         (None, "m1", "CARD", "a", "z", 9.0, 1), ("7", "", "CARD", "a", "g", 4.0, 1), ("7", None, "CARD", "a", "g", 4.0, 1)],
+        "cif_id string, merchant_id string, product_line string, sales_type string, merchant_group string, amount double, trans_count long")
+    customers = spark.createDataFrame([(7, "A"), (7, "B"), (9, "C"), (None, "D")], "cif_id long, state string")
+    sums = customer_merchant_spend(sales)
+    assert sums.count() == 4
+    edges = transacted_edges(with_known(sums, customer_ids(customers)))
+    assert sorted((r.edge_id, r.product_line, r.sales_type, float(r.total_spend), r.tx_count) for r in edges.collect()) == \
+        [("7->m1", "LOAN", "b", 3.26, 4), ("7->m2", "CARD", "a", 1.0, 1)]
+    assert {(r.merchant_id, r.merchant_group, float(r.total_sales_volume)) for r in merchant_nodes(sums).collect()} == {("m1", "z", 17.26), ("m2", "g", 1.0)}
+    plan = edges.where("tx_count > 0")._jdf.queryExecution().executedPlan().toString()
+    # the sales once, the ids once for each other and once to meet the sales
+    assert plan.count("REPARTITION_BY_COL") == 1 and plan.count("Exchange ") == 3, plan
