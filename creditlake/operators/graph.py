@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import orphans
@@ -169,7 +169,7 @@ class PropertyGraph:
         The pattern is a tree. From its leaves to its root each node sends, for its key and the values of ``by`` below it, one row: the
         number of partial paths and the sums over them. Where branches meet, counts multiply, and the sums of one branch multiply
         with the counts of the others. Keys without a match drop out on the way, so joins are as large as elements and groups, not
-        as paths. A distinct count is a pass of its own, rooted at its alias.
+        as paths. A distinct count is a pass of its own, rooted at its alias; nodes with one edge are counted where that leads.
         """
         if not by:
             raise ValueError("no column to group by")
@@ -191,8 +191,8 @@ class PropertyGraph:
             rows = _Messages(self, nodes, hops, by, plain, where or {}).up(next(iter(nodes)), None)
             parts.append(rows.groupBy(*by).agg(*[_total(n, m[0]) for n, m in plain.items()]))
         for alias in dict.fromkeys(roots.values()):
-            rows = _Messages(self, nodes, hops, by, {}, where or {}).up(alias, None)
-            parts.append(rows.groupBy(*by).agg(*[F.count(F.lit(1)).alias(n) for n, a in roots.items() if a == alias]))
+            counts = _Messages(self, nodes, hops, by, {}, where or {}).different(alias)
+            parts.append(counts.select(*by, *[F.col("__c").alias(n) for n, a in roots.items() if a == alias]))
         out = parts[0]
         for more in parts[1:]:
             more = more.withColumnsRenamed({c: f"__{c}" for c in by})
@@ -273,6 +273,29 @@ class _Messages:
         return out
 
 
+    def different(self, alias: str) -> DataFrame:
+        """``__c``, the number of different nodes of ``alias`` per group.
+
+        A node at the end of the pattern that has one edge is in just the groups of the node behind it, so such nodes are counted per
+        node behind, and the counts meet its groups: the nodes themselves never do. The others are told apart group by group.
+        """
+        hops = [h for h in self.hops if alias in (h.source, h.target)]
+        hop = hops[0] if len(hops) == 1 else None
+        other = hop and (hop.target if hop.source == alias else hop.source)
+        below = self.up(other, hop) if hop else None
+        if below is None:
+            return self.up(alias, None).groupBy(*self.by).agg(F.count(F.lit(1)).alias("__c"))
+        e, node = self.graph.edges[hop.label], self.graph.nodes[self.nodes[alias]]
+        near, far = (e.source[1], e.target[1]) if hop.source == alias else (e.target[1], e.source[1])
+        rows = self.element(hop.alias, e.df, F.col(near).alias("__k"), F.col(far).alias("__f"))
+        rows = rows.join(self.element(alias, node.df, F.col(node.key).alias("__k")), "__k").withColumn("__e", F.count(F.lit(1)).over(Window.partitionBy("__k")))
+        own = [c for c in self.by if c in rows.columns]
+        below = below.drop("__n").withColumnRenamed("__k", "__f")
+        alone = rows.where("__e = 1").groupBy("__f", *own).agg(F.count(F.lit(1)).alias("__c")).join(below, "__f")
+        shared = rows.where("__e > 1").join(below, "__f").select("__k", *self.by).distinct().withColumn("__c", F.lit(1).cast("long"))
+        return alone.select(*self.by, "__c").unionByName(shared.select(*self.by, "__c")).groupBy(*self.by).agg(F.sum("__c").alias("__c"))
+
+
 def path_json(*elements: tuple[str, Sequence[str]]) -> Column:
     """A path as a JSON array of elements, each a label and its properties."""
     parts = [F.to_json(F.struct(F.lit(label).alias("label"), *props)) for label, props in elements]

@@ -132,3 +132,23 @@ def test_spend_is_dealt_out_once(spark):
     plan = edges.where("tx_count > 0")._jdf.queryExecution().executedPlan().toString()
     # the sales once, the ids once for each other and once to meet the sales
     assert plan.count("REPARTITION_BY_COL") == 1 and plan.count("Exchange ") == 3, plan
+
+
+def test_distinct_ends_are_counted_behind_their_edge(spark):
+    """Nodes with one edge do not meet the groups themselves; nodes with several are still counted once a group."""
+    a = spark.createDataFrame([(1, "x"), (2, "x"), (3, "y"), (4, None), (5, "y")], "a int, kind string")
+    b = spark.createDataFrame([(1, "s"), (2, "s"), (3, "t")], "b int, state string")
+    c = spark.createDataFrame([(1, "g"), (2, "g"), (3, "h")], "c int, grp string")
+    ab = spark.createDataFrame([(1, 1, 1), (2, 2, 1), (3, 2, 2), (4, 3, 1), (5, 3, 1), (6, 4, 3), (7, 5, 3)], "id int, a int, b int")
+    bc = spark.createDataFrame([(1, 1, 1), (2, 1, 2), (3, 1, 3), (4, 2, 1), (5, 3, 3)], "id int, b int, c int")
+    g = PropertyGraph([Node("A", a, "a"), Node("B", b, "b"), Node("C", c, "c")],
+                      [Edge("AB", ab, "id", ("A", "a"), ("B", "b")), Edge("BC", bc, "id", ("B", "b"), ("C", "c"))])
+    pattern = {"b": "B", "a": "A", "c": "C"}, [Hop("a", "p", "AB", "b"), Hop("b", "q", "BC", "c")]
+    by = {"kind": ("a", "kind"), "state": ("b", "state"), "grp": ("c", "grp")}
+    for where in ({}, {"a": "a <> 5"}):
+        got = g.match_aggregate(*pattern, by, {"n": ("distinct", "a"), "m": ("distinct", "c")}, where)
+        rows = g.match(*pattern, {**by, "a": ("a", "a"), "c": ("c", "c")}, where)
+        want = rows.groupBy(*by).agg(F.count_distinct("a").alias("n"), F.count_distinct("c").alias("m"))
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
+    plan = g.match_aggregate(*pattern, by, {"n": ("distinct", "a")})._jdf.queryExecution().optimizedPlan().toString()
+    assert "(__e" in plan
