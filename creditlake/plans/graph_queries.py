@@ -21,12 +21,13 @@ GROUP = ["merchant_name", "merchant_group", "segment_id"]
 
 def portfolio_by_state(g: PropertyGraph) -> DataFrame:
     """Path aggregates by state, product and merchant group: exposure counts once per merchant and
-    spend once per facility, and the delinquent count is one of paths."""
+    spend once per facility, and the delinquent count is one of paths. Spending edges are dealt out by customer before they are
+    summed by customer and group, so that the sums need not move again to meet the customers."""
     fac = g.edge("HOLDS_FACILITY").groupBy("cif_id", "product_line").agg(
         F.count(F.lit(1)).alias("nf"), F.sum("exposure_amount").alias("exposure"),
         F.sum("new_dsr").alias("dsr"), F.count("new_dsr").alias("n_dsr"))
     group = g.node("Merchant").select("merchant_id", "merchant_group")
-    spend = g.edge("TRANSACTED_AT").select("cif_id", "merchant_id", "total_spend").join(group, "merchant_id").groupBy(
+    spend = g.edge("TRANSACTED_AT").select("cif_id", "merchant_id", "total_spend").join(group, "merchant_id").drop("merchant_id").repartition("cif_id").groupBy(
         "cif_id", "merchant_group").agg(F.count(F.lit(1)).alias("nm"), F.sum("total_spend").alias("spend"))
     cust = g.node("Customer").select("cif_id", "state", "is_delinquent")
     nm, nf = F.col("nm"), F.col("nf")

@@ -152,3 +152,10 @@ def test_distinct_ends_are_counted_behind_their_edge(spark):
         assert sorted(map(str, got.collect())) == sorted(map(str, want.select(*got.columns).collect()))
     plan = g.match_aggregate(*pattern, by, {"n": ("distinct", "a")})._jdf.queryExecution().optimizedPlan().toString()
     assert "(__e" in plan
+
+
+def test_portfolio_moves_edges_once(graph):
+    """The sums of spending edges meet the customers where they were made."""
+    plan = q.portfolio_by_state(graph)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_COL") == 1
+    assert not any("hashpartitioning(cif_id" in line and "merchant_group" in line for line in plan.splitlines())
