@@ -1,7 +1,7 @@
 """Operator 1: passages that repeat across documents, by chaining shared k-mer seeds.
 
 1. Seeds are runs of ``k`` words (A-Z as a-z), one out of every ``window`` in a row: the one with the smallest hash, so equal
-   stretches of window + k - 1 words give equal seeds. A seed that occurs in several rows is joined with its occurrence in
+   stretches of window + k - 1 words give equal seeds. A seed that occurs in several rows is joined with its first occurrence in
    the smallest doc_id only: as many rows as occurrences, however common it is. The smallest doc_id is thus the source that
    later copies of a passage point to.
 2. The matches of a document with one source are merged into fragments of equal diagonal, and the fragments chained in order
@@ -28,15 +28,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import BASE, LOWER, Words, map_arrow, mix, stored, table, utf8
+from .common import BASE, CHUNK_BYTES, LOWER, Words, map_arrow, mix, table, utf8
+from .common import stored as written
 
 K, WINDOW, MIN_WORDS, SIMILARITY = 5, 8, 50, 0.8
 SALTS = 8  # tasks that the occurrences of one seed are dealt to
 PAIRED = 0.8
-SEEDS = 100_000
+SEEDS = 20_000
 SKIP = 0.1  # price of a word skipped in either text
 EDGE = 8  # how far an extension may fall below its best
 NEAR = 96
@@ -44,6 +45,18 @@ TRIMMED = 0.7  # share of min_words that a passage whose ends were trimmed has l
 STEP = 128  # words that an extension looks at at a time
 FARTHER = 24  # words beyond that at either end, where a passage would else be too short
 BLOCK = 1 << 14  # words of a gap in one text that are compared at a time
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """A written step, whose shuffle files are removed with its end: the steps' shuffles together are several times the input."""
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, None)
+    conf.set(CLEANUP, "true")
+    try:
+        return written(df, name)
+    finally:
+        conf.unset(CLEANUP) if before is None else conf.set(CLEANUP, before)
 
 
 def seeds_of(words: Words, k: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -296,8 +309,9 @@ def repeated_passages(docs: DataFrame, k: int = K, window: int = WINDOW, min_wor
     text = F.col("text").cast("string")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc"), (F.xxhash64(text).bitwiseAND(0x7FFFFFFF)).cast("int").alias("mark"), text.alias("text")) \
         .filter("doc is not null and text is not null")
-    seeds = stored(seed_rows(rows, k, window), "seeds")
-    linked = stored(seeds.join(first_places(seeds, "h"), "h").drop("h"), "linked")
+    # each seed with the smallest document that has it; shuffled once, and no seed is written that one document alone has
+    seeds = with_first(seed_rows(rows, k, window), ["h"], "doc", "place").withColumn("last", F.max("doc").over(Window.partitionBy("h")))
+    linked = stored(seeds.filter("first.doc < last").select("doc", "place", F.col("first.doc").alias("source"), F.col("first.place").alias("source_place")), "linked")
     span = F.max("b") - F.min("b") + k >= (min_words - 2 * (window + k)) // 2 + k
     pairs = stored(by_pair(linked, span.alias("wide"), F.count("*").alias("n")).filter("wide and n > 1").drop("wide", "n"), "pairs")
     # only shared k-mers within two windows of each other make one fragment
@@ -315,11 +329,15 @@ def repeated_passages(docs: DataFrame, k: int = K, window: int = WINDOW, min_wor
     salted = asked.select("source", "source_place").distinct().withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     places = linked.withColumn("salt", F.pmod(F.xxhash64("doc", "place"), F.lit(SALTS)).cast("int")).join(salted, ["source", "source_place", "salt"], "left_semi") \
         .groupBy("doc", mark("place").alias("mark")).agg(F.collect_list(F.struct(word("place").alias("b"), "source", "source_place")).alias("m"))
-    couples = stored(places.select("doc", "mark", "m.b", "m.source", "m.source_place").mapInArrow(
-        lambda batches: all_seed_pairs(batches, reach, int(PAIRED * min_words)), "h long, doc long, place long, gap int"), "couples")
-    first = couples.groupBy("h").agg(F.min(F.struct("doc", "place", "gap")).alias("first"), F.max("doc").alias("last")).filter("first.doc < last")
-    met = couples.join(stored(first.select("h", F.col("first.doc").alias("source"), F.col("first.place").alias("source_place"), F.col("first.gap").alias("source_gap")), "anchors"), "h") \
-        .filter("doc > source").withColumn("mark", mark("place")).join(asked.select("doc", "mark").distinct(), ["doc", "mark"], "left_semi")
+    asks = asked.select("doc", "mark").distinct().withColumn("asks", F.lit(True))
+    places = stored(places.join(asks, ["doc", "mark"], "left").select("doc", "mark", "m.b", "m.source", "m.source_place", F.coalesce("asks", F.lit(False)).alias("asks")), "places")
+    # a seed goes to its task as one row with the list of its pairs; lists of copies shrink to little in the shuffle and are long
+    # behind it, so the number of tasks is fixed and not drawn from their bytes
+    couples = places.mapInArrow(lambda batches: all_seed_pairs(batches, reach, int(PAIRED * min_words)), "seed long, doc long, place long, asks boolean, hs array<long>, gaps array<int>")
+    couples = couples.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "seed") \
+        .select("seed", "doc", "place", "asks", F.inline(F.arrays_zip(F.col("hs").alias("h"), F.col("gaps").alias("gap"))))
+    met = with_first(couples, ["seed", "h"], "doc", "place", "gap").filter("asks and doc > first.doc") \
+        .select("doc", "place", "gap", F.col("first.doc").alias("source"), F.col("first.place").alias("source_place"), F.col("first.gap").alias("source_gap"))
     ends = F.inline(F.array(F.struct("place", "source_place"), F.struct((F.col("place") + F.col("gap")).alias("place"), (F.col("source_place") + F.col("source_gap")).alias("source_place"))))
     again = met.select("doc", "source", ends).distinct()
     more = stored(aligned(stored(by_pair(again, span.alias("wide")).filter("wide").drop("wide"), "pairs"), rows, k, reach, min_words, similarity), "more")
@@ -342,11 +360,9 @@ def mark(place: str) -> Column:
     return F.shiftright(place, 32).cast("int")
 
 
-def first_places(keys: DataFrame, h: str) -> DataFrame:
-    """h, source, source_place: the smallest doc of each key that several have."""
-    first = keys.groupBy(h).agg(F.min("doc").alias("source"), F.max("doc").alias("last"), F.min_by("place", "doc").alias("source_place")) \
-        .filter("source < last").select(h, "source", "source_place")
-    return stored(first, "anchors")
+def with_first(rows: DataFrame, keys: list[str], *place: str) -> DataFrame:
+    """The rows, with the smallest place of all rows of equal keys as ``first``."""
+    return rows.withColumn("first", F.min(F.struct(*place)).over(Window.partitionBy(*keys)))
 
 
 def by_pair(linked: DataFrame, *more: Column) -> DataFrame:
@@ -363,7 +379,7 @@ def aligned(pairs: DataFrame, rows: DataFrame, k: int, reach: int, min_words: in
     sources = bodies.select(F.col("doc").alias("source"), F.col("mark").alias("source_mark"), F.col("text").alias("source_text"))
     both = pairs.join(bodies, ["doc", "mark"]).join(sources, ["source", "source_mark"]) \
         .select("doc", "source", F.col("m.b").alias("b"), F.col("m.a").alias("a"), "text", "source_text", "mark")
-    return map_arrow(both, lambda batch: align_batch(batch, k, reach, min_words, similarity), COLUMNS + PLACES)
+    return both.mapInArrow(lambda batches: align_all(batches, k, reach, min_words, similarity), COLUMNS + PLACES)
 
 
 def stretches(b: np.ndarray, k: int, reach: int, span: int) -> list[tuple[int, int]]:
@@ -414,8 +430,8 @@ def all_seed_pairs(batches: Iterator[pa.RecordBatch], reach: int, most: int) ->
 
 
 def seed_pairs(batch: pa.RecordBatch, reach: int, most: int) -> pa.RecordBatch | None:
-    """h, doc, place and gap of every two seeds of a row, at most ``most`` words apart, that point to different sources or, by more
-    than ``reach``, to different places of one."""
+    """Every two seeds of a row, at most ``most`` words apart, that point to different sources or, by more than ``reach``, to
+    different places of one: seed, doc, place and asks of the first, with the lists of hashes of the pairs and of gaps."""
     (b, offsets), (source, _), (place, _) = ((np.asarray(c.values).astype(np.int64), np.asarray(c.offsets)) for c in (batch.column(i) for i in (2, 3, 4)))
     row = np.repeat(np.arange(batch.num_rows), np.diff(offsets))
     b, source, place = (v[offsets[0]:offsets[-1]] for v in (b, source, place))
@@ -435,10 +451,28 @@ def seed_pairs(batch: pa.RecordBatch, reach: int, most: int) -> pa.RecordBatch |
     if not left or not sum(map(len, left)):
         return None
     i, j = np.concatenate(left), np.concatenate(right)
+    order = np.argsort(i, kind="stable")
+    i, j = i[order], j[order]
     h = mix(one[i] * np.uint64(BASE) + one[j])
     ids, marks = batch.column(0).to_numpy(), batch.column(1).to_numpy().astype(np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(ids[row[i]]), pa.array((marks[row[i]] << 32) | b[i]), pa.array(b[j] - b[i], pa.int32())],
-                                      ["h", "doc", "place", "gap"])
+    asks = batch.column(5).to_numpy(zero_copy_only=False)
+    left, count = np.unique(i, return_counts=True)
+    ends = pa.array(np.append(0, np.cumsum(count)), pa.int32())
+    return pa.RecordBatch.from_arrays([pa.array(one[left].view(np.int64)), pa.array(ids[row[left]]), pa.array((marks[row[left]] << 32) | b[left]), pa.array(asks[row[left]]),
+                                       pa.ListArray.from_arrays(ends, pa.array(h.view(np.int64))), pa.ListArray.from_arrays(ends, pa.array(b[j] - b[i], pa.int32()))],
+                                      ["seed", "doc", "place", "asks", "hs", "gaps"])
+
+
+def align_all(batches: Iterator[pa.RecordBatch], k: int, reach: int, min_words: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """``align_batch`` of rows with about CHUNK_BYTES of both texts at a time: the sources of short texts may be long ones."""
+    for batch in batches:
+        ends, lo = utf8(batch.column(4))[1] + utf8(batch.column(5))[1], 0
+        while lo < batch.num_rows:
+            hi = max(int(np.searchsorted(ends, ends[lo] + CHUNK_BYTES, "right")) - 1, lo + 1)
+            out = align_batch(batch.slice(lo, hi - lo), k, reach, min_words, similarity)
+            if out is not None:
+                yield out
+            lo = hi
 
 
 def align_batch(batch: pa.RecordBatch, k: int, reach: int, min_words: int, similarity: float) -> pa.RecordBatch | None:

@@ -3,6 +3,7 @@
 import itertools
 import random
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -303,3 +304,37 @@ def test_items_with_a_shared_opening(monkeypatch):
     assert [(g[0], g[1], g[4]) for g in got] == [(3, 7, 31)]
     monkeypatch.setattr(decontaminate, "ENTRIES", 5000)
     assert decontaminate.matches(index, *utf8(pa.array(docs))) == got
+
+
+def test_passages_leave_no_shuffle_files(frame, spark):
+    """Each written step removes its shuffle files, and the session's own setting comes back."""
+    draw = random.Random(21)
+    base = sentence(draw, 200, 10 ** 6)
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    kept = lambda: {f.getName() for f in (blocks.getAllFiles().apply(i) for i in range(blocks.getAllFiles().length())) if f.getName().startswith("shuffle_")}
+    before, setting = kept(), spark.conf.get(passages.CLEANUP, None)
+    out = passages.repeated_passages(frame([(i, " ".join(base[i:i + 120])) for i in range(1, 40)]))
+    assert spark.conf.get(passages.CLEANUP, None) == setting
+    for _ in range(50):  # files go in the background
+        if not (left := kept() - before):
+            break
+        time.sleep(0.2)
+    assert not left and out.count() > 0
+
+
+def test_aligned_texts_are_bounded_on_both_sides(monkeypatch):
+    """Short texts whose sources are long are not taken all at once."""
+    seen = []
+    monkeypatch.setattr(passages, "align_batch", lambda batch, *a: seen.append((batch.num_rows, sum(len(t) for c in (4, 5) for t in batch.column(c).to_pylist()))))
+    texts = pa.array(["few words"] * 40), pa.array(["long " * 20_000] * 40)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40))] * 4 + [*texts], list("dsbaxy"))
+    assert list(passages.align_all(iter([batch]), 5, 21, 50, 0.8)) == []
+    assert sum(n for n, _ in seen) == 40 and max(size for _, size in seen) <= passages.CHUNK_BYTES
+
+
+def test_seed_pairs_are_one_row_a_seed():
+    batch = pa.RecordBatch.from_pydict({"doc": [7, 8], "mark": pa.array([1, 2], pa.int32()), "b": pa.array([[0, 10, 30, 90], [5]], pa.list_(pa.int32())),
+                                        "source": pa.array([[1, 2, 3, 4], [1]], pa.list_(pa.int64())), "source_place": pa.array([[0, 0, 0, 0], [0]], pa.list_(pa.int64())), "asks": [True, False]})
+    out = passages.seed_pairs(batch, 21, 40).to_pylist()
+    assert [(r["doc"], r["place"] & 0xFFFFFFFF, r["gaps"], r["asks"]) for r in out] == [(7, 0, [10, 30], True), (7, 10, [20], True)]
+    assert len({h for r in out for h in r["hs"]}) == 3
