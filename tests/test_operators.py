@@ -94,6 +94,38 @@ def test_points_of_one_place_are_dealt_to_many_tasks(spark):
     assert sum(per) == 1500 * 4000 and len(per) > 1 and max(per) < 1500 * 4000
 
 
+@pytest.mark.parametrize("metres", [3.0, 3000.0, 120000.0])
+def test_totals_of_near_pairs_without_pairs(spark, monkeypatch, metres):
+    """Against all pairs, at the date line, the poles and with null coordinates; in whole cells and in many small pieces."""
+    rnd = random.Random(int(metres) + 1)
+    spread = metres / 60000
+
+    def points(n):
+        out = []
+        for _ in range(n):
+            x, y = rnd.choice([(0, 0), (179.99999, 10), (-179.99999, -40), (100, 89.99), (30, -89.99), (103.8, 1.5), (0, 60)])
+            x, y = x + rnd.uniform(-spread, spread), max(-90.0, min(90.0, y + rnd.uniform(-spread, spread)))
+            out.append(((x + 180) % 360 - 180, y))
+        return out
+
+    hubs = points(60)
+    pois = [(*q, rnd.choice(["a", "b", "c", None]), rnd.randrange(3)) for q in points(300)]
+    h = spark.createDataFrame([(i // 2, *p) for i, p in enumerate(hubs)] + [(99, None, 1.0)], "h int, hx double, hy double")
+    p = spark.createDataFrame(pois + [(0.0, None, "a", 1), (float("nan"), 0.0, "a", 1)], "px double, py double, c string, w int")
+    want = {}
+    for i, a in enumerate(hubs):
+        for *b, c, w in pois:
+            if (d := haversine(a, b)) <= metres:
+                n, s, least, total = want.get((i // 2, c), (0, 0, math.inf, 0))
+                mm = math.floor(d * 1000 + 0.5)
+                want[i // 2, c] = (n + 1, s + w, min(least, mm), total + mm)
+    for sizes in ((geo.SMALL_PIECE, geo.LARGE_PIECE), (5, 7)):
+        monkeypatch.setattr(geo, "SMALL_PIECE", sizes[0])
+        monkeypatch.setattr(geo, "LARGE_PIECE", sizes[1])
+        got = geo.dwithin_totals(h, p, metres, ["h"], "c", {"w": F.col("w")}, ("hx", "hy"), ("px", "py"), distances=True)
+        assert want and {(r.h, r.c): (r.pairs, r.w, r.nearest_mm, r.total_mm) for r in got.collect()} == want
+
+
 def members(spark, seed=1):
     rnd = random.Random(seed)
     rows = {(f"g{rnd.randrange(4)}", f"c{rnd.randrange(40):02d}") for _ in range(90)} | {("solo", "c00")}
