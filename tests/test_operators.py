@@ -126,6 +126,22 @@ def test_totals_of_near_pairs_without_pairs(spark, monkeypatch, metres):
         assert want and {(r.h, r.c): (r.pairs, r.w, r.nearest_mm, r.total_mm) for r in got.collect()} == want
 
 
+def test_summaries_make_no_pairs(spark):
+    """No join on distance: a million pairs are totals of their pieces."""
+    from creditlake.plans import geo as plans
+    h = spark.range(1000).selectExpr("id as hub_id", "'h' as hub_name", "'s' as state", "'r' as region", "103.8d as lon", "1.5d + id * 1e-7 as lat")
+    p = spark.range(1000).selectExpr("id as poi_id", "'p' as poi_name", "if(id % 2 = 0, 'x', 'y') as category", "id % 5 = 0 as takes_card", "id % 3 = 0 as takes_nfc",
+                                     "double(id % 4) as rating", "true as operational", "103.8d as lon", "1.5d + id * 1e-7 as lat")
+    members = spark.createDataFrame([("m", "h", 1.0)], "match_key string, preferred_store string, retail_spend double")
+    density = plans.radial_density(h, p, 5000)
+    summary = plans.catchment_summary(h, p, members, 5000)
+    for df, rows in ((density, 2000), (summary, 1000)):
+        assert df.count() == rows and "asin(sqrt" not in df._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert {tuple(r) for r in density.select("category", "places", "card_places", "nfc_places", "avg_rating").collect()} \
+        == {("x", 500, 100, 167, 1), ("y", 500, 100, 167, 2)}
+    assert {tuple(r) for r in summary.select("pois", "categories").collect()} == {(1000, 2)}
+
+
 def members(spark, seed=1):
     rnd = random.Random(seed)
     rows = {(f"g{rnd.randrange(4)}", f"c{rnd.randrange(40):02d}") for _ in range(90)} | {("solo", "c00")}
