@@ -142,6 +142,23 @@ def test_summaries_make_no_pairs(spark):
     assert {tuple(r) for r in summary.select("pois", "categories").collect()} == {(1000, 2)}
 
 
+def test_nearest_places_join_within_their_reach(spark, monkeypatch):
+    """The first k of all pairs, without joining all: their radius is told by a grid."""
+    from creditlake.plans import geo as plans
+    rnd = random.Random(5)
+    h = spark.createDataFrame([(i, "h", "s", "r", 100 + rnd.random(), 1 + rnd.random()) for i in range(200)], "hub_id int, hub_name string, state string, region string, lon double, lat double")
+    p = spark.createDataFrame([(i, "p", "c", True, True, 1.0, True, 100 + rnd.random(), 1 + rnd.random()) for i in range(2000)],
+                              "poi_id int, poi_name string, category string, takes_card boolean, takes_nfc boolean, rating double, operational boolean, lon double, lat double")
+    seen, join = [], plans.dwithin_join
+    monkeypatch.setattr(plans, "dwithin_join", lambda a, b, metres, *more: seen.append(metres) or join(a, b, metres, *more))
+    for k in (20, 300, 10 ** 6):
+        whole = plans.near(h, p, 50000.0).select("poi_id", "hub_id", F.round("distance_m", 0).alias("d"))
+        want = [(r.d, r.poi_id, r.hub_id) for r in whole.orderBy("d", "poi_id", "hub_id").limit(k).collect()]
+        got = [(r.distance_m, r.poi_id, r.hub_id) for r in plans.map_pois(h, p, 50000.0, k).collect()]
+        assert got == want
+    assert seen[1] < 5000 and seen[3] < 20000 and seen[5] == 50000
+
+
 def members(spark, seed=1):
     rnd = random.Random(seed)
     rows = {(f"g{rnd.randrange(4)}", f"c{rnd.randrange(40):02d}") for _ in range(90)} | {("solo", "c00")}
