@@ -1,5 +1,8 @@
 """Products refreshed by change rows: only what a change reaches is written, and all at once."""
 
+import time
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +109,30 @@ def test_marks_tell_where_nulls_are(spark):
 
     assert marks((None, 5)) != marks((5, None)) and marks((1, 2), (3, 4)) == marks((3, 4), (1, 2))
     assert marks((1, 2)) != marks((1, 2), (1, 2)) and len(marks((1, 2), (3, 4))) == 1
+
+
+def test_what_only_a_refresh_needs_goes(lake, spark):
+    """No landed delta, list of keys or shuffle file is left; a step without a change leaves no folder; the setting comes back."""
+    scratch = Path(spark.conf.get("spark.checkpoint.dir"))
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    kept = lambda: {f.getName() for f in (blocks.getAllFiles().apply(i) for i in range(blocks.getAllFiles().length())) if f.getName().startswith("shuffle_")}
+    before, files, setting = set(scratch.iterdir()), kept(), spark.conf.get(plan.CLEANUP, None)
+    lake([row(i, i, 60) for i in range(40)], [(i, f"n{i}") for i in range(40)])
+    folders = lambda table: {f.name for f in Path(lake.root, table).iterdir()}
+    loud_before = folders("loud")
+    lake([row(100, 7, 1)])
+    assert folders("loud") == loud_before and lake.rows("loud") == []
+    assert set(scratch.iterdir()) - before <= {Path(lake.root)} and spark.conf.get(plan.CLEANUP, None) == setting
+    for _ in range(50):  # files go in the background
+        if not (left := kept() - files):
+            break
+        time.sleep(0.2)
+    assert not left
+
+
+def test_a_first_load_is_written_once(spark, lake, monkeypatch):
+    """Neither the delta nor a step's rows are written aside before they are put in their place."""
+    written, stored = [], plan._Refresh.stored
+    monkeypatch.setattr(plan._Refresh, "stored", lambda job, df, name: written.append(name) or stored(job, df, name))
+    lake([row(i, i, 60) for i in range(40)], [(i, f"n{i}") for i in range(40)])
+    assert written == [] and len(lake.rows("total")) == 40
